@@ -36,7 +36,9 @@ UNIT_WORDS = (
     (30 * 86400, "month months bulan"),
     (365 * 86400, "year years tahun"),
 )
+# Far beyond the calendar, and small enough for the products below.
 COUNT_CAP = 10**10
+SECONDS_CAP = 10**12
 
 
 def parse_iso(text: Column) -> Column:
@@ -47,9 +49,7 @@ def parse_iso(text: Column) -> Column:
 
 def render_utc(ts: Column) -> Column:
     """UTC ISO text with ``Z``; six fraction digits only when they are not zero."""
-    whole = F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss")
-    micros = F.date_format(ts, "SSSSSS")
-    return F.concat(whole, F.when(micros == "000000", F.lit("Z")).otherwise(F.concat(F.lit("."), micros, F.lit("Z"))))
+    return F.replace(F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"), F.lit(".000000Z"), F.lit("Z"))
 
 
 def snapshot_stamp(ts: Column) -> Column:
@@ -96,21 +96,22 @@ def parse_written(text: Column) -> Column:
 def parse_relative(text: Column, base: Column) -> Column:
     """``2 days ago`` / ``3 jam lalu`` and the like, counted back from ``base``."""
     phrase = F.lower(clean(text))
-
-    def seconds(unit: int, words: str) -> Column:
-        shape = rf"(\d+)\s*(?:{'|'.join(words.split())})\s*(?:ago|lalu)"
-        count = F.regexp_extract(phrase, shape, 1)
-        # Any count beyond the cap is beyond the calendar as well.
-        capped = F.least(F.coalesce(count.try_cast("bigint"), F.lit(COUNT_CAP)), F.lit(COUNT_CAP))
-        return F.when(count != "", capped * unit)
-
-    back = F.coalesce(
-        F.when(phrase.isin(*NOW_WORDS), F.lit(0)),
-        F.when(phrase.isin(*YESTERDAY_WORDS), F.lit(86400)),
-        *[seconds(unit, words) for unit, words in UNIT_WORDS],
+    words = [word for _, names in UNIT_WORDS for word in names.split()]
+    unit_of = F.map_from_arrays(
+        F.split(F.lit(" ".join(words)), " "), F.lit([unit for unit, names in UNIT_WORDS for _ in names.split()])
+    )
+    shape = rf"(\d+)\s*({'|'.join(words)})\s*(?:ago|lalu)"
+    part = lambda hit, n: F.regexp_extract(hit, shape, n)
+    # The smallest unit wins, and of one unit the first place in the text.
+    hits = F.transform(
+        F.regexp_extract_all(phrase, F.lit(shape), F.lit(0)),
+        lambda hit, i: F.struct(unit_of[part(hit, 2)].alias("unit"), i.alias("i"), part(hit, 1).try_cast("bigint").alias("n")),
     )
-    reach = F.floor((F.unix_micros(base) - F.lit(MIN_MICROS)) / 1_000_000)
-    return F.when(back <= reach, F.timestamp_micros(F.unix_micros(base) - back * 1_000_000))
+    hit = F.array_min(hits)
+    # A count too large for a number is beyond the calendar, as is anything over the cap.
+    counted = F.when(hit.isNotNull(), F.least(F.coalesce(hit["n"], F.lit(COUNT_CAP)), F.lit(COUNT_CAP)) * hit["unit"])
+    back = F.when(phrase.isin(*NOW_WORDS), F.lit(0)).when(phrase.isin(*YESTERDAY_WORDS), F.lit(86400)).otherwise(counted)
+    return from_micros(F.unix_micros(base) - F.least(back, F.lit(SECONDS_CAP)) * 1_000_000)
 
 
 def parse_posted(number: Column, text: Column, base: Column) -> Column:
