@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Iterator
+from html import unescape
 from html.parser import HTMLParser
 
 # Elements without content, and elements whose text is not shown.
@@ -60,17 +62,21 @@ class Element:
 
 
 class _Builder(HTMLParser):
+    """Builds the tree: an end tag closes up to its start tag, or nothing if that is not open."""
+
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
         self.root = self.here = Element("", {}, None)
         self.open_tags: dict[str, int] = {}
         self.buffer: list[str] = []
 
-    def flush(self) -> None:
+    def flush(self, *_: str) -> None:
         if self.buffer:
             self.here.children.append("".join(self.buffer))
             self.buffer.clear()
 
+    handle_comment = handle_decl = unknown_decl = handle_pi = flush
+
     def handle_data(self, data: str) -> None:
         self.buffer.append(data)
 
@@ -97,20 +103,69 @@ class _Builder(HTMLParser):
             if closed.tag == tag:
                 return
 
-    def handle_comment(self, data: str) -> None:
-        self.flush()
 
-    def handle_decl(self, decl: str) -> None:
-        self.flush()
+# One well-formed piece of markup. Most pages consist of nothing else and are then read piece by
+# piece, several times faster than by the tolerant parser, which takes every other page.
+_NAME = r"[a-zA-Z][a-zA-Z0-9:_-]*+"
+_ATTR = r"""\s++([a-zA-Z_:@][\w:.@-]*+)(?:\s*+=\s*+(?:"([^"]*+)"|'([^']*+)'|([^\s"'=<>`/]++)(?!/)))?+"""
+_ATTRS = re.compile(_ATTR)
+_PIECE = re.compile(
+    rf"""(?P<text>[^<]++)|<(?P<start>{_NAME})(?P<attrs>(?:{re.sub(r"[(](?![?])", "(?:", _ATTR)})*+)\s*+(?P<own>/?)>"""
+    rf"""|</(?P<end>{_NAME})\s*+>|<!--(?!-?>)(?:(?!--).)*+-->|<!doctype\b[^>]*+>""",
+    re.S | re.I,
+)
+_RAW = {tag: re.compile(rf"(.*?)</{tag}\s*+>", re.S | re.I) for tag in ("script", "style")}
+
+
+def _pieces(html: str) -> Iterator[tuple[str, str, str]]:
+    """(kind, name or text, attributes) of well-formed markup; ValueError at anything else."""
+    at = 0
+    while at < len(html):
+        piece = _PIECE.match(html, at)
+        if piece is None:
+            raise ValueError(at)
+        at = piece.end()
+        kind = piece.lastgroup
+        if kind == "text":
+            yield "text", piece["text"], ""
+        elif kind == "end":
+            yield "end", piece["end"].lower(), ""
+        elif kind == "own":
+            name = piece["start"].lower()
+            yield ("own" if piece["own"] else "start"), name, piece["attrs"]
+            if name in _RAW and not piece["own"]:
+                raw = _RAW[name].match(html, at)
+                if raw is None:
+                    raise ValueError(at)
+                at = raw.end()
+                yield "raw", raw[1], ""
+                yield "end", name, ""
+        else:
+            yield "other", "", ""
 
-    def unknown_decl(self, data: str) -> None:
-        self.flush()
 
-    def handle_pi(self, data: str) -> None:
-        self.flush()
+def parse(html: str) -> Element:
+    builder = _Builder()
+    try:
+        for kind, name, attrs in _pieces(html):
+            if kind == "text":
+                builder.handle_data(unescape(name))
+            elif kind == "raw":
+                builder.handle_data(name)
+            elif kind == "end":
+                builder.handle_endtag(name)
+            elif kind == "other":
+                builder.flush()
+            else:
+                pairs = [(n.lower(), unescape(a or b or c)) for n, a, b, c in _ATTRS.findall(attrs)] if attrs else []
+                (builder.handle_starttag if kind == "start" else builder.handle_startendtag)(name, pairs)
+    except ValueError:
+        return parse_any(html)
+    builder.flush()
+    return builder.root
 
 
-def parse(html: str) -> Element:
+def parse_any(html: str) -> Element:
     builder = _Builder()
     builder.feed(html)
     builder.close()
@@ -118,6 +173,19 @@ def parse(html: str) -> Element:
     return builder.root
 
 
+def visible_texts(html: str) -> list[str]:
+    """Visible text nodes of a page; without a tree where its markup needs none."""
+    if "<" not in html:
+        return [unescape(html)]
+    try:
+        # Templates hide all that is below them, which takes the tree to know.
+        if "<template" not in html.lower():
+            return [unescape(name) for kind, name, _ in _pieces(html) if kind == "text"]
+    except ValueError:
+        pass
+    return list(parse(html).texts())
+
+
 # Element tests ---------------------------------------------------------------
 
 Test = Callable[[Element], bool]
@@ -164,7 +232,7 @@ def first(node: Element, *tests: Test) -> Element | None:
 
 
 def lines(html: str) -> list[str]:
-    split = (line.strip() for text in parse(html).texts() for line in text.splitlines())
+    split = (line.strip() for text in visible_texts(html) for line in text.splitlines())
     return [line for line in split if line]
 
 
@@ -186,5 +254,7 @@ def keyword_block(html: str) -> str | None:
 
 
 def meta_description(html: str) -> str | None:
+    if "<meta" not in html.lower():
+        return None
     meta = first(parse(html), lambda e: e.tag == "meta" and e.attrs.get("name") == "description")
     return None if meta is None else meta.attr("content")

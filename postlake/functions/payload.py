@@ -48,7 +48,10 @@ def list_at(doc: Column, path: str) -> Column:
 
 
 def truthy(value: Column) -> Column:
-    return ~F.coalesce(F.to_json(value), F.lit("null")).isin(*FALSY)
+    """Whether a value counts when alternatives are tried: not NULL, empty, zero or false."""
+    kind = kind_of(value)
+    other = ~F.to_json(value).isin(*FALSY)
+    return F.when(kind == "STRING", text_of(value) != "").when(kind.isNull() | (kind == "VOID"), F.lit(False)).otherwise(other)
 
 
 def text_or(doc: Column, *paths: str) -> Column:
@@ -61,6 +64,11 @@ def is_object(value: Column) -> Column:
     return F.coalesce(F.to_json(value).startswith("{"), F.lit(False))
 
 
+def item_reject(item: Column, reason: Column) -> Column:
+    """The reject reason; an item that lacks something is first checked for being an object at all."""
+    return F.when(reason.isNotNull(), F.when(is_object(item), reason).otherwise("not an object"))
+
+
 def next_data(html: Column) -> Column:
     """Text of the page-data script; NULL if the page has none, '' if it is empty."""
     found = F.regexp_extract_all(html, F.lit(NEXT_DATA), F.lit(1))

@@ -19,11 +19,13 @@ Merged = dict[str, Column]
 
 @dataclass(frozen=True)
 class Board:
+    """``needs`` says which postings need their detail page (NULL = none does), given the text flag."""
+
     name: str
     listing: Callable[[DataFrame], DataFrame]
     details: Callable[[DataFrame], DataFrame] | None
     rules: Callable[[int | None], CutRules]
-    needs: Callable[[bool], Column]
+    needs: Callable[[bool], Column | None]
     merge: Callable[[Column, bool], Merged]
     dedupes: bool
 
@@ -170,18 +172,18 @@ BOARDS = {
     for board in (
         Board(
             dealls.NAME, dealls.listing, dealls.details, _dealls_rules,
-            lambda with_text: _missing("location", "job_type", "description") if with_text else F.lit(False),
+            lambda with_text: _missing("location", "job_type", "description") if with_text else None,
             _dealls_merge, dedupes=False,
         ),
         Board(glints.NAME, glints.listing, glints.details, _glints_rules, _glints_needs, _glints_merge, dedupes=True),
         Board(
             karirhub.NAME, karirhub.listing, karirhub.details, _karirhub_rules,
-            lambda with_text: _missing("location", "job_type", "salary_range", "tags", "description") if with_text else F.lit(False),
+            lambda with_text: _missing("location", "job_type", "salary_range", "tags", "description") if with_text else None,
             _karirhub_merge, dedupes=True,
         ),
         Board(
             kitalulus.NAME, kitalulus.listing, None, _kitalulus_rules,
-            lambda with_text: F.lit(False), lambda d, with_text: {}, dedupes=False,
+            lambda with_text: None, lambda d, with_text: {}, dedupes=False,
         ),
         Board(lokerid.NAME, lokerid.listing, lokerid.details, _lokerid_rules, _lokerid_needs, _lokerid_merge, dedupes=True),
     )

@@ -89,11 +89,13 @@ def page_facts(staged: DataFrame, usable: DataFrame, b: Board) -> DataFrame:
 
 def enrich(jobs: DataFrame, captures: DataFrame, b: Board, with_text: bool) -> tuple[DataFrame, DataFrame]:
     """Postings with what their detail pages add, and those whose detail page is still to be taken."""
-    needs = b.needs(with_text)
     order = [*RUN_KEYS, "page_no", "pos"]
-    if b.details is None:
+    needs = b.needs(with_text)
+    if b.details is None or needs is None:
+        # Nothing to add: the detail captures are not even read.
         return jobs.select(*order, *JOB_COLS), jobs.filter(F.lit(False)).select(*JOB_KEYS, "url")
-    details = b.details(captures)
+    # Parsed once for both uses below; the flag is read back, as a filter here would parse twice.
+    details = stage(b.details(captures), f"{b.name}-details").filter("usable")
     worklist = detail_worklist(jobs, details, JOB_KEYS, needs).select(*JOB_KEYS, "url")
     joined = with_details(jobs, details, JOB_KEYS, DETAIL_FIELDS)
     apply = needs & F.col("detail").isNotNull()

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from postlake.functions import lists, money
 from postlake.functions.dates import parse_iso
-from postlake.functions.payload import at, int_at, is_object, kind_of, list_at, next_data, next_data_status, text_at, text_or
+from postlake.functions.payload import at, int_at, item_reject, kind_of, list_at, next_data, next_data_status, text_at, text_or
 from postlake.functions.text import clean, html_text, humanize, non_empty, sections
 from postlake.sources.captures import detail_pages, explode_items, fetch_outcome, finish_listing, listing_pages, required
 
@@ -55,8 +55,8 @@ def listing(captures: DataFrame) -> DataFrame:
         "url": job_url(clean(text_or(item, "$.slug", "$.slugPrimarySegment")), clean(text_at(item, "$.company.slug"))),
         "description": F.lit(None).cast("string"),
         "posted_ts": parse_iso(F.col("posted_at")),
-        "reject": F.when(~is_object(item), "not an object").otherwise(
-            required(job_id=F.col("job_id"), title=F.col("title"), company=F.col("company"))
+        "reject": item_reject(
+            item, required(job_id=F.col("job_id"), title=F.col("title"), company=F.col("company"))
         ),
     })
     return finish_listing(rows)
@@ -108,7 +108,6 @@ def details(captures: DataFrame) -> DataFrame:
     pages = detail_pages(captures, NAME).select(
         "source", "run_id", "job_id", "fetched_at", at(F.try_parse_json("body"), "$.data.result").alias("result")
     )
-    pages = pages.filter(kind_of(result).startswith("OBJECT"))
     pages = pages.withColumns({key: text_at(result, f"$.{key}") for key in ("description", "responsibilities", "requirements")})
     text = sections(
         (None, html_text("description")),
@@ -123,4 +122,5 @@ def details(captures: DataFrame) -> DataFrame:
         text.alias("description"),
         fields["tags"].alias("tags"),
         F.lit(None).cast("string").alias("posted_at"),
+        F.coalesce(kind_of(result).startswith("OBJECT"), F.lit(False)).alias("usable"),
     )

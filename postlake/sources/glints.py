@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 from postlake.functions import lists, markup, money
 from postlake.functions.dates import parse_iso
 from postlake.functions.payload import (
-    amount_at, at, deref, int_at, is_object, kind_of, list_at, next_data, next_data_status, text_at, text_or, truthy,
+    amount_at, at, deref, int_at, is_object, item_reject, kind_of, list_at, next_data, next_data_status, text_at, text_or, truthy,
 )
 from postlake.functions.text import clean, html_text, humanize, non_empty
 from postlake.functions.urls import resolve, without_query
@@ -101,8 +101,8 @@ def listing(captures: DataFrame) -> DataFrame:
     })
     rows = rows.withColumn(
         "reject",
-        F.when(~is_object(raw), "not an object").otherwise(
-            required(
+        item_reject(
+            raw, required(
                 job_id=F.col("job_id"), title=F.col("title"), company=F.col("company"), url=F.col("url"),
                 posted_at=F.col("posted_ts").cast("string"),
             )
@@ -197,7 +197,7 @@ def details(captures: DataFrame) -> DataFrame:
     )
     cache = F.col("cache")
     pages = pages.withColumn("job", F.try_element_at(cache, F.concat(F.lit("Job:"), F.col("job_id"))))
-    pages = pages.filter(kind_of(F.col("job")).startswith("OBJECT")).withColumn("item", resolved(F.col("job"), cache)).drop("cache", "job")
+    pages = pages.withColumn("item", resolved(F.col("job"), cache))
     item = F.col("item")
     pages = pages.withColumn("rich", clean(text_at(item["raw"], "$.descriptionJsonString")))
     pages = pages.withColumn("text", block_text(F.col("rich")))
@@ -209,6 +209,7 @@ def details(captures: DataFrame) -> DataFrame:
         html_text("text").alias("description"),
         fields["tags"].alias("tags"),
         F.lit(None).cast("string").alias("posted_at"),
+        F.coalesce(kind_of(F.col("job")).startswith("OBJECT"), F.lit(False)).alias("usable"),
     )
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from postlake.functions import lists, money
 from postlake.functions.dates import from_seconds, render_utc
-from postlake.functions.payload import int_at, is_object, list_at, text_at, text_or, truthy, at
+from postlake.functions.payload import int_at, item_reject, list_at, text_at, text_or, truthy, at
 from postlake.functions.text import clean, html_text, meta_description, sections, slugify, text_lines
 from postlake.sources.captures import detail_pages, explode_items, fetch_outcome, finish_listing, listing_pages, required
 
@@ -57,8 +57,8 @@ def listing(captures: DataFrame) -> DataFrame:
             lists.tag_list(F.array(clean(text_at(item, "$.job_function_name"))))
         ),
         "posted_at": render_utc(F.col("posted_ts")),
-        "reject": F.when(~is_object(item), "not an object").otherwise(
-            required(job_id=F.col("job_id"), title=F.col("title"), company=F.col("company"), posted_at=F.col("posted_ts").cast("string"))
+        "reject": item_reject(
+            item, required(job_id=F.col("job_id"), title=F.col("title"), company=F.col("company"), posted_at=F.col("posted_ts").cast("string"))
         ),
     })
     return finish_listing(rows)
@@ -84,8 +84,6 @@ def details(captures: DataFrame) -> DataFrame:
         text_lines("body").alias("lines"), meta_description("body").alias("meta"),
     )
     lines = F.col("lines")
-    # A page without text is a failed detail: no row.
-    pages = pages.filter(F.size(lines) > 0)
     pages = pages.withColumn("heading", lists.line_after(lines, TOP_LINE))
     pages = pages.withColumns({
         f"part_{i}": F.array_join(lists.section(lines, heading, (*HEADINGS[i + 1:], *STOPS)), "\n")
@@ -101,4 +99,6 @@ def details(captures: DataFrame) -> DataFrame:
         F.coalesce(sections(*parts), F.col("meta")).alias("description"),
         lists.section(lines, SKILLS_HEADING, STOPS).alias("tags"),
         F.lit(None).cast("string").alias("posted_at"),
+        # A page without text is a failed detail.
+        (F.size(lines) > 0).alias("usable"),
     )

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from postlake.functions import lists, money
 from postlake.functions.dates import from_micros, render_utc
-from postlake.functions.payload import amount_at, at, int_at, is_object, list_at, text_at, truthy
+from postlake.functions.payload import amount_at, at, int_at, item_reject, list_at, text_at, truthy
 from postlake.functions.text import clean, html_text, humanize, non_empty
 from postlake.sources.captures import explode_items, fetch_outcome, finish_listing, listing_pages, required
 
@@ -65,8 +65,8 @@ def listing(captures: DataFrame) -> DataFrame:
         "tags": lists.tag_list(F.array(*[non_empty(n) for n in names])),
         "description": F.when(F.col("rich").isNotNull(), html_text("rich")).otherwise(clean(text_at(item, "$.requirementStr"))),
         "posted_at": render_utc(F.col("posted_ts")),
-        "reject": F.when(~is_object(item), "not an object").otherwise(
-            required(job_id=F.col("job_id"), title=F.col("title"), slug=F.col("slug"), company=F.col("company"))
+        "reject": item_reject(
+            item, required(job_id=F.col("job_id"), title=F.col("title"), slug=F.col("slug"), company=F.col("company"))
         ),
     })
     return finish_listing(rows)

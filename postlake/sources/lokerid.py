@@ -304,11 +304,11 @@ def details(captures: DataFrame) -> DataFrame:
     pages = pages.withColumns({"jobs": parsed(found, no_links, F.col("scraped_ts")), "text": html_text("record.body")})
     usable = F.filter("jobs", lambda r: r["reject"].isNull())
     pages = pages.withColumn("job", F.try_element_at(usable, F.lit(1))["job"])
-    pages = pages.filter(F.col("job").isNotNull() | (record.isNull() & rendered.isNotNull()))
     return pages.select(
         "source", "run_id", "job_id", "fetched_at",
         *[F.col(f"job.{f}").alias(f) for f in ("location", "job_type", "salary_range", "url")],
         F.when(record.isNotNull(), F.col("text")).otherwise(rendered).alias("description"),
         F.coalesce(F.col("job.tags"), lists.empty_texts()).alias("tags"),
         F.col("job.posted_at").alias("posted_at"),
+        (F.col("job").isNotNull() | (record.isNull() & rendered.isNotNull())).alias("usable"),
     )
