@@ -234,7 +234,12 @@ def slug_urls(spark, sf):
     )
 
 
-@binding()
+@binding(r"""
+WITH bare AS (SELECT page_id, regexp_replace(regexp_replace(html, '(?s)<script[^>]*>.*?</script>|<style[^>]*>.*?</style>|<!--.*?-->', chr(10), 'g'), '<[^>]*>', chr(10), 'g') AS t FROM pages),
+decoded AS (SELECT page_id, regexp_replace(replace(replace(replace(t, '&middot;', chr(183)), '&copy;', chr(169)), '&quot;', '"'), '&amp;?', '&', 'g') AS t FROM bare),
+lines AS (SELECT page_id, trim(regexp_replace(regexp_replace(t, '[^\S\n]+', ' ', 'g'), ' *\n[ \n]*', chr(10), 'g'), ' ' || chr(10)) AS t FROM decoded)
+SELECT page_id, CAST(length(t) AS INTEGER) AS n_chars, md5(t) AS digest, CAST(length(t) - length(replace(t, chr(10), '')) + 1 AS INTEGER) AS n_lines FROM lines
+""")
 def html_text_lines(spark, sf):
     pages = table(spark, sf, "pages").select("page_id", text.html_text("html").alias("t"), text.text_lines("html").alias("lines"))
     return pages.select("page_id", F.length("t").alias("n_chars"), F.md5("t").alias("digest"), F.size("lines").alias("n_lines"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable
 from dataclasses import dataclass
 from functools import reduce
@@ -60,14 +61,16 @@ def run(
 
     pages = page_facts(staged, usable, b)
     cuts = cut_runs(pages, RUN_KEYS, b.rules(max_pages), max_pages)
-    kept = keep_reached(usable, cuts, RUN_KEYS)
-    if b.dedupes:
-        kept = first_seen(kept, JOB_KEYS, ["page_no", "pos"])
+    # The first row of a posting is on its earliest page and the cut keeps a prefix, so the order of the
+    # two does not matter for the result. It does for the shuffle: rows laid out by run for a large cut
+    # table would otherwise also serve the first-seen step, with a hot run in one task.
+    first = first_seen(usable, JOB_KEYS, ["page_no", "pos"]) if b.dedupes else usable
+    kept = keep_reached(first, cuts, RUN_KEYS)
     jobs, worklist = enrich(kept, clocked, b, fetch_details)
     return RunResult(
         jobs=jobs,
         pages=pages.join(cuts, RUN_KEYS).withColumn("kept", F.col("failed_on").isNull() & (F.col("page_no") <= F.col("last_kept"))),
-        runs=run_report(jobs, cuts),
+        runs=run_report(kept, cuts),
         rejects=staged.filter("reject IS NOT NULL").select(*PAGE_KEYS, "pos", "job_id", "title", "company", "reject"),
         worklist=worklist,
     )
@@ -105,9 +108,9 @@ def enrich(jobs: DataFrame, captures: DataFrame, b: Board, with_text: bool) -> t
     return joined.select(*order, *[merged.get(c, F.col(c)).alias(c) for c in JOB_COLS]), worklist
 
 
-def run_report(jobs: DataFrame, cuts: DataFrame) -> DataFrame:
+def run_report(kept: DataFrame, cuts: DataFrame) -> DataFrame:
     """Postings per run, with the last page read or the page that failed the run."""
-    counts = jobs.groupBy(*RUN_KEYS).agg(F.count(F.lit(1)).alias("jobs"))
+    counts = kept.groupBy(*RUN_KEYS).agg(F.count(F.lit(1)).alias("jobs"))
     return cuts.join(counts, RUN_KEYS, "left").withColumn("jobs", F.coalesce("jobs", F.lit(0)))
 
 
@@ -123,7 +126,5 @@ def postings(jobs: DataFrame) -> DataFrame:
 
 
 def _check_clock(scraped_at: str | Column) -> None:
-    import re
-
     if isinstance(scraped_at, str) and not re.match(ISO_SHAPE, scraped_at):
         raise ValueError("scraped_at must be a valid ISO 8601 timestamp")
