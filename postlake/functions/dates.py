@@ -83,14 +83,21 @@ def from_epoch(value: Column) -> Column:
 
 def parse_written(text: Column) -> Column:
     """``Y-m-d``, ``d-m-Y``, ``d/m/Y``, ``d Mon Y``; each with H:M:S, H:M or no time; UTC."""
-    line = F.regexp_replace(squeeze(text), r"^(\d{1,2})([-/])(\d{1,2})\2(\d{4})(?= |$)", "$4-$3-$1")
     named = r"^(\d{1,2}) ([A-Za-z]+) (\d{4})(?= |$)"
-    name = F.lower(F.regexp_extract(line, named, 2))
-    # Full names and their first three letters, twelve each.
-    month = (F.array_position(F.split(F.lit(MONTH_NAMES), " "), name) - 1) % 12 + 1
-    numbered = F.regexp_replace(line, named, F.concat(F.lit("$3-"), month.cast("string"), F.lit("-$1")))
-    line = F.when(name != "", numbered).otherwise(line)
-    return F.when(line.rlike(r"^\d{4}-\d{1,2}-\d{1,2}(?: \d{1,2}:\d{1,2}(?::\d{1,2})?)?$"), line.try_cast("timestamp"))
+    months = F.split(F.lit(MONTH_NAMES), " ")
+
+    def numbered(line: Column) -> Column:
+        # Full names and their first three letters, twelve each.
+        month = (F.array_position(months, F.lower(F.regexp_extract(line, named, 2))) - 1) % 12 + 1
+        return F.regexp_replace(line, named, F.concat(F.lit("$3-"), month.cast("string"), F.lit("-$1")))
+
+    def read(line: Column) -> Column:
+        return F.when(line.rlike(r"^\d{4}-\d{1,2}-\d{1,2}(?: \d{1,2}:\d{1,2}(?::\d{1,2})?)?$"), line.try_cast("timestamp"))
+
+    # One-element arrays, so that each step is computed once.
+    lines = F.array(F.regexp_replace(squeeze(text), r"^(\d{1,2})([-/])(\d{1,2})\2(\d{4})(?= |$)", "$4-$3-$1"))
+    lines = F.transform(lines, lambda line: F.when(line.rlike(named), numbered(line)).otherwise(line))
+    return F.transform(lines, read)[0]
 
 
 def parse_relative(text: Column, base: Column) -> Column:
@@ -102,16 +109,18 @@ def parse_relative(text: Column, base: Column) -> Column:
     )
     shape = rf"(\d+)\s*({'|'.join(words)})\s*(?:ago|lalu)"
     part = lambda hit, n: F.regexp_extract(hit, shape, n)
+    # A count too large for a number is beyond the calendar, as is anything over the cap.
+    count = lambda hit: F.least(F.coalesce(part(hit, 1).try_cast("bigint"), F.lit(COUNT_CAP)), F.lit(COUNT_CAP))
     # The smallest unit wins, and of one unit the first place in the text.
     hits = F.transform(
         F.regexp_extract_all(phrase, F.lit(shape), F.lit(0)),
-        lambda hit, i: F.struct(unit_of[part(hit, 2)].alias("unit"), i.alias("i"), part(hit, 1).try_cast("bigint").alias("n")),
+        lambda hit, i: F.struct(unit_of[part(hit, 2)].alias("unit"), i.alias("i"), count(hit).alias("n")),
     )
-    hit = F.array_min(hits)
-    # A count too large for a number is beyond the calendar, as is anything over the cap.
-    counted = F.when(hit.isNotNull(), F.least(F.coalesce(hit["n"], F.lit(COUNT_CAP)), F.lit(COUNT_CAP)) * hit["unit"])
-    back = F.when(phrase.isin(*NOW_WORDS), F.lit(0)).when(phrase.isin(*YESTERDAY_WORDS), F.lit(86400)).otherwise(counted)
-    return from_micros(F.unix_micros(base) - F.least(back, F.lit(SECONDS_CAP)) * 1_000_000)
+    words = F.when(phrase.isin(*NOW_WORDS), F.lit(0)).when(phrase.isin(*YESTERDAY_WORDS), F.lit(86400))
+    # One-element arrays, so that the steps before are computed once.
+    counted = F.transform(F.array(F.array_min(hits)), lambda hit: F.when(hit.isNotNull(), F.least(hit["unit"] * hit["n"], F.lit(SECONDS_CAP))))
+    micros = F.unix_micros(base) - F.coalesce(counted[0], words) * 1_000_000
+    return F.transform(F.array(micros), from_micros)[0]
 
 
 def parse_posted(number: Column, text: Column, base: Column) -> Column:

@@ -40,7 +40,8 @@ def compare(spark, con, sf, name) -> str:
         return f"COLUMNS {sorted(df.columns)} != {sorted(columns)}"
     if got == want:
         return f"ok ({len(got)})"
-    extra, missing = [r for r in got if r not in set(want)], [r for r in want if r not in set(got)]
+    seen, wanted = set(got), set(want)
+    extra, missing = [r for r in got if r not in wanted], [r for r in want if r not in seen]
     return f"DIFF rows {len(got)}/{len(want)} extra {extra[:3]} missing {missing[:3]}"
 
 
