@@ -7,7 +7,7 @@ bring a record's many spellings to one set of names and types; dates, money, URL
 from __future__ import annotations
 
 import json
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from typing import Any
 
 # Spellings of each field, in the order they are tried.
@@ -43,6 +43,13 @@ RECORD_LISTS = "jobs data items results list"
 META = "current_page last_page total links next_page_url prev_page_url"
 
 
+# Split once: the lookups run for every record.
+ALIASES = {field: tuple(keys.split()) for field, keys in ALIASES.items()}
+COMPANY, COMPANY_NAME, SHORT_ID, SHORT_TITLE = (tuple(keys.split()) for keys in (COMPANY, COMPANY_NAME, SHORT_ID, SHORT_TITLE))
+REMOTE, TAGS, BODY = ([(key,) for key in keys.split()] for keys in (REMOTE, TAGS, BODY))
+AREAS, RECORD_LISTS, META = (keys.split() for keys in (AREAS, RECORD_LISTS, META))
+
+
 def walk(node: Any) -> Iterator[Any]:
     """The node and everything below it, parents first, in written order."""
     stack = [node]
@@ -59,21 +66,24 @@ def objects(node: Any) -> list[dict]:
     return [n for n in walk(node) if isinstance(n, dict)]
 
 
-def find(nodes: list[dict], keys: str) -> Any:
-    """First value that is neither NULL nor '' under any of the keys."""
-    names = keys.split()
-    values = (node.get(name) for node in nodes for name in names)
-    return next((v for v in values if v is not None and v != ""), None)
+def find(nodes: list[dict], names: Sequence[str]) -> Any:
+    """First value that is neither NULL nor '' under any of the names."""
+    for node in nodes:
+        for name in names:
+            value = node.get(name)
+            if value is not None and value != "":
+                return value
+    return None
 
 
 def text(value: Any) -> str | None:
     return (value.strip() or None) if isinstance(value, str) else None
 
 
-def named(value: Any, keys: str) -> str | None:
+def named(value: Any, names: Sequence[str]) -> str | None:
     """Text of a value, or of an object's first filled key."""
     if isinstance(value, dict):
-        value = next(filter(None, map(value.get, keys.split())), None)
+        value = next(filter(None, map(value.get, names)), None)
     return text(value)
 
 
@@ -118,10 +128,10 @@ def canonical(record: dict, alt: bool = False) -> dict:
     """The record under one set of field names and types."""
     nodes = objects(record)
     found = {field: find(nodes, keys) for field, keys in ALIASES.items()}
-    flags = [find(nodes, key) for key in REMOTE.split()]
-    lists = [find(nodes, key) for key in TAGS.split()]
-    bodies = (text(find(nodes, key)) for key in BODY.split())
-    areas = [named(record.get(key), "name label") for key in AREAS.split()]
+    flags = [find(nodes, key) for key in REMOTE]
+    lists = [find(nodes, key) for key in TAGS]
+    bodies = (text(find(nodes, key)) for key in BODY)
+    areas = [named(record.get(key), ("name", "label")) for key in AREAS]
     number, written = posted(found["posted"])
     return {
         **{field: text(found[field]) for field in ("title", "slug", "link", "place", "kind", "kind_label", "pay", "currency")},
@@ -133,7 +143,7 @@ def canonical(record: dict, alt: bool = False) -> dict:
         "low": whole(found["pay_min"]),
         "high": whole(found["pay_max"]),
         "remote": any(f is True or (isinstance(f, str) and f.lower() == "remote") for f in flags),
-        "tags": [t for items in lists if isinstance(items, list) for i in items if (t := named(i, "name label title"))],
+        "tags": [t for items in lists if isinstance(items, list) for i in items if (t := named(i, ("name", "label", "title")))],
         "areas": [a for a in areas if a],
         "body": next(filter(None, bodies), None),
         "alt": alt,
@@ -150,7 +160,7 @@ def _records_at(node: Any) -> list | None:
     for route in loaders.values() if isinstance(loaders, dict) else ():
         if isinstance(route, dict) and isinstance(route.get("jobs"), list) and route["jobs"]:
             return route["jobs"]
-    for key in RECORD_LISTS.split():
+    for key in RECORD_LISTS:
         listed = node.get(key)
         kept = [i for i in listed if isinstance(i, dict)] if isinstance(listed, list) else []
         if kept:
@@ -168,7 +178,7 @@ def job_records(payload: Any) -> list[dict] | None:
 def page_meta(node: Any) -> dict:
     """Pagination facts: the first object with any of the keys; a ``meta`` object is looked into alone."""
     if isinstance(node, dict):
-        facts = {key: node[key] for key in META.split() if key in node}
+        facts = {key: node[key] for key in META if key in node}
         if facts:
             return facts
         below = [node["meta"]] if isinstance(node.get("meta"), dict) else node.values()

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from postlake.plans.staging import spread
 from postlake.sources.schema import CAPTURE_DDL
 
 CLOCK = "2026-03-16T12:00:00Z"
@@ -81,7 +82,7 @@ def karirhub(spark: SparkSession, sf: str) -> DataFrame:
     ]
     html = text("<html><body><main>", *[p for line in lines for p in ("<div> ", line, "</div>\n")], "</main></body></html>")
     details = captures(
-        rows.filter(status == "P"), source=F.lit("karirhub"), run_id=run_id(F.expr("o_orderkey div 2000")), kind=F.lit("detail_html"),
+        spread(rows.filter(status == "P")), source=F.lit("karirhub"), run_id=run_id(F.expr("o_orderkey div 2000")), kind=F.lit("detail_html"),
         job_id=text("c", cust), fetched_at=F.timestamp_seconds(key), body=html,
     )
     listing = captures(pages, source=F.lit("karirhub"), run_id=run_id(F.col("run")), kind=F.lit("listing_api"), page_no=F.col("page_no"), body=body)
@@ -141,7 +142,7 @@ def dealls(spark: SparkSession, sf: str) -> DataFrame:
         F.when(key % 4 == 0, "<ul><li>Lead.</li><li>Care&nbsp;more.</li></ul>").alias("responsibilities"), F.lit("").alias("requirements"),
     ).alias("result")).alias("data")))
     details = captures(
-        rows.filter(segment != "BUILDING"), source=F.lit("dealls"), run_id=run_id(F.expr("c_custkey div 300")), kind=F.lit("detail_api"),
+        spread(rows.filter(segment != "BUILDING")), source=F.lit("dealls"), run_id=run_id(F.expr("c_custkey div 300")), kind=F.lit("detail_api"),
         job_id=text("d", key), fetched_at=F.timestamp_seconds(key), body=result,
     )
     return listing.unionByName(details)

@@ -194,7 +194,7 @@ def test_script_context_and_records():
     assert records.page_meta({"a": {"meta": {"last_page": 3, "z": 1}}}) == {"last_page": 3}
     # Deep lookup: this level first by alias order, then below in written order.
     nodes = records.objects({"b": {"title": "deep"}, "name": "flat", "position": ""})
-    assert records.find(nodes, "title name") == "flat" and records.find(nodes, "title") == "deep"
+    assert records.find(nodes, ("title", "name")) == "flat" and records.find(nodes, ("title",)) == "deep"
 
 
 def test_inner_record_used_when_outer_is_no_job():
