@@ -17,7 +17,6 @@ from postlake.operators.merge import detail_worklist, fill_tags, merge_sources,
 from postlake.operators.page_cut import CutRules, cut_runs
 from postlake.operators.recency import recent_only
 from postlake.plans.boards import BOARDS
-from postlake.plans.staging import spread
 from postlake.sources import glints, karirhub, kitalulus, lokerid
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -39,11 +38,6 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
-def spread_table(spark: SparkSession, sf: str, name: str, *columns: str) -> DataFrame:
-    """A table for costly row work; the small test files are one split each."""
-    return spread(table(spark, sf, name).select(*columns))
-
-
 def utc(column: str) -> F.Column:
     return F.col(column).cast("timestamp")
 
@@ -247,7 +241,7 @@ lines AS (SELECT page_id, trim(regexp_replace(regexp_replace(t, '[^\S\n]+', ' ',
 SELECT page_id, CAST(length(t) AS INTEGER) AS n_chars, md5(t) AS digest, CAST(length(t) - length(replace(t, chr(10), '')) + 1 AS INTEGER) AS n_lines FROM lines
 """)
 def html_text_lines(spark, sf):
-    pages = spread_table(spark, sf, "pages", "page_id", "html").select("page_id", text.html_text("html").alias("t"), text.text_lines("html").alias("lines"))
+    pages = table(spark, sf, "pages").select("page_id", "html").select("page_id", text.html_text("html").alias("t"), text.text_lines("html").alias("lines"))
     return pages.select("page_id", F.length("t").alias("n_chars"), F.md5("t").alias("digest"), F.size("lines").alias("n_lines"))
 
 
@@ -264,7 +258,7 @@ def html_text_of_fragments(spark, sf):
     html = F.concat(
         F.lit("<style>b{}</style><ul><!-- x --><li>"), F.replace(escaped, F.lit("\n"), F.lit("<br/><script>var t = '<p>';</script></li><li class=\"a>b\">")), F.lit("</li></ul>")
     )
-    docs = spread_table(spark, sf, "documents", "doc_id", "text").select("doc_id", text.html_text(html).alias("t")).filter("t IS NOT NULL")
+    docs = table(spark, sf, "documents").select("doc_id", "text").select("doc_id", text.html_text(html).alias("t")).filter("t IS NOT NULL")
     return docs.select("doc_id", F.size(F.split("t", "\n")).cast("bigint").alias("n_lines"), F.md5("t").alias("digest"))
 
 
@@ -338,7 +332,7 @@ def money_plus_and_strings(spark, sf):
     shapes = [F.concat(F.lit("+"), cust), F.concat(F.lit(" "), cust, F.lit(" ")), F.concat(F.lit("1_0"), cust), F.concat(cust, F.lit(".0")), F.lit("x"), F.concat(F.lit("-"), cust)]
     number = F.array(*shapes)[(key % 6).cast("int")]
     code = F.when(key % 4 == 0, None).when(key % 4 == 1, "idr").when(key % 4 == 2, " RP ").otherwise(F.concat(F.lower("o_orderstatus"), F.lit("sd")))
-    return spread_table(spark, sf, "orders", "o_orderkey", "o_custkey", "o_totalprice", "o_orderstatus", "o_orderpriority").select(
+    return table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_totalprice", "o_orderstatus", "o_orderpriority").select(
         key, kitalulus.salary(amount(3, price), amount(4, price * 2), low_text, high_text).alias("pay"),
         money.lenient_int_text(number).alias("whole"), money.currency_label(code).alias("currency"),
     )
@@ -408,7 +402,7 @@ SELECT page_id, len(regexp_extract_all(html, '<a href="', 0)) AS n_links FROM pa
 """)
 def link_count(spark, sf):
     found = lokerid.page_markup(F.col("html"))["links"]
-    return spread_table(spark, sf, "pages", "page_id", "html").select("page_id", F.size(found).cast("bigint").alias("n_links"))
+    return table(spark, sf, "pages").select("page_id", "html").select("page_id", F.size(found).cast("bigint").alias("n_links"))
 
 
 # Pages and runs ----------------------------------------------------------------------------------
@@ -520,7 +514,7 @@ def common_dates(spark, sf):
     clock = F.format_string("%d:%02d", key % 24, key % 60)
     clock = F.when(key % 3 == 0, F.concat(clock, F.format_string(":%02d", F.col("o_custkey") % 60))).when(key % 3 == 1, clock)
     written = F.concat_ws("  ", F.when(key % 2 == 0, F.upper(date)).otherwise(date), clock)
-    return spread_table(spark, sf, "orders", "o_orderkey", "o_custkey", "o_orderdate").select(key, dates.render_utc(dates.parse_written(written)).alias("posted_at"))
+    return table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderdate").select(key, dates.render_utc(dates.parse_written(written)).alias("posted_at"))
 
 
 @binding("SELECT event_id, " + ISO_SQL.format("""make_timestamp(epoch_us(ts) - 1000000 * CASE event_id % 8 WHEN 0 THEN 60 * user_id WHEN 1 THEN 3600 * user_id
@@ -530,7 +524,7 @@ def relative_dates(spark, sf):
     phrases = ["{} menit lalu", "Posted {}  Hours ago", "{} hari lalu", "{} weeks ago!", "{}bulan lalu", "{} tahun lalu"]
     texts = [F.concat(F.lit(p.split("{}")[0]), n, F.lit(p.split("{}")[1])) for p in phrases] + [F.lit(" Kemarin"), F.lit("hari ini")]
     phrase = F.array(*texts)[(F.col("event_id") % 8).cast("int")]
-    return spread_table(spark, sf, "events", "event_id", "user_id", "ts").select("event_id", dates.render_utc(dates.parse_relative(phrase, utc("ts"))).alias("posted_at"))
+    return table(spark, sf, "events").select("event_id", "user_id", "ts").select("event_id", dates.render_utc(dates.parse_relative(phrase, utc("ts"))).alias("posted_at"))
 
 
 # Payloads, labels, tags --------------------------------------------------------------------------
@@ -575,7 +569,7 @@ SELECT c_custkey, concat_ws(', ', n_name, CASE WHEN c_custkey % 2 = 0 THEN r_nam
 FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey
 """)
 def location_format(spark, sf):
-    rows = spread_table(spark, sf, "customer", "c_custkey", "c_nationkey")
+    rows = table(spark, sf, "customer").select("c_custkey", "c_nationkey")
     rows = rows.join(table(spark, sf, "nation"), F.col("c_nationkey") == F.col("n_nationkey")).join(table(spark, sf, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
     remote = F.col("c_custkey") % 4 == 3
     level = lambda n, c: F.struct(F.lit(n).alias("level"), c.alias("name"))
@@ -597,7 +591,7 @@ SELECT c_custkey, CAST(c_custkey AS VARCHAR) AS id, c_name AS title, n_name AS c
   c_nationkey AS low, c_custkey % 2 = 0 AS remote FROM customer JOIN nation ON c_nationkey = n_nationkey
 """)
 def alias_lookup(spark, sf):
-    rows = spread_table(spark, sf, "customer", "c_custkey", "c_name", "c_nationkey", "c_mktsegment").join(table(spark, sf, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
+    rows = table(spark, sf, "customer").select("c_custkey", "c_name", "c_nationkey", "c_mktsegment").join(table(spark, sf, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
     key = F.col("c_custkey")
     flat = F.to_json(F.struct(
         F.lit("").alias("id"), key.alias("jobid"), F.col("c_name").alias("judul"), F.col("n_name").alias("perusahaan"), F.col("c_mktsegment").alias("kota"),
@@ -631,4 +625,4 @@ def card_scan(spark, sf):
             ]
             yield pd.DataFrame(rows, columns=["page_id", "pos", "href", "label"])
 
-    return spread_table(spark, sf, "pages", "page_id", "html").mapInPandas(cards, "page_id bigint, pos bigint, href string, label string")
+    return table(spark, sf, "pages").select("page_id", "html").mapInPandas(cards, "page_id bigint, pos bigint, href string, label string")
