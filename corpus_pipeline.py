@@ -17,13 +17,22 @@ if str(ROOT) not in sys.path:
     sys.path.insert(0, str(ROOT))
 
 from postlake.llm.bpe import TOKENIZER, encode_decode, tokenizer_path  # noqa: E402
-from postlake.llm.common import table  # noqa: E402
+from postlake.llm.common import crc_mod, table  # noqa: E402
 from postlake.llm.decontaminate import decontaminate  # noqa: E402
 from postlake.llm.line_dedup import dedup_lines  # noqa: E402
+from postlake.llm.near_dup import keep_one  # noqa: E402
+from postlake.llm.quality import fit_quality, score_quality  # noqa: E402
 from postlake.packaging import ship  # noqa: E402
 from postlake.plans.staging import stage  # noqa: E402
 
 
+def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier scores below one half go."""
+    ship(spark)
+    forest = fit_quality(docs, table(spark, sf_dir, "labels"), crc_mod("doc_id", 3) != 1)
+    return score_quality(docs, forest).filter("predicted = 1").select(*docs.columns)
+
+
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Repeated lines stay in the first document that holds them; no document goes."""
     ship(spark)
@@ -31,6 +40,12 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return out.withColumn("n_chars", F.length("text").cast("long"))
 
 
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of similar documents the one with the smallest id stays; documents without words all stay."""
+    ship(spark)
+    return keep_one(docs)
+
+
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a benchmark window go."""
     ship(spark)
@@ -45,7 +60,9 @@ def bpe_encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 STAGES = [
+    ("quality_classifier", quality_classifier),
     ("line_dedup", line_dedup),
+    ("near_duplicates", near_duplicates),
     ("benchmark_decontamination", benchmark_decontamination),
     ("bpe_encoding", bpe_encoding),
 ]
@@ -59,4 +76,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs
 
 
+#: The classifier and the encoder have no SQL; tests hold each stage against a brute-force version.
 ORACLE_SQL = None
