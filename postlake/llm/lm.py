@@ -60,8 +60,8 @@ class Slice:
     rows: list
 
 
-def slices(batches: Iterator[pa.RecordBatch], at: int) -> Iterator[Slice]:
-    """Texts of column ``at``, gathered to about ``SLICE_TOKENS`` tokens; A-Z lower-cased, words between ASCII blanks."""
+def slices(batches: Iterator[pa.RecordBatch], at: int, limit: int) -> Iterator[Slice]:
+    """Texts of column ``at``, gathered to about ``limit`` tokens; A-Z lower-cased, words between ASCII blanks."""
     words: list[bytes] = []
     starts: list[int] = []
     rows: list[tuple[pa.RecordBatch, int]] = []
@@ -81,7 +81,7 @@ def slices(batches: Iterator[pa.RecordBatch], at: int) -> Iterator[Slice]:
             words += (text or "").encode().lower().split()
             words.append(END)
             rows.append((batch, i))
-            if len(words) >= SLICE_TOKENS:
+            if len(words) >= limit:
                 yield cut()
     if rows:
         yield cut()
@@ -246,7 +246,7 @@ def joined(data: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
 
 def train(docs: DataFrame, usable: Column) -> Model:
     """Count the model over all texts of the ``usable`` rows of ``docs`` and store it."""
-    spark = docs.sparkSession
+    spark, limit = docs.sparkSession, SLICE_TOKENS
     folder = mounted(new_folder(spark, "lm"))
     texts = docs.filter(usable).select(text_of().alias("text"))
     size = texts.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
@@ -254,7 +254,7 @@ def train(docs: DataFrame, usable: Column) -> Model:
     model = Model(folder, bits, np.zeros(1 << bits, np.int64), 0, 0)
 
     def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for s in slices(batches, 0):
+        for s in slices(batches, 0, limit):
             hashes = np.concatenate([s.hashes, [START_HASH]])
             counts = np.concatenate([np.bincount(s.tokens, minlength=len(s.hashes)), [len(s.rows)]])
             hashes, counts = summed(hashes, counts)
@@ -276,7 +276,7 @@ def train(docs: DataFrame, usable: Column) -> Model:
 
     def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         start = int(model.words(np.array([START_HASH]), False)[0][0])
-        for s in slices(batches, 0):
+        for s in slices(batches, 0, limit):
             numbers, _ = model.words(s.hashes, False)
             keys, counts = np.unique(pair_keys(*with_start(s, numbers, start)), return_counts=True)
             yield dealt(keys, counts, model.shard(mixed(keys)))
@@ -356,11 +356,11 @@ def score_texts(docs: DataFrame, model: Model) -> DataFrame:
     Without training texts every token has probability 1.
     """
     own = ["n_tokens", "n_known", "base_score", "score", "perplexity"]
-    kept = docs.drop(*own)
+    kept, limit = docs.drop(*own), SLICE_TOKENS
     at = kept.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for s in slices(batches, at):
+        for s in slices(batches, at, limit):
             columns = slice_scores(s, model)
             columns = [*columns, 10 ** (-columns[3] / columns[0])]
             taken, k = [], 0

@@ -21,7 +21,7 @@ def vectors(spark, rows):
 
 def test_against_brute_force(spark):
     rnd = random.Random(4)
-    rows = [(i, [rnd.choice([-1, -0.5, 0, 0.25, 1.0]) * rnd.choice([1, 1, 0.125]) for _ in range(8)]) for i in range(0, 900)]
+    rows = [(i, [rnd.choice([-1.0, -0.5, 0.0, 0.25, 1.0]) * rnd.choice([1, 1, 0.125]) for _ in range(8)]) for i in range(0, 900)]
     got = vectors(spark, [(*r, 0) for r in rows])
     for block_rows in (64, 10_000):
         out = top_k(got, got.filter("vec_id % 100 = 0"), 10, block_rows=block_rows)
