@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from postlake.llm.common import mounted, new_folder, publish, table, text_of
+from postlake.plans.staging import stage
 
 TOKENIZER = "byte_bpe_50k.json"
 LEXICON_WORDS = 50_000
@@ -32,6 +33,9 @@ SLICE_WORDS = 300_000
 CACHED_WORDS = 400_000
 #: Words up to this length are merged by plain scans, longer ones with a heap.
 SCAN_BYTES = 48
+NO_MERGE = 2**31 - 1
+#: Texts are split and looked up together up to about so many characters.
+BATCH_CHARS = 1 << 20
 
 # Fixed value: the split that the byte-level tokenizers apply before the merges.
 WORD = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+"
@@ -49,6 +53,13 @@ class Vocabulary:
         self.byte_id = [ids[c] for c in letters]
         merges = [m if isinstance(m, list) else m.split(" ") for m in spec["model"]["merges"]]
         self.merges = {(ids[a], ids[b]): (rank, ids[a + b]) for rank, (a, b) in enumerate(merges)}
+        keys = np.array([a << 32 | b for a, b in self.merges], np.int64)
+        order = np.argsort(keys)
+        # The same merges for many words at once: pair keys in order, with rank and result of each, and a last row for no merge.
+        self.pair_keys = np.append(keys[order], np.iinfo(np.int64).max)
+        self.pair_ranks = np.append(np.array([r for r, _ in self.merges.values()], np.int32)[order], NO_MERGE)
+        self.rank_ids = np.array([i for _, i in self.merges.values()], np.int32)
+        self.byte_ids = np.array(self.byte_id, np.int32)
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         size = max([*ids.values(), *self.special.values()]) + 1
         self.bytes_of = [b""] * size
@@ -83,6 +94,54 @@ class Vocabulary:
             parts = out
         return parts
 
+    def ranks(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        keys = left.astype(np.int64) << 32 | right
+        at = np.searchsorted(self.pair_keys, keys)
+        return np.where(self.pair_keys[at] == keys, self.pair_ranks[at], NO_MERGE)
+
+    def merge_many(self, words: list[bytes]) -> list[bytes]:
+        """Ids of each word as 32-bit numbers: ``merge`` on all words of about one length together, one merge a step."""
+        out: list[bytes] = [b""] * len(words)
+        sizes = np.array([len(w) for w in words], np.int64)
+        low = 0
+        for high in (4, 8, 12, 16, 24, 32, SCAN_BYTES):
+            chosen = np.flatnonzero((sizes > low) & (sizes <= high))
+            low = high
+            if len(chosen):
+                ids, n = self._merge_rows([words[i] for i in chosen], sizes[chosen], high)
+                for i, row, k in zip(chosen.tolist(), ids, n.tolist()):
+                    out[i] = row[:k].tobytes()
+        for i in np.flatnonzero(sizes > SCAN_BYTES).tolist():
+            out[i] = np.array(self.merge(words[i]), "<u4").tobytes()
+        return out
+
+    def _merge_rows(self, words: list[bytes], sizes: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
+        raw = np.array(words, f"S{width}").view(np.uint8).reshape(len(words), width)
+        places = np.arange(width)
+        ids = np.where(places < sizes[:, None], self.byte_ids[raw], 0)
+        ranks = np.full((len(words), width), NO_MERGE, np.int32)
+        inner = places[1:] < sizes[:, None]
+        ranks[:, :-1][inner] = self.ranks(ids[:, :-1][inner], ids[:, 1:][inner])
+        n, done_ids, live = sizes.copy(), np.zeros((len(words), width), "<u4"), np.arange(len(words))
+        while True:
+            best = ranks.argmin(axis=1)
+            rank = ranks[np.arange(len(live)), best]
+            going = rank != NO_MERGE
+            done_ids[live[~going]] = ids[~going]
+            if not going.any():
+                return done_ids, n
+            live, ids, ranks, best, rank = live[going], ids[going], ranks[going], best[going], rank[going]
+            rows = np.arange(len(live))
+            # The pair becomes one id, and what stands to its right moves up.
+            from_ = np.minimum(places + (places > best[:, None]), width - 1)
+            ids, ranks = np.take_along_axis(ids, from_, 1), np.take_along_axis(ranks, from_, 1)
+            ids[rows, best] = self.rank_ids[rank]
+            n[live] -= 1
+            ranks[rows, n[live] - 1] = NO_MERGE
+            for at in (best - 1, best):
+                some = (at >= 0) & (at + 1 < n[live])
+                ranks[rows[some], at[some]] = self.ranks(ids[rows[some], at[some]], ids[rows[some], at[some] + 1])
+
     def _merge_long(self, parts: list[int]) -> list[int]:
         n = len(parts)
         after, before, ranked = [*range(1, n), -1], [*range(-1, n - 1)], self.merges.get
@@ -167,7 +226,7 @@ def compile_lexicon(words: dict[bytes, list[int]]) -> bytes:
     starts = np.cumsum([0, *map(len, ids)])
     columns = [first, targets, skips, [int(s[0]) for s in states], starts, [i for w in ids for i in w]]
     arrays = [np.asarray(c, "<u4").tobytes() for c in columns]
-    head = np.asarray([len(a) // 4 for a in arrays] + [len(labels)], "<u4").tobytes()
+    head = np.asarray([len(a) // 4 for a in arrays] + [len(labels), max(map(len, order), default=1)], "<u4").tobytes()
     return head + b"".join(arrays) + bytes(labels)
 
 
@@ -177,28 +236,49 @@ class Lexicon:
     def __init__(self, path: str):
         with open(path, "rb") as f:
             self.map = mmap.mmap(f.fileno(), 0, access=mmap.ACCESS_READ)
-        *sizes, n_labels = np.frombuffer(self.map, "<u4", 7).tolist()
+        *sizes, n_labels, longest = np.frombuffer(self.map, "<u4", 8).tolist()
         whole = memoryview(self.map)
-        views, at = [], 28
+        views, at = [], 32
         for size in sizes:
             views.append(whole[at : at + 4 * size].cast("I"))
             at += 4 * size
-        self.first, self.target, self.skip, self.is_word, self.starts, self.ids = views
-        self.labels, self.root = at, len(self.first) - 2
+        first, target, skip, is_word, self.starts, self.ids = views
+        self.root = len(first) - 2
+        self.targets, self.skips, self.word = (np.frombuffer(v, "<u4").astype(np.int64) for v in (target, skip, is_word))
+        # States stand in order and so do the arcs of each: (state, byte) is a sorted key.
+        labels = np.frombuffer(whole[at : at + n_labels], np.uint8).astype(np.int64)
+        self.states = len(first) - 1
+        self.arcs = np.repeat(np.arange(self.states), np.diff(np.frombuffer(first, "<u4").astype(np.int64))) * 256 + labels
+        self.longest = int(longest)
 
     def find(self, word: bytes) -> memoryview | None:
-        state, number = self.root, 0
-        first, labels, find = self.first, self.labels, self.map.find
-        for i in range(len(word)):
-            low, high = first[state], first[state + 1]
-            arc = find(word[i : i + 1], labels + low, labels + high) - labels
-            if arc < low:
-                return None
-            number += self.skip[arc]
-            state = self.target[arc]
-        if not self.is_word[state]:
-            return None
-        return self.ids[self.starts[number] : self.starts[number + 1]]
+        number = int(self.numbers([word])[0])
+        return None if number < 0 else self.ids[self.starts[number] : self.starts[number + 1]]
+
+    def numbers(self, words: list[bytes]) -> np.ndarray:
+        """The number of each word, -1 for those not in it: all words take one arc a step."""
+        out = np.full(len(words), -1)
+        sizes = np.array([len(w) for w in words], np.int64)
+        live = np.flatnonzero((sizes > 0) & (sizes <= self.longest))
+        if not len(live):
+            return out
+        raw = np.array([words[i] for i in live], f"S{self.longest}").view(np.uint8).reshape(len(live), self.longest)
+        row, state, number = np.arange(len(live)), np.full(len(live), self.root), np.zeros(len(live), np.int64)
+        for at in range(self.longest):
+            ended = sizes[live[row]] == at
+            real = ended & (self.word[state] > 0)
+            out[live[row[real]]] = number[real]
+            row, state, number = row[~ended], state[~ended], number[~ended]
+            if not len(row):
+                return out
+            keys = state * 256 + raw[row, at]
+            arc = np.minimum(np.searchsorted(self.arcs, keys), len(self.arcs) - 1)
+            hit = self.arcs[arc] == keys
+            row, arc = row[hit], arc[hit]
+            state, number = self.targets[arc], number[hit] + self.skips[arc]
+        real = self.word[state] > 0
+        out[live[row[real]]] = number[real]
+        return out
 
 
 @lru_cache(maxsize=2)
@@ -214,28 +294,42 @@ class Encoder(dict):
         self.lexicon = lexicon(lexicon_path) if lexicon_path else None
         self.merged = 0
 
-    def __missing__(self, word: str) -> bytes:
-        raw = word.encode()
-        ids = self.lexicon.find(raw) if self.lexicon else None
-        if ids is None:
-            self.merged += 1
-            out = np.array(self.vocabulary.merge(raw), "<u4").tobytes()
-        else:
-            out = ids.tobytes()
-        if len(raw) <= 256:
-            self[word] = out
-        return out
-
-    def encode(self, text: str) -> list[int]:
+    def learn(self, words: list[str]) -> None:
+        raw = [w.encode() for w in words]
+        number = self.lexicon.numbers(raw) if self.lexicon else np.full(len(raw), -1)
+        new = np.flatnonzero(number < 0).tolist()
+        self.merged += len(new)
+        for i, ids in zip(new, self.vocabulary.merge_many([raw[i] for i in new])):
+            self[words[i]] = ids
+        if self.lexicon:
+            starts, ids = self.lexicon.starts, self.lexicon.ids
+            for i in np.flatnonzero(number >= 0).tolist():
+                k = int(number[i])
+                self[words[i]] = ids[starts[k] : starts[k + 1]].tobytes()
+
+    def encode_many(self, texts: list[str]) -> list[list[int]]:
+        """Ids of each text; special-token strings in it get their ids."""
         v = self.vocabulary
+        cut: list[list[str]] = []
+        for text in texts:
+            if v.specials and any(s in text for s in v.special):
+                parts = v.specials.split(text)
+                # Every second part is a special token; a word cannot be one, as it would have been split off.
+                cut.append([w for i, p in enumerate(parts) for w in ([p] if i % 2 else v.split(p))])
+            else:
+                cut.append(v.split(text))
         if len(self) > CACHED_WORDS:
             self.clear()
-        if v.specials and any(s in text for s in v.special):
-            parts = v.specials.split(text)
-            raw = b"".join(np.array([v.special[p]], "<u4").tobytes() if i % 2 else b"".join(map(self.__getitem__, v.split(p))) for i, p in enumerate(parts))
-        else:
-            raw = b"".join(map(self.__getitem__, v.split(text)))
-        return memoryview(raw).cast("I").tolist()
+        for special, i in v.special.items():
+            self[special] = np.array([i], "<u4").tobytes()
+        self.learn(list(set().union(*cut) - self.keys()))
+        out = [memoryview(b"".join(map(self.__getitem__, words))).cast("I").tolist() for words in cut]
+        if len(self) > 2 * CACHED_WORDS or any(len(t) > BATCH_CHARS for t in texts):
+            self.clear()  # a very long text may have had very many or very long words
+        return out
+
+    def encode(self, text: str) -> list[int]:
+        return self.encode_many([text])[0]
 
     def decode(self, ids: list[int]) -> str:
         return b"".join(map(self.vocabulary.bytes_of.__getitem__, ids)).decode("utf-8", "replace")
@@ -246,6 +340,20 @@ def encoder(tokenizer: str, lexicon_path: str | None) -> Encoder:
     return Encoder(tokenizer, lexicon_path)
 
 
+def every_ids(enc: Encoder, texts: pa.Array) -> Iterator[list[int]]:
+    """Ids of each text of a column; NULL has none. Texts are taken together up to ``BATCH_CHARS``."""
+    waiting: list[str] = []
+    size = 0
+    for text in texts:
+        waiting.append(text.as_py() or "")
+        size += len(waiting[-1])
+        if size >= BATCH_CHARS:
+            yield from enc.encode_many(waiting)
+            waiting, size = [], 0
+    if waiting:
+        yield from enc.encode_many(waiting)
+
+
 def frequent_words(docs: DataFrame, tokenizer: str, limit: int = LEXICON_WORDS) -> list[str]:
     """The most frequent words of all texts: a bounded list, for the driver to compile."""
 
@@ -265,7 +373,16 @@ def frequent_words(docs: DataFrame, tokenizer: str, limit: int = LEXICON_WORDS)
         yield frequent()
 
     counts = docs.select(text_of().alias("text")).mapInArrow(pieces, "piece string, n long").groupBy("piece").agg(F.sum("n").alias("n"))
-    top = counts.orderBy(F.desc("n"), "piece").limit(limit).collect()
+    counts = stage(counts, "pieces")
+    # The count that leaves at most ``limit`` pieces, from a histogram of a few hundred steps: no sort, and no more than that reach the driver.
+    step = F.floor(F.log2("n") * 16).cast("int")
+    held, least = 0, None
+    for size, n in sorted(((r.size, r.n) for r in counts.groupBy(step.alias("size")).agg(F.count(F.lit(1)).alias("n")).collect()), reverse=True):
+        held += n
+        if held > limit and least is not None:
+            break
+        least = size
+    top = counts.filter(step >= (0 if least is None else least)).orderBy(F.desc("n"), "piece").limit(limit).collect()
     split = vocabulary(tokenizer).split
     words: Counter[str] = Counter()
     for piece, n in top:
@@ -301,8 +418,7 @@ def encode_decode(docs: DataFrame, tokenizer: str, lexicon_path: str | None = No
         decimal = enc.vocabulary.decimal.__getitem__
         for batch in batches:
             out: dict[str, list] = {name: [] for name in own}
-            for text in batch.column(at).to_pylist():
-                ids = enc.encode(text or "")
+            for ids in every_ids(enc, batch.column(at)):
                 out["n_tokens"].append(len(ids))
                 out["ids_sha256"].append(hashlib.sha256(",".join(map(decimal, ids)).encode()).hexdigest())
                 out["decoded_sha256"].append(hashlib.sha256(enc.decode(ids).encode()).hexdigest())
