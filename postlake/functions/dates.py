@@ -21,24 +21,21 @@ ISO_SHAPE = (
 )
 # English month names, full and short.
 MONTH_NAMES = (
-    "january february march april may june july august september october november december "
-    "jan feb mar apr may jun jul aug sep oct nov dec"
+    "january", "february", "march", "april", "may", "june", "july", "august", "september", "october", "november",
+    "december", "jan", "feb", "mar", "apr", "may", "jun", "jul", "aug", "sep", "oct", "nov", "dec",
 )
 # Words for "now" and for one day ago.
 NOW_WORDS = ("today", "hari ini", "just now", "baru saja", "sekarang")
 YESTERDAY_WORDS = ("yesterday", "kemarin")
 # Unit words of "<n> <unit> ago", with their seconds, in search order.
 UNIT_WORDS = (
-    (60, "minute minutes min mins menit"),
-    (3600, "hour hours hr hrs jam"),
-    (86400, "day days hari"),
-    (7 * 86400, "week weeks minggu"),
-    (30 * 86400, "month months bulan"),
-    (365 * 86400, "year years tahun"),
+    (60, ("minute", "minutes", "min", "mins", "menit")),
+    (3600, ("hour", "hours", "hr", "hrs", "jam")),
+    (86400, ("day", "days", "hari")),
+    (7 * 86400, ("week", "weeks", "minggu")),
+    (30 * 86400, ("month", "months", "bulan")),
+    (365 * 86400, ("year", "years", "tahun")),
 )
-# Far beyond the calendar, and small enough for the products below.
-COUNT_CAP = 10**10
-SECONDS_CAP = 10**12
 
 
 def parse_iso(text: Column) -> Column:
@@ -84,7 +81,7 @@ def from_epoch(value: Column) -> Column:
 def parse_written(text: Column) -> Column:
     """``Y-m-d``, ``d-m-Y``, ``d/m/Y``, ``d Mon Y``; each with H:M:S, H:M or no time; UTC."""
     named = r"^(\d{1,2}) ([A-Za-z]+) (\d{4})(?= |$)"
-    months = F.split(F.lit(MONTH_NAMES), " ")
+    months = F.lit(list(MONTH_NAMES))
 
     def numbered(line: Column) -> Column:
         # Full names and their first three letters, twelve each.
@@ -103,14 +100,14 @@ def parse_written(text: Column) -> Column:
 def parse_relative(text: Column, base: Column) -> Column:
     """``2 days ago`` / ``3 jam lalu`` and the like, counted back from ``base``."""
     phrase = F.lower(clean(text))
-    words = [word for _, names in UNIT_WORDS for word in names.split()]
+    words = [word for _, names in UNIT_WORDS for word in names]
     unit_of = F.map_from_arrays(
-        F.split(F.lit(" ".join(words)), " "), F.lit([unit for unit, names in UNIT_WORDS for _ in names.split()])
+        F.lit(words), F.lit([unit for unit, names in UNIT_WORDS for _ in names])
     )
     shape = rf"(\d+)\s*({'|'.join(words)})\s*(?:ago|lalu)"
     part = lambda hit, n: F.regexp_extract(hit, shape, n)
-    # A count too large for a number is beyond the calendar, as is anything over the cap.
-    count = lambda hit: F.least(F.coalesce(part(hit, 1).try_cast("bigint"), F.lit(COUNT_CAP)), F.lit(COUNT_CAP))
+    # A count or a span too large for a number is beyond the calendar: NULL.
+    count = lambda hit: part(hit, 1).try_cast("bigint")
     # The smallest unit wins, and of one unit the first place in the text.
     hits = F.transform(
         F.regexp_extract_all(phrase, F.lit(shape), F.lit(0)),
@@ -118,8 +115,8 @@ def parse_relative(text: Column, base: Column) -> Column:
     )
     words = F.when(phrase.isin(*NOW_WORDS), F.lit(0)).when(phrase.isin(*YESTERDAY_WORDS), F.lit(86400))
     # One-element arrays, so that the steps before are computed once.
-    counted = F.transform(F.array(F.array_min(hits)), lambda hit: F.when(hit.isNotNull(), F.least(hit["unit"] * hit["n"], F.lit(SECONDS_CAP))))
-    micros = F.unix_micros(base) - F.coalesce(counted[0], words) * 1_000_000
+    counted = F.transform(F.array(F.array_min(hits)), lambda hit: F.try_multiply(hit["unit"].cast("bigint"), hit["n"]))
+    micros = F.try_subtract(F.unix_micros(base), F.try_multiply(F.coalesce(counted[0], words.cast("bigint")), F.lit(1_000_000)))
     return F.transform(F.array(micros), from_micros)[0]
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -26,21 +28,33 @@ def text_of(value: Column) -> Column:
     return F.try_variant_get(value, "$", "string")
 
 
+def bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value computed once, however often it is named there.
+
+    A column expression is copied into every place it is used in, nested ones many times over; the variable of a
+    one-element ``transform`` is not.
+    """
+    return F.get(F.transform(F.array(value), use), 0)
+
+
 def text_at(doc: Column, path: str) -> Column:
     """String at the path; numbers, booleans and containers give NULL."""
-    return F.when(kind_of(at(doc, path)) == "STRING", at(doc, path, "string"))
+    return bound(at(doc, path), lambda v: F.when(kind_of(v) == "STRING", v.cast("string")))
 
 
 def int_at(doc: Column, path: str) -> Column:
     """Whole JSON number at the path; decimals and booleans give NULL."""
-    return F.when(kind_of(at(doc, path)) == "BIGINT", at(doc, path, "bigint"))
+    return bound(at(doc, path), lambda v: F.when(kind_of(v) == "BIGINT", v.cast("bigint")))
 
 
 def amount_at(doc: Column, path: str) -> Column:
     """Any JSON number at the path, cut to a whole number."""
-    kind = kind_of(at(doc, path))
-    number = (kind == "BIGINT") | (kind == "DOUBLE") | kind.startswith("DECIMAL")
-    return F.when(number, at(doc, path, "double").try_cast("bigint"))
+
+    def whole(v: Column) -> Column:
+        is_number = lambda kind: (kind == "BIGINT") | (kind == "DOUBLE") | kind.startswith("DECIMAL")
+        return F.when(bound(kind_of(v), is_number), v.cast("double").try_cast("bigint"))
+
+    return bound(at(doc, path), whole)
 
 
 def list_at(doc: Column, path: str) -> Column:
@@ -49,15 +63,17 @@ def list_at(doc: Column, path: str) -> Column:
 
 def truthy(value: Column) -> Column:
     """Whether a value counts when alternatives are tried: not NULL, empty, zero or false."""
-    kind = kind_of(value)
-    other = ~F.to_json(value).isin(*FALSY)
-    return F.when(kind == "STRING", text_of(value) != "").when(kind.isNull() | (kind == "VOID"), F.lit(False)).otherwise(other)
+
+    def counts(v: Column) -> Column:
+        return F.when(v.isNull(), F.lit(False)).otherwise(~F.to_json(v).isin(*FALSY))
+
+    return bound(value, counts)
 
 
 def text_or(doc: Column, *paths: str) -> Column:
     """Text of the first path that holds any value; a non-text there gives NULL."""
-    picks = [F.when(truthy(at(doc, p)), F.struct(text_at(doc, p).alias("text"))) for p in paths]
-    return F.coalesce(*picks).getField("text")
+    first = lambda v: F.when(truthy(v), F.struct(F.when(kind_of(v) == "STRING", v.cast("string")).alias("text")))
+    return F.coalesce(*[bound(at(doc, p), first) for p in paths]).getField("text")
 
 
 def is_object(value: Column) -> Column:
@@ -92,5 +108,8 @@ def script_objects(html: Column, marker: str) -> Column:
 
 def deref(cache: Column, value: Column) -> Column:
     """Follow ``{"__ref": key}`` one step into a cache map; other values stay."""
-    ref = text_at(value, "$.__ref")
-    return F.when(ref.isNotNull(), F.try_element_at(cache, ref)).otherwise(value)
+
+    def follow(v: Column) -> Column:
+        return bound(text_at(v, "$.__ref"), lambda ref: F.when(ref.isNotNull(), F.try_element_at(cache, ref)).otherwise(v))
+
+    return bound(value, follow)

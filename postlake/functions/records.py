@@ -12,42 +12,49 @@ from typing import Any
 
 # Spellings of each field, in the order they are tried.
 ALIASES = {
-    "id": "id jobid job_id jobId uuid lowongan_id lowonganId id_lowongan idLowongan",
-    "title": "title job_title jobTitle name position judul nama_lowongan namaPekerjaan posisi",
+    "id": (
+        "id", "jobid", "job_id", "jobId", "uuid", "lowongan_id", "lowonganId", "id_lowongan", "idLowongan",
+    ),
+    "title": (
+        "title", "job_title", "jobTitle", "name", "position", "judul", "nama_lowongan", "namaPekerjaan", "posisi",
+    ),
     "posted": (
-        "posted_at postedAt published_at publishedAt publish_at publishAt created_at createdAt updated_at updatedAt "
-        "date_posted datePosted job_date jobDate tanggal_posting tanggal_publikasi diposting_pada dipublikasikan_pada"
+        "posted_at", "postedAt", "published_at", "publishedAt", "publish_at", "publishAt", "created_at", "createdAt",
+        "updated_at", "updatedAt", "date_posted", "datePosted", "job_date", "jobDate", "tanggal_posting",
+        "tanggal_publikasi", "diposting_pada", "dipublikasikan_pada",
     ),
-    "slug": "slug path permalink",
-    "link": "url job_url detail_url link tautan tautan_lowongan url_lowongan",
-    "link_id": "id jobid job_id uuid",
-    "place": "location job_location location_name lokasi lokasi_kerja kota provinsi",
-    "kind": "job_type employment_type employmentType type jobType jenis_pekerjaan tipe_pekerjaan",
-    "kind_label": "job_type_label employment_type_label",
-    "pay": "salary salary_text salary_display salary_range gaji gaji_text salaryInfo",
-    "pay_min": "salary_min salary_from min_salary minSalary",
-    "pay_max": "salary_max salary_to max_salary maxSalary",
-    "currency": "salary_currency currency salaryCurrency",
+    "slug": ("slug", "path", "permalink"),
+    "link": ("url", "job_url", "detail_url", "link", "tautan", "tautan_lowongan", "url_lowongan"),
+    "link_id": ("id", "jobid", "job_id", "uuid"),
+    "place": ("location", "job_location", "location_name", "lokasi", "lokasi_kerja", "kota", "provinsi"),
+    "kind": (
+        "job_type", "employment_type", "employmentType", "type", "jobType", "jenis_pekerjaan", "tipe_pekerjaan",
+    ),
+    "kind_label": ("job_type_label", "employment_type_label"),
+    "pay": ("salary", "salary_text", "salary_display", "salary_range", "gaji", "gaji_text", "salaryInfo"),
+    "pay_min": ("salary_min", "salary_from", "min_salary", "minSalary"),
+    "pay_max": ("salary_max", "salary_to", "max_salary", "maxSalary"),
+    "currency": ("salary_currency", "currency", "salaryCurrency"),
 }
 COMPANY = (
-    "company company_name companyName nama_perusahaan namaPerusahaan perusahaan employer_name employerName employer "
-    "organization organization_name organizationName organisasi"
+    "company", "company_name", "companyName", "nama_perusahaan", "namaPerusahaan", "perusahaan", "employer_name",
+    "employerName", "employer", "organization", "organization_name", "organizationName", "organisasi",
 )
-COMPANY_NAME = "name company_name title label"
-SHORT_ID, SHORT_TITLE = "id jobid job_id uuid", "title job_title name position"
-REMOTE = "work_arrangement workArrangement work_location is_remote remote kerja_remote wfh work_from_home"
-TAGS = "job_skills skills tags keywords keahlian skill kata_kunci"
-BODY = "description job_description description_text full_description deskripsi deskripsi_pekerjaan keterangan"
-AREAS = "city district province country"
-RECORD_LISTS = "jobs data items results list"
-META = "current_page last_page total links next_page_url prev_page_url"
-
-
-# Split once: the lookups run for every record.
-ALIASES = {field: tuple(keys.split()) for field, keys in ALIASES.items()}
-COMPANY, COMPANY_NAME, SHORT_ID, SHORT_TITLE = (tuple(keys.split()) for keys in (COMPANY, COMPANY_NAME, SHORT_ID, SHORT_TITLE))
-REMOTE, TAGS, BODY = ([(key,) for key in keys.split()] for keys in (REMOTE, TAGS, BODY))
-AREAS, RECORD_LISTS, META = (keys.split() for keys in (AREAS, RECORD_LISTS, META))
+COMPANY_NAME = ("name", "company_name", "title", "label")
+SHORT_ID = ("id", "jobid", "job_id", "uuid")
+SHORT_TITLE = ("title", "job_title", "name", "position")
+REMOTE = (
+    "work_arrangement", "workArrangement", "work_location", "is_remote", "remote", "kerja_remote", "wfh",
+    "work_from_home",
+)
+TAGS = ("job_skills", "skills", "tags", "keywords", "keahlian", "skill", "kata_kunci")
+BODY = (
+    "description", "job_description", "description_text", "full_description", "deskripsi", "deskripsi_pekerjaan",
+    "keterangan",
+)
+AREAS = ("city", "district", "province", "country")
+RECORD_LISTS = ("jobs", "data", "items", "results", "list")
+META = ("current_page", "last_page", "total", "links", "next_page_url", "prev_page_url")
 
 
 def walk(node: Any) -> Iterator[Any]:
@@ -128,9 +135,9 @@ def canonical(record: dict, alt: bool = False) -> dict:
     """The record under one set of field names and types."""
     nodes = objects(record)
     found = {field: find(nodes, keys) for field, keys in ALIASES.items()}
-    flags = [find(nodes, key) for key in REMOTE]
-    lists = [find(nodes, key) for key in TAGS]
-    bodies = (text(find(nodes, key)) for key in BODY)
+    flags = [find(nodes, (key,)) for key in REMOTE]
+    lists = [find(nodes, (key,)) for key in TAGS]
+    bodies = (text(find(nodes, (key,))) for key in BODY)
     areas = [named(record.get(key), ("name", "label")) for key in AREAS]
     number, written = posted(found["posted"])
     return {

@@ -65,6 +65,19 @@ def rendered_description(html: pd.Series) -> pd.Series:
     return html.map(markup.keyword_block, na_action="ignore")
 
 
+@F.pandas_udf(T.ArrayType(T.StringType()))
+def html_texts(fragments: pd.Series) -> pd.Series:
+    """``html_text`` of every fragment of an array."""
+    return fragments.map(lambda parts: [None if p is None else markup.plain_text(p) for p in parts], na_action="ignore")
+
+
+@F.pandas_udf(T.StructType([T.StructField("lines", T.ArrayType(T.StringType())), T.StructField("meta", T.StringType())]))
+def lines_and_meta(html: pd.Series) -> pd.DataFrame:
+    """Text lines of a page and the content of its ``description`` meta element."""
+    lines = html.map(markup.lines, na_action="ignore")
+    return pd.DataFrame({"lines": lines, "meta": html.map(markup.meta_description, na_action="ignore")}, index=html.index)
+
+
 def sections(*parts: tuple[str | None, Column]) -> Column:
     """Join ``(heading, text)`` parts by a blank line, leaving out the empty ones."""
     texts = [text if heading is None else F.concat(F.lit(heading + "\n"), text) for heading, text in parts]

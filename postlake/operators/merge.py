@@ -27,9 +27,9 @@ def longer_tags(current: Column, candidate: Column, count: Column) -> Column:
 
 
 def fold_first(df: DataFrame, keys: Sequence[str], fields: Sequence[str], order: str) -> DataFrame:
-    """One row per key with each field's first non-NULL value by order; combined before the shuffle."""
+    """One row per key with each field's first non-NULL value by order, and the first order; combined before the shuffle."""
     firsts = [F.min_by(f, F.when(F.col(f).isNotNull(), F.col(order))).alias(f) for f in fields]
-    return df.groupBy(*keys).agg(*firsts)
+    return df.groupBy(*keys).agg(*firsts, F.min(order).alias(order))
 
 
 def merge_sources(
@@ -40,9 +40,7 @@ def merge_sources(
     ``is_fallback`` with the order column gives the row order. A repeated fallback key is folded
     first, so both sides stay unique per key and the join cannot grow on a hot key.
     """
-    folded = fold_first(fallback, keys, fields, order).join(
-        fallback.groupBy(*keys).agg(F.min(order).alias(order)), list(keys)
-    )
+    folded = fold_first(fallback, keys, fields, order)
     left, right = primary.alias("l"), folded.alias("r")
     on = [F.col(f"l.{k}") == F.col(f"r.{k}") for k in keys]
     known = F.col(f"l.{keys[0]}").isNotNull()

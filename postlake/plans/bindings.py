@@ -267,17 +267,18 @@ SELECT conv_id, max(CASE WHEN turn = 1 THEN body END) AS first_reply, max(CASE W
   max(turn) AS last_turn FROM (SELECT conv_id, turn, md5(text) AS body FROM conversations) GROUP BY conv_id
 """)
 def section_lines(spark, sf):
-    # A talk as a page of lines: each turn under its own heading, then an end line.
-    parts = F.array_sort(F.collect_list(F.struct("turn", F.md5("text").alias("body"))))
-    talks = table(spark, sf, "conversations").groupBy("conv_id").agg(parts.alias("parts"))
-    lines = F.flatten(F.transform("parts", lambda p: F.array(F.concat(F.lit("Turn "), p["turn"]), p["body"])))
-    talks = talks.select("conv_id", F.concat(lines, F.array(F.lit("End"), F.col("parts")[0]["body"])).alias("lines"), F.size("parts").alias("n"))
+    # The first two turns of a talk as a page of lines, each under its own heading, then an end line; no talk is gathered whole.
+    body = lambda turn: F.max(F.when(F.col("turn") == turn, F.md5("text")))
+    talks = table(spark, sf, "conversations").groupBy("conv_id").agg(body(0).alias("one"), body(1).alias("two"), F.max("turn").alias("last"))
+    turn = lambda n, body: F.when(F.col(body).isNotNull(), F.array(F.lit(f"Turn {n}"), F.col(body))).otherwise(F.array().cast("array<string>"))
+    lines = F.concat(turn(0, "one"), turn(1, "two"), F.array(F.lit("End"), F.coalesce("one", "two")))
+    talks = talks.select("conv_id", lines.alias("lines"), "last")
     only = lambda a: F.try_element_at(a, F.lit(1))
     return talks.select(
         "conv_id",
         lists.line_after(F.col("lines"), "Turn 1").alias("first_reply"),
         only(lists.section(F.col("lines"), "Turn 0", ["End", "Turn 1"])).alias("opening"),
-        (F.col("n") - 1).cast("bigint").alias("last_turn"),
+        F.col("last").cast("bigint").alias("last_turn"),
     )
 
 

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from postlake.plans import derived
-from postlake.plans.bindings import ISO_SQL, binding, table, utc
+from postlake.plans.bindings import ISO_SQL, binding, table
 from postlake.plans.run import run, run_all
-from postlake.plans.staging import shared_folder, stage
+from postlake.plans.staging import shared_folder
+from postlake.sources.captures import read_captures, write_captures
 from postlake.sources.schema import JOB_COLS
 from postlake.sources.snapshot import read_snapshot, write_snapshot
 from postlake.streaming.ingest import first_seen_stream, posting_stream, read_capture_stream, write_stream
@@ -157,29 +158,85 @@ def run_all_first_pages(spark, sf):
 # Sinks and streams -------------------------------------------------------------------------------
 
 
-@binding("""
-SELECT 'k' || o_orderkey AS job_id, o_orderpriority AS title, CASE WHEN o_orderstatus = 'F' THEN NULL ELSE o_orderstatus END AS location, 'a|' || o_orderstatus AS tags,
-  CASE WHEN o_custkey % 2 = 0 THEN '20260316T120000Z' ELSE '20260317T000000Z' END AS snapshot FROM orders
-""")
-def snapshot_roundtrip(spark, sf):
+def _jobs_of_orders(spark, sf):
     none = F.lit(None).cast("string")
-    jobs = table(spark, sf, "orders").select(
-        F.lit("dealls").alias("source"), F.concat(F.lit("k"), F.col("o_orderkey")).alias("job_id"), F.col("o_orderpriority").alias("title"),
+    return table(spark, sf, "orders").select(
+        F.lit("dealls").alias("source"), F.concat(F.lit("r"), F.col("o_custkey") % 2).alias("run_id"), (F.col("o_orderkey") % 100 + 1).cast("int").alias("page_no"),
+        F.col("o_orderkey").cast("int").alias("pos"), F.concat(F.lit("k"), F.col("o_orderkey")).alias("job_id"), F.col("o_orderpriority").alias("title"),
         F.lit("Co").alias("company"), F.when(F.col("o_orderstatus") != "F", F.col("o_orderstatus")).alias("location"), none.alias("job_type"),
         none.alias("salary_range"), F.lit("u").alias("url"), none.alias("description"), F.array(F.lit("a"), F.col("o_orderstatus")).alias("tags"),
         none.alias("posted_at"), F.when(F.col("o_custkey") % 2 == 0, "2026-03-16T12:00:00Z").otherwise("2026-03-17T00:00:00Z").alias("scraped_at"),
     )
+
+
+@binding("""
+SELECT 'k' || o_orderkey AS job_id, o_orderpriority AS title, CASE WHEN o_orderstatus = 'F' THEN NULL ELSE o_orderstatus END AS location, 'a|' || o_orderstatus AS tags,
+  CASE WHEN o_custkey % 2 = 0 THEN '20260316T120000Z' ELSE '20260317T000000Z' END AS snapshot,
+  row_number() OVER (PARTITION BY o_custkey % 2 ORDER BY o_orderkey % 100, o_orderkey) AS place FROM orders
+""")
+def snapshot_roundtrip(spark, sf):
     path = _new_folder(spark, "snapshot")
-    write_snapshot(jobs, path)
-    return read_snapshot(spark, path).select("job_id", "title", "location", F.array_join("tags", "|").alias("tags"), "snapshot")
+    write_snapshot(_jobs_of_orders(spark, sf), path)
+    # The place of a posting in its snapshot: files by name, lines as they stand.
+    rows = read_snapshot(spark, path).withColumns({"file": F.input_file_name(), "line": F.monotonically_increasing_id()})
+    place = F.row_number().over(Window.partitionBy("snapshot", "run_id").orderBy("file", "line"))
+    return rows.select("job_id", "title", "location", F.array_join("tags", "|").alias("tags"), "snapshot", place.cast("bigint").alias("place"))
+
+
+@binding("SELECT 'k' || o_orderkey AS job_id, 'r' || o_custkey % 2 AS run_id FROM orders")
+def snapshot_two_runs(spark, sf):
+    path = _new_folder(spark, "snapshots")
+    jobs = _jobs_of_orders(spark, sf).withColumn("scraped_at", F.lit("2026-03-16T12:00:00Z"))
+    # Two runs with one clock, written one after the other, and the second once more.
+    for run_key in ("r0", "r1", "r1"):
+        write_snapshot(jobs.filter(F.col("run_id") == run_key), path)
+    return read_snapshot(spark, path).select("job_id", "run_id")
+
+
+LATE_SQL = "SELECT 'K' || p_partkey AS job_id FROM part WHERE p_partkey % 60 <> 0 AND p_partkey % 37 BETWEEN 1 AND 30"
+
+
+@binding(LATE_SQL)
+def stream_late_captures(spark, sf):
+    """Files a year, three months and no time old, newest first, each in a micro-batch of its own."""
+    path = _new_folder(spark, "late")
+    for i, days in enumerate((0, 90, 365)):
+        rows = derived.kitalulus(spark, sf, days).filter(F.regexp_extract("run_id", "[0-9]+", 0).cast("int") % 3 == i)
+        dated = rows.withColumns({"fetched_at": F.timestamp_seconds(F.lit(derived.CLOCK_SECONDS - days * derived.DAY))})
+        dated.coalesce(1).write.mode("append").parquet(f"{path}/landed")
+    captures = read_capture_stream(spark, f"{path}/landed", max_files=1)
+    write_stream(posting_stream(captures, "kitalulus"), f"{path}/out", f"{path}/state").awaitTermination()
+    return spark.read.schema("job_id STRING, source STRING").json(f"{path}/out").select("job_id")
+
+
+@binding(f"""
+WITH {KARIRHUB_ITEMS}
+SELECT 'r' || run AS run_id, count(*) AS jobs FROM kept WHERE rn = 1 GROUP BY run
+""")
+def listing_retries(spark, sf):
+    """Every page captured three times: a failed attempt first, then the good one, then a later one without postings."""
+    good = derived.karirhub(spark, sf).filter("kind = 'listing_api'").withColumn("fetched_at", F.timestamp_seconds(F.lit(2)))
+    failed = good.withColumns({"status_code": F.lit(503), "body": F.lit(None).cast("string"), "fetched_at": F.timestamp_seconds(F.lit(1))})
+    later = good.withColumns({"body": F.lit('{"data":[]}'), "fetched_at": F.timestamp_seconds(F.lit(3))})
+    return run(good.unionByName(failed).unionByName(later), "karirhub", **ALL).runs.select("run_id", "jobs")
+
+
+@binding("""
+SELECT 'r' || (p_partkey // 400) AS run_id, 'K' || p_partkey AS job_id FROM part
+WHERE p_partkey % 60 <> 0 AND p_partkey % 37 BETWEEN 1 AND 30 AND p_partkey % 400 // 20 + 1 <= 17
+""")
+def capture_table_run(spark, sf):
+    """The batch capture table: written by source and run, read back, a board run on it."""
+    path = _new_folder(spark, "captures")
+    write_captures(derived.kitalulus(spark, sf).unionByName(derived.dealls(spark, sf)), path)
+    return run(read_captures(spark, path), "kitalulus", **ALL).jobs.select("run_id", "job_id")
 
 
 @binding("SELECT DISTINCT user_id, event_type FROM events")
 def stream_first_seen(spark, sf):
     schema = table(spark, sf, "events").schema
     events = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf)
-    timed = events.withColumn("seen", utc("ts")).withWatermark("seen", "30 days")
-    once = first_seen_stream(timed, ["user_id", "event_type"]).select("user_id", "event_type")
+    once = first_seen_stream(events, ["user_id", "event_type"]).select("user_id", "event_type")
     path = _new_folder(spark, "stream")
     once.writeStream.format("parquet").option("path", f"{path}/out").option("checkpointLocation", f"{path}/state").trigger(availableNow=True).start().awaitTermination()
     return spark.read.schema(once.schema).parquet(f"{path}/out")
@@ -190,9 +247,9 @@ SELECT DISTINCT 'K' || p_partkey AS job_id FROM part WHERE p_partkey % 60 <> 0 A
 """)
 def stream_postings(spark, sf):
     clock = F.timestamp_seconds(F.lit(derived.CLOCK_SECONDS))
-    landed = stage(derived.kitalulus(spark, sf).withColumn("fetched_at", clock), "landed")
-    captures = read_capture_stream(spark, landed.inputFiles()[0].rsplit("/", 1)[0])
     path = _new_folder(spark, "postings")
+    derived.kitalulus(spark, sf).withColumn("fetched_at", clock).write.parquet(f"{path}/landed")
+    captures = read_capture_stream(spark, f"{path}/landed")
     write_stream(posting_stream(captures, "kitalulus"), f"{path}/out", f"{path}/state").awaitTermination()
     return spark.read.schema("job_id STRING, source STRING").json(f"{path}/out").select("job_id")
 

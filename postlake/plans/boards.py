@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from postlake.functions.lists import tag_list
-from postlake.functions.text import clean
+from postlake.functions.text import clean, html_text
 from postlake.operators.merge import fill_tags, longer_tags, more_specific
 from postlake.operators.page_cut import CutRules
 from postlake.sources import dealls, glints, karirhub, kitalulus, lokerid
@@ -28,6 +28,13 @@ class Board:
     needs: Callable[[bool], Column | None]
     merge: Callable[[Column, bool], Merged]
     dedupes: bool
+    #: Descriptions of listing items are HTML, to be read where the posting is kept.
+    has_markup: bool = False
+
+
+def read_markup(rows: DataFrame, b: Board) -> DataFrame:
+    """Descriptions that came as HTML, as text."""
+    return rows.withColumn("description", F.coalesce("description", html_text("markup"))) if b.has_markup else rows
 
 
 def _page() -> Column:
@@ -183,7 +190,7 @@ BOARDS = {
         ),
         Board(
             kitalulus.NAME, kitalulus.listing, None, _kitalulus_rules,
-            lambda with_text: None, lambda d, with_text: {}, dedupes=False,
+            lambda with_text: None, lambda d, with_text: {}, dedupes=False, has_markup=True,
         ),
         Board(lokerid.NAME, lokerid.listing, lokerid.details, _lokerid_rules, _lokerid_needs, _lokerid_merge, dedupes=True),
     )

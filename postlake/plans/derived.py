@@ -88,12 +88,13 @@ def karirhub(spark: SparkSession, sf: str) -> DataFrame:
     return listing.unionByName(details)
 
 
-def kitalulus(spark: SparkSession, sf: str) -> DataFrame:
+def kitalulus(spark: SparkSession, sf: str, age: int = 0) -> DataFrame:
+    """``age`` moves all postings so many days back."""
     key, size = F.col("p_partkey"), F.col("p_size")
     price = F.floor("p_retailprice")
     item = F.struct(
         F.when(key % 60 != 0, text("K", key)).alias("code"), F.col("p_name").alias("positionName"), F.replace("p_name", F.lit(" "), F.lit("-")).alias("slug"),
-        F.struct(F.col("p_brand").alias("name")).alias("company"), (days_ago(key, 37) * 1_000_000 + key).alias("updatedAt"),
+        F.struct(F.col("p_brand").alias("name")).alias("company"), ((days_ago(key, 37) - age * DAY) * 1_000_000 + key).alias("updatedAt"),
         F.when(size % 2 == 0, F.struct(F.col("p_type").alias("name"))).alias("city"), F.struct(F.lit("DKI Jakarta").alias("name")).alias("province"),
         F.when(size % 3 == 0, "Penuh Waktu ").alias("typeStr"), F.lit("PART_TIME").alias("type"),
         F.when(size % 4 != 0, price).otherwise(F.lit(0)).alias("salaryLowerBound"), F.when(size % 4 > 1, price * 2).otherwise(F.lit(0)).alias("salaryUpperBound"),

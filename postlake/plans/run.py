@@ -5,16 +5,17 @@ from __future__ import annotations
 import re
 from collections.abc import Iterable
 from dataclasses import dataclass
+from datetime import datetime
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from postlake.functions.dates import ISO_SHAPE, is_recent
 from postlake.operators.first_seen import first_seen
 from postlake.operators.merge import detail_worklist, with_details
 from postlake.operators.page_cut import cut_runs, keep_reached
-from postlake.plans.boards import BOARDS, DEFAULT_BOARD, Board, board
+from postlake.plans.boards import BOARDS, DEFAULT_BOARD, Board, board, read_markup
 from postlake.plans.staging import stage
 from postlake.sources.captures import with_clock
 from postlake.sources.schema import DETAIL_FIELDS, JOB_COLS, JOB_KEYS, PAGE_FACTS, PAGE_KEYS, RUN_KEYS
@@ -34,7 +35,8 @@ class RunResult:
 def normalize(captures: DataFrame, source: str, scraped_at: str | Column) -> DataFrame:
     """Every listing item of a board in the common shape, unfiltered, with its reject reason."""
     _check_clock(scraped_at)
-    return board(source).listing(with_clock(captures, scraped_at))
+    b = board(source)
+    return read_markup(b.listing(with_clock(captures, scraped_at)), b).drop("markup", "fetched_at", "attempt")
 
 
 def run(
@@ -44,10 +46,13 @@ def run(
     scraped_at: str | Column,
     max_pages: int | None = 1,
     fetch_details: bool = False,
+    work_folder: str | None = None,
 ) -> RunResult:
     """Postings of a board's runs: recent, on the pages the crawl reached, first seen, enriched.
 
-    ``scraped_at`` is the runs' clock: an ISO text, or a column the crawler wrote per run.
+    ``scraped_at`` is the runs' clock: an ISO text, or a column the crawler wrote per run; items without one go to
+    ``rejects``, as do those of captures without page number. Of several captures of one page the earliest readable one counts.
+    Intermediate tables go to ``work_folder`` (default: ``staging.shared_folder``), for the caller to remove.
     """
     if max_pages is not None and max_pages < 1:
         raise ValueError("max_pages must be at least 1")
@@ -56,7 +61,7 @@ def run(
     clocked = with_clock(captures, scraped_at)
     # A page past the limit can only matter as absent, so it is not even parsed.
     within = clocked if max_pages is None else clocked.filter(F.coalesce(F.col("page_no") <= max_pages, F.lit(True)))
-    staged = stage(b.listing(within), b.name)
+    staged = stage(one_attempt(b.listing(within)), b.name, work_folder)
     usable = staged.filter(F.col("pos").isNotNull() & F.col("reject").isNull() & is_recent(F.col("posted_ts"), F.col("scraped_ts")))
 
     pages = page_facts(staged, usable, b)
@@ -65,17 +70,32 @@ def run(
     # two does not matter for the result. It does for the shuffle: rows laid out by run for a large cut
     # table would otherwise also serve the first-seen step, with a hot run in one task.
     first = first_seen(usable, JOB_KEYS, ["page_no", "pos"]) if b.dedupes else usable
-    kept = keep_reached(first, cuts, RUN_KEYS)
-    jobs, worklist = enrich(kept, clocked, b, fetch_details)
+    kept = read_markup(keep_reached(first, cuts, RUN_KEYS), b)
+    jobs, worklist = enrich(kept, clocked, b, fetch_details, work_folder)
     return RunResult(
         jobs=jobs,
         pages=pages.join(cuts, RUN_KEYS).withColumn("kept", F.col("failed_on").isNull() & (F.col("page_no") <= F.col("last_kept"))),
-        runs=run_report(kept, cuts),
+        runs=run_report(first, cuts),
         rejects=staged.filter("reject IS NOT NULL").select(*PAGE_KEYS, "pos", "job_id", "title", "company", "reject"),
         worklist=worklist,
     )
 
 
+def one_attempt(rows: DataFrame) -> DataFrame:
+    """Rows of one capture per page: the earliest readable one, or the earliest if none is; equal captures count once.
+
+    Ranked on the narrow rows, not on the bodies; both windows hold one page's items and share one shuffle.
+    """
+    page = Window.partitionBy(*PAGE_KEYS)
+    best = page.orderBy(F.col("outcome") != "ok", F.col("fetched_at").asc_nulls_last(), "attempt")
+    same = Window.partitionBy(*PAGE_KEYS, "pos").orderBy("attempt")
+    ranked = rows.withColumn("_rank", F.rank().over(best))
+    # Without a page number there is no page to have attempts of.
+    lone = F.col("page_no").isNull()
+    chosen = ranked.filter(lone | (F.col("_rank") == 1)).withColumn("_copy", F.when(lone, 1).otherwise(F.row_number().over(same)))
+    return chosen.filter("_copy = 1").drop("_rank", "_copy")
+
+
 def page_facts(staged: DataFrame, usable: DataFrame, b: Board) -> DataFrame:
     """One row per page: its facts, its recent postings, and those first seen on it."""
     recent = F.col("pos").isNotNull() & F.col("reject").isNull() & is_recent(F.col("posted_ts"), F.col("scraped_ts"))
@@ -90,15 +110,17 @@ def page_facts(staged: DataFrame, usable: DataFrame, b: Board) -> DataFrame:
     return pages.join(new, PAGE_KEYS, "left").withColumn("new_jobs", F.coalesce("new_jobs", F.lit(0)))
 
 
-def enrich(jobs: DataFrame, captures: DataFrame, b: Board, with_text: bool) -> tuple[DataFrame, DataFrame]:
+def enrich(jobs: DataFrame, captures: DataFrame, b: Board, with_text: bool, work_folder: str | None = None) -> tuple[DataFrame, DataFrame]:
     """Postings with what their detail pages add, and those whose detail page is still to be taken."""
     order = [*RUN_KEYS, "page_no", "pos"]
     needs = b.needs(with_text)
     if b.details is None or needs is None:
         # Nothing to add: the detail captures are not even read.
         return jobs.select(*order, *JOB_COLS), jobs.filter(F.lit(False)).select(*JOB_KEYS, "url")
-    # Parsed once for both uses below; the flag is read back, as a filter here would parse twice.
-    details = stage(b.details(captures), f"{b.name}-details").filter("usable")
+    # Only pages of postings that need them are parsed, and once for both uses below; the flag is read back, as a
+    # filter here would parse twice.
+    wanted = captures.join(jobs.filter(needs).select(*JOB_KEYS).distinct(), JOB_KEYS, "left_semi")
+    details = stage(b.details(wanted), f"{b.name}-details", work_folder).filter("usable")
     worklist = detail_worklist(jobs, details, JOB_KEYS, needs).select(*JOB_KEYS, "url")
     joined = with_details(jobs, details, JOB_KEYS, DETAIL_FIELDS)
     apply = needs & F.col("detail").isNotNull()
@@ -108,9 +130,13 @@ def enrich(jobs: DataFrame, captures: DataFrame, b: Board, with_text: bool) -> t
     return joined.select(*order, *[merged.get(c, F.col(c)).alias(c) for c in JOB_COLS]), worklist
 
 
-def run_report(kept: DataFrame, cuts: DataFrame) -> DataFrame:
-    """Postings per run, with the last page read or the page that failed the run."""
-    counts = kept.groupBy(*RUN_KEYS).agg(F.count(F.lit(1)).alias("jobs"))
+def run_report(first: DataFrame, cuts: DataFrame) -> DataFrame:
+    """Postings per run, with the last page read or the page that failed the run.
+
+    Counted by page before the cut is joined, so that a long run is spread and only its page counts meet.
+    """
+    pages = first.groupBy(*PAGE_KEYS).agg(F.count(F.lit(1)).alias("jobs"))
+    counts = keep_reached(pages, cuts, RUN_KEYS).groupBy(*RUN_KEYS).agg(F.sum("jobs").alias("jobs"))
     return cuts.join(counts, RUN_KEYS, "left").withColumn("jobs", F.coalesce("jobs", F.lit(0)))
 
 
@@ -126,5 +152,11 @@ def postings(jobs: DataFrame) -> DataFrame:
 
 
 def _check_clock(scraped_at: str | Column) -> None:
-    if isinstance(scraped_at, str) and not re.match(ISO_SHAPE, scraped_at):
-        raise ValueError("scraped_at must be a valid ISO 8601 timestamp")
+    if not isinstance(scraped_at, str):
+        return
+    try:
+        right = re.match(ISO_SHAPE, scraped_at) and datetime.fromisoformat(scraped_at.replace(",", "."))
+    except ValueError:
+        right = None
+    if not right:
+        raise ValueError(f"scraped_at must be a valid ISO 8601 timestamp, not {scraped_at!r}")

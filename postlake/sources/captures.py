@@ -19,9 +19,10 @@ def write_captures(captures: DataFrame, path: str) -> None:
 
 
 def with_clock(captures: DataFrame, scraped_at: str | Column) -> DataFrame:
-    """Add the run's clock: one ISO text for all, or a column the crawler wrote per run."""
+    """Add the run's clock (one ISO text for all, or a column the crawler wrote per run) and what tells attempts at a page apart."""
     text = F.lit(scraped_at) if isinstance(scraped_at, str) else scraped_at
-    return captures.withColumns({"scraped_at": text, "scraped_ts": parse_iso(text)})
+    attempt = F.xxhash64("status_code", "error", "fetched_at", "body", "body_text")
+    return captures.withColumns({"scraped_at": text, "scraped_ts": parse_iso(text), "attempt": attempt})
 
 
 def listing_pages(captures: DataFrame, source: str) -> DataFrame:
@@ -58,8 +59,12 @@ def explode_items(pages: DataFrame, items: Column) -> DataFrame:
 
 def finish_listing(rows: DataFrame) -> DataFrame:
     """Common shape; a rejected item keeps its reason and no required field is dropped silently."""
-    has_item = F.col("pos").isNotNull()
-    return rows.withColumn("reject", F.when(has_item, F.col("reject"))).select(*LISTING_COLS)
+    given = {"markup": F.col("markup") if "markup" in rows.columns else F.lit(None).cast("string")}
+    # Without a clock nothing is recent, and without a page number no page rule can speak for the item.
+    reject = F.coalesce(
+        F.col("reject"), F.when(F.col("scraped_ts").isNull(), "missing scraped_at"), F.when(F.col("page_no").isNull(), "missing page_no")
+    )
+    return rows.withColumns({**given, "reject": F.when(F.col("pos").isNotNull(), reject)}).select(*LISTING_COLS)
 
 
 def required(**columns: Column) -> Column:

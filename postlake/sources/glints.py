@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 from postlake.functions import lists, markup, money
 from postlake.functions.dates import parse_iso
 from postlake.functions.payload import (
-    amount_at, at, deref, int_at, is_object, item_reject, kind_of, list_at, next_data, next_data_status, text_at, text_or, truthy,
+    amount_at, at, bound, deref, int_at, is_object, item_reject, kind_of, list_at, next_data, next_data_status, text_at, text_or, truthy,
 )
 from postlake.functions.text import clean, html_text, humanize, non_empty
 from postlake.functions.urls import resolve, without_query
@@ -125,10 +125,17 @@ def cached_search(payload: Column, cache: Column) -> Column:
 
 def resolved(item: Column, cache: Column, links: Column | None = None) -> Column:
     """The item with its linked objects looked up, so that no cache travels with each row."""
-    item = deref(cache, item)
+    return bound(deref(cache, item), lambda i: linked(i, cache, links))
+
+
+def linked(item: Column, cache: Column, links: Column | None) -> Column:
     look = lambda path: deref(cache, at(item, path))
     each = lambda doc, path: F.transform(list_at(doc, path), lambda x: deref(cache, x))
-    place = look("$.location")
+    with_place = lambda place: parts_of(item, place, look, each, cache, links)
+    return bound(look("$.location"), with_place)
+
+
+def parts_of(item: Column, place: Column, look, each, cache: Column, links: Column | None) -> Column:
     return F.struct(
         item.alias("raw"),
         look("$.company").alias("company"),

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from postlake.functions import lists, money
 from postlake.functions.dates import from_seconds, render_utc
 from postlake.functions.payload import int_at, item_reject, list_at, text_at, text_or, truthy, at
-from postlake.functions.text import clean, html_text, meta_description, sections, slugify, text_lines
+from postlake.functions.text import clean, html_texts, lines_and_meta, sections, slugify
 from postlake.sources.captures import detail_pages, explode_items, fetch_outcome, finish_listing, listing_pages, required
 
 NAME = "karirhub"
@@ -78,18 +78,20 @@ def detail_url(title: Column, job_id: Column) -> Column:
     return F.concat(F.lit(LISTING_URL + "/"), slugify(title), F.lit("-"), job_id)
 
 
-def details(captures: DataFrame) -> DataFrame:
-    pages = detail_pages(captures, NAME).select(
-        "source", "run_id", "job_id", "fetched_at",
-        text_lines("body").alias("lines"), meta_description("body").alias("meta"),
-    )
+def details(captures: DataFrame, stops: tuple[str, ...] = STOPS) -> DataFrame:
+    """``stops`` are the lines that end a section besides the next heading."""
+    # The page is read once, for both.
+    pages = detail_pages(captures, NAME).select("source", "run_id", "job_id", "fetched_at", lines_and_meta("body").alias("page"))
+    pages = pages.select("source", "run_id", "job_id", "fetched_at", "page.*")
     lines = F.col("lines")
     pages = pages.withColumn("heading", lists.line_after(lines, TOP_LINE))
     pages = pages.withColumns({
-        f"part_{i}": F.array_join(lists.section(lines, heading, (*HEADINGS[i + 1:], *STOPS)), "\n")
+        f"part_{i}": F.array_join(lists.section(lines, heading, (*HEADINGS[i + 1:], *stops)), "\n")
         for i, heading in enumerate(HEADINGS)
     })
-    parts = [(heading, html_text(F.nullif(F.col(f"part_{i}"), F.lit("")))) for i, heading in enumerate(HEADINGS)]
+    # All sections are read in one call.
+    pages = pages.withColumn("texts", html_texts(F.array(*[F.nullif(F.col(f"part_{i}"), F.lit("")) for i in range(len(HEADINGS))])))
+    parts = [(heading, F.col("texts")[i]) for i, heading in enumerate(HEADINGS)]
     return pages.select(
         "source", "run_id", "job_id", "fetched_at",
         lists.line_after(lines, F.col("heading")).alias("location"),
@@ -97,7 +99,7 @@ def details(captures: DataFrame) -> DataFrame:
         F.nullif(lists.line_after(lines, SALARY_LABEL), F.lit(HIDDEN)).alias("salary_range"),
         F.lit(None).cast("string").alias("url"),
         F.coalesce(sections(*parts), F.col("meta")).alias("description"),
-        lists.section(lines, SKILLS_HEADING, STOPS).alias("tags"),
+        lists.section(lines, SKILLS_HEADING, stops).alias("tags"),
         F.lit(None).cast("string").alias("posted_at"),
         # A page without text is a failed detail.
         (F.size(lines) > 0).alias("usable"),

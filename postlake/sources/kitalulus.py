@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from postlake.functions import lists, money
 from postlake.functions.dates import from_micros, render_utc
 from postlake.functions.payload import amount_at, at, int_at, item_reject, list_at, text_at, truthy
-from postlake.functions.text import clean, html_text, humanize, non_empty
+from postlake.functions.text import clean, humanize, non_empty
 from postlake.sources.captures import explode_items, fetch_outcome, finish_listing, listing_pages, required
 
 NAME = "kitalulus"
@@ -63,7 +63,8 @@ def listing(captures: DataFrame) -> DataFrame:
         "salary_range": salary(F.col("low"), F.col("high"), F.col("low_text"), F.col("high_text")),
         "url": F.concat(F.lit(DETAIL_URL), F.col("slug")),
         "tags": lists.tag_list(F.array(*[non_empty(n) for n in names])),
-        "description": F.when(F.col("rich").isNotNull(), html_text("rich")).otherwise(clean(text_at(item, "$.requirementStr"))),
+        "description": F.when(F.col("rich").isNull(), clean(text_at(item, "$.requirementStr"))),
+        "markup": F.col("rich"),
         "posted_at": render_utc(F.col("posted_ts")),
         "reject": item_reject(
             item, required(job_id=F.col("job_id"), title=F.col("title"), slug=F.col("slug"), company=F.col("company"))

@@ -267,7 +267,7 @@ def listing(captures: DataFrame) -> DataFrame:
     rows = explode_items(pages.withColumn("items", F.when(F.col("outcome") == "ok", items)), F.col("items"))
     rows = rows.select(
         "source", "run_id", "page_no", "pos", "outcome", "total_pages", "has_more", "item.reject", "item.job.*",
-        F.lit(None).cast("string").alias("description"), "scraped_at", "scraped_ts",
+        F.lit(None).cast("string").alias("description"), "scraped_at", "scraped_ts", "fetched_at", "attempt",
     )
     return finish_listing(rows)
 

@@ -26,6 +26,7 @@ JOB_KEYS = [*RUN_KEYS, "job_id"]
 PAGE_FACTS = ["outcome", "total_pages", "has_more"]
 
 # A listing row: one per item of a page, or one without item (pos NULL) for an empty page.
-LISTING_COLS = [*PAGE_KEYS, "pos", *PAGE_FACTS, "reject", *JOB_COLS, "posted_ts", "scraped_ts"]
+# ``markup`` is a description still in HTML; ``fetched_at`` and ``attempt`` tell captures of one page apart.
+LISTING_COLS = [*PAGE_KEYS, "pos", *PAGE_FACTS, "reject", *JOB_COLS, "posted_ts", "scraped_ts", "markup", "fetched_at", "attempt"]
 # Fields a detail page can add to a posting.
 DETAIL_FIELDS = ["location", "job_type", "salary_range", "url", "description", "tags", "posted_at"]

@@ -22,15 +22,15 @@ def ids(df):
 # karirhub ----------------------------------------------------------------------------------------
 
 KARIRHUB_DETAIL = """<html><head><meta name="description" content=" From meta "><title>T</title></head><body>
-<div>Lowongan dalam negeri</div><div>Backend Engineer</div><div>Jakarta Selatan, DKI Jakarta</div>
+<div>Lowongan dalam negeri</div><div>Juru Ukir</div><div>Jepara, Jawa Tengah</div>
 <div>Dipublikasikan hari ini</div><div>Rentang gaji</div><div>Rp 1 - Rp 2</div><div>Jenis pekerjaan</div><div>Kontrak</div>
-<div>Deskripsi Pekerjaan</div><div>Menulis   kode.</div><div>Persyaratan Umum</div><div>Rajin.</div>
-<div>Keterampilan</div><div>Python</div><div>Go</div><div>Python</div><div>Lowongan dari</div><div>Other</div></body></html>"""
+<div>Deskripsi Pekerjaan</div><div>Mengukir   kayu.</div><div>Persyaratan Umum</div><div>Sabar.</div>
+<div>Keterampilan</div><div>Pahat</div><div>Amplas</div><div>Pahat</div><div>Lowongan dari</div><div>Other</div></body></html>"""
 
 
 def test_karirhub_fields(spark):
     item = b.karirhub_item(
-        " job-1 ", 1773648000, title="  Backend Engineer ", city_name=" ", location="Bandung", job_type="Kontrak",
+        " job-1 ", 1773648000, title="  Juru Ukir ", city_name=" ", location="Bandung", job_type="Kontrak",
         show_salary=True, min_salary_amount=5_000_000, max_salary_amount=8_000_000, skills=["Python", " SQL ", "Python", 4],
         job_function_name="IT", description_text=" text ",
     )
@@ -39,11 +39,11 @@ def test_karirhub_fields(spark):
     high = b.karirhub_item(None, _id="job-4", show_salary=True, max_salary_amount=7000)
     rows = listed(spark, "karirhub", [b.capture("karirhub", "listing_api", {"data": [item, plain, low, 7, high, b.karirhub_item(5), {"id": "x"}]}, page=1)])
     first = rows[0]
-    assert (first.job_id, first.title, first.company) == ("job-1", "Backend Engineer", "PT Uji")
+    assert (first.job_id, first.title, first.company) == ("job-1", "Juru Ukir", "PT Uji")
     # A blank first choice is still the choice.
     assert first.location is None and first.job_type == "Kontrak"
     assert first.salary_range == "Rp 5,000,000 - Rp 8,000,000"
-    assert first.url == "https://karirhub.kemnaker.go.id/lowongan-dalam-negeri/lowongan/backend-engineer-job-1"
+    assert first.url == "https://karirhub.kemnaker.go.id/lowongan-dalam-negeri/lowongan/juru-ukir-job-1"
     assert first.tags == ["Python", "SQL"] and first.posted_at == "2026-03-16T08:00:00Z" and first.description == "text"
     assert rows[1].salary_range is None and rows[1].tags == ["Web"]
     assert rows[2].salary_range == "From Rp 5,000"
@@ -88,10 +88,10 @@ def test_karirhub_details(spark):
     ]
     out = run(b.frame(spark, rows), "karirhub", scraped_at=b.CLOCK, fetch_details=True)
     one, two = out.jobs.orderBy("pos").collect()
-    assert (one.location, one.job_type, one.salary_range) == ("Jakarta Selatan, DKI Jakarta", "Kontrak", "Rp 1 - Rp 2")
-    assert one.tags == ["Python", "Go"]
+    assert (one.location, one.job_type, one.salary_range) == ("Jepara, Jawa Tengah", "Kontrak", "Rp 1 - Rp 2")
+    assert one.tags == ["Pahat", "Amplas"]
     assert one.description == (
-        "Deskripsi Pekerjaan\nMenulis kode.\n\nPersyaratan Umum\nRajin.\n\nKeterampilan\nPython\nGo\nPython"
+        "Deskripsi Pekerjaan\nMengukir kayu.\n\nPersyaratan Umum\nSabar.\n\nKeterampilan\nPahat\nAmplas\nPahat"
     )
     assert two.description is None and [r.job_id for r in out.worklist.collect()] == ["d2"]
     assert run(b.frame(spark, rows), "karirhub", scraped_at=b.CLOCK).jobs.filter("description is not null").count() == 0
@@ -221,8 +221,8 @@ def test_dealls_details(spark):
 # glints ------------------------------------------------------------------------------------------
 
 PLACE = {
-    "name": "Lubuk Baja", "level": 4,
-    "parents": [{"name": "Batam", "level": 3}, {"formattedName": "Kepulauan Riau", "level": 2}, {"name": "Indonesia", "level": 1}, 5],
+    "name": "Kampung Uji", "level": 4,
+    "parents": [{"name": "Kota Contoh", "level": 3}, {"formattedName": "Provinsi Contoh", "level": 2}, {"name": "Indonesia", "level": 1}, 5],
 }
 
 
@@ -240,7 +240,7 @@ def test_glints_fields(spark):
     ]
     rows = listed(spark, "glints", [b.capture("glints", "listing_html", b.glints_html(items), page=1)])
     one, two, three, four, five = rows
-    assert (one.location, one.job_type) == ("Batam, Kepulauan Riau", "Full Time, On Site")
+    assert (one.location, one.job_type) == ("Kota Contoh, Provinsi Contoh", "Full Time, On Site")
     assert one.salary_range == "IDR 5,300,000 - 5,500,000 / Month" and one.tags == ["On Site", "Care"]
     assert one.url == "https://glints.com/id/opportunities/jobs/nurse/aa-1"
     assert (two.location, two.job_type, two.salary_range, two.tags) == ("Remote", "Remote", "Up to SGD 7", ["Remote"])
@@ -296,11 +296,11 @@ def test_glints_details(spark):
     ]
     frame = b.frame(spark, rows)
     job = run(frame, "glints", scraped_at=b.CLOCK, fetch_details=True).jobs.first()
-    assert (job.location, job.job_type, job.tags) == ("Batam, Kepulauan Riau", "Full Time, On Site", ["On Site", "Care"])
+    assert (job.location, job.job_type, job.tags) == ("Kota Contoh, Provinsi Contoh", "Full Time, On Site", ["On Site", "Care"])
     assert job.description == "Mencari perawat.\nRamah sekali."
     # Missing location or type is filled even without details asked for; the text is not.
     plain = run(frame, "glints", scraped_at=b.CLOCK).jobs.first()
-    assert plain.location == "Batam, Kepulauan Riau" and plain.description is None
+    assert plain.location == "Kota Contoh, Provinsi Contoh" and plain.description is None
 
 
 # lokerid -----------------------------------------------------------------------------------------
@@ -311,28 +311,28 @@ LOKER = "2026-03-18T12:00:00Z"
 def test_lokerid_fields(spark):
     items = [
         b.lokerid_item(
-            1001, slug="/adm/staff-1001", location="Jakarta", job_type="full_time", salary_min=5_000_000, salary_max="7000000",
-            salary_currency="IDR", job_skills=["Excel", "Admin", "Excel"],
+            41, slug="/kebun/tukang-41", location="Ternate", job_type="full_time", salary_min=1_250_000, salary_max="3100000",
+            salary_currency="IDR", job_skills=["Cangkul", "Pupuk", "Cangkul"],
         ),
         {
-            "id": "1002", "title": "Care", "company": {"name": "PT Prima"}, "slug": "care-1002", "city": {"name": "Bandung"}, "province": "Jawa Barat",
-            "employment_type": "contract", "salary_text": "Negotiable", "job_skills": [{"name": "Talk"}, {"label": "Listen"}], "posted_at": "2 days ago",
+            "id": "52", "title": "Nahkoda", "company": {"name": "CV Laut"}, "slug": "kapal-52", "city": {"name": "Bitung"}, "province": "Sulawesi Utara",
+            "employment_type": "seasonal", "salary_text": "Bagi hasil", "job_skills": [{"name": "Jaring"}, {"label": "Kompas"}], "posted_at": "2 days ago",
         },
         {"attributes": {"id": "n1", "title": "Nested", "company": {"name": "PT Dalam"}, "posted_at": 1773648000, "url": "/n/nested.html", "is_remote": True, "tags": ["T"]}},
         b.lokerid_item("e", "16/03/2026 08:30", currency="usd", salary_from=5),
         b.lokerid_item("f", "no date"), b.lokerid_item("g", "2026-01-01"), {"id": "h"},
     ]
-    html = b.lokerid_html(items).replace("</body>", '<a href="/jobs/care-1002.html">x</a><a href="/jobs2/care-1002.html">y</a></body>')
+    html = b.lokerid_html(items).replace("</body>", '<a href="/a/kapal-52.html">x</a><a href="/b/kapal-52.html">y</a></body>')
     rows = listed(spark, "lokerid", [b.capture("lokerid", "listing_html", html, page=1)], LOKER)
     by_id = {r.job_id: r for r in rows}
-    first = by_id["1001"]
-    assert (first.location, first.job_type, first.salary_range) == ("Jakarta", "Full Time", "Rp 5,000,000 - Rp 7,000,000")
-    assert first.url == "https://www.loker.id/adm/staff-1001.html" and first.tags == ["Excel", "Admin"]
+    first = by_id["41"]
+    assert (first.location, first.job_type, first.salary_range) == ("Ternate", "Full Time", "Rp 1,250,000 - Rp 3,100,000")
+    assert first.url == "https://www.loker.id/kebun/tukang-41.html" and first.tags == ["Cangkul", "Pupuk"]
     assert first.posted_at == "2026-03-16T08:00:00Z" and first.description is None
-    second = by_id["1002"]
-    assert (second.company, second.location, second.job_type) == ("PT Prima", "Bandung, Jawa Barat", "Contract")
-    assert (second.salary_range, second.posted_at) == ("Negotiable", "2026-03-16T12:00:00Z")
-    assert second.url == "https://www.loker.id/jobs2/care-1002.html" and second.tags == ["Talk", "Listen"]
+    second = by_id["52"]
+    assert (second.company, second.location, second.job_type) == ("CV Laut", "Bitung, Sulawesi Utara", "Seasonal")
+    assert (second.salary_range, second.posted_at) == ("Bagi hasil", "2026-03-16T12:00:00Z")
+    assert second.url == "https://www.loker.id/b/kapal-52.html" and second.tags == ["Jaring", "Kompas"]
     nested = by_id["n1"]
     assert (nested.company, nested.location, nested.tags) == ("PT Dalam", "Remote", ["T", "Remote"])
     assert (nested.url, nested.posted_at) == ("https://www.loker.id/n/nested.html", "2026-03-16T08:00:00Z")
@@ -432,5 +432,26 @@ def test_union_and_parameter_checks(spark):
         run(frame, "nowhere", scraped_at=b.CLOCK)
     with pytest.raises(ValueError):
         run(frame, scraped_at=b.CLOCK, max_pages=0)
-    with pytest.raises(ValueError):
-        run(frame, scraped_at="yesterday")
+    for clock in ("yesterday", "2026-13-45T12:00:00Z", "2026-02-30"):
+        with pytest.raises(ValueError):
+            run(frame, scraped_at=clock)
+    no_clock = run(frame, "karirhub", scraped_at=F.lit("2026-13-45T12:00:00Z"))
+    assert no_clock.jobs.count() == 0 and [r.reject for r in no_clock.rejects.collect()] == ["missing scraped_at"]
+
+
+def test_captures_without_page_and_repeated_attempts(spark):
+    good = b.capture("karirhub", "listing_api", {"data": [b.karirhub_item("a")]}, page=1)
+    lost = b.capture("karirhub", "listing_api", None, page=1, status=503)
+    nowhere = b.capture("karirhub", "listing_api", {"data": [b.karirhub_item("n")]}, page=None)
+    out = run(b.frame(spark, [lost, good, good, nowhere]), "karirhub", scraped_at=b.CLOCK)
+    assert [r.job_id for r in out.jobs.collect()] == ["a"]
+    assert [(r.last_kept, r.failed_on, r.jobs) for r in out.runs.filter("last_kept > 0 OR failed_on IS NOT NULL").collect()] == [(1, None, 1)]
+    assert [(r.job_id, r.reject) for r in out.rejects.collect()] == [("n", "missing page_no")]
+
+
+def test_payloads_are_read_once(spark):
+    """Paths are not looked up again wherever a value is used."""
+    count = lambda df: df._jdf.queryExecution().optimizedPlan().toString().lower().count("variant_get")
+    frame = b.frame(spark, [b.capture("karirhub", "listing_api", {"data": []}, page=1)])
+    assert count(normalize(frame, "karirhub", b.CLOCK)) <= 60
+    assert count(normalize(frame, "glints", b.CLOCK)) <= 130

@@ -118,17 +118,43 @@ def test_captures_and_snapshot_round_trip(spark, tmp_path):
     out = run(captures, "kitalulus", scraped_at=b.CLOCK)
     for _ in range(2):
         write_snapshot(out.jobs, str(tmp_path / "out"))
-    files = list(Path(tmp_path / "out" / "source=kitalulus" / "snapshot=20260316T120000Z").glob("part-*.json"))
+    files = list(Path(tmp_path / "out" / "source=kitalulus" / "snapshot=20260316T120000Z" / "run_id=r1").glob("part-*.json"))
     lines = [line for f in files for line in f.read_text(encoding="utf-8").splitlines()]
     assert len(lines) == 1
     record = json.loads(lines[0])
-    assert list(record) == JOB_COLS and record["job_id"] == "ä" and record["location"] is None and record["tags"] == []
+    assert list(record) == [*JOB_COLS, "page_no", "pos"] and record["job_id"] == "ä" and record["location"] is None and record["tags"] == []
     back = read_snapshot(spark, str(tmp_path / "out"))
     assert back.select(*JOB_COLS).exceptAll(out.jobs.select(*JOB_COLS)).count() == 0
     plan = captures.filter("source = 'kitalulus' AND run_id = 'r1'")._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(source" in plan
 
 
+def test_snapshots_of_runs_with_one_clock_stay_and_keep_page_order(spark, tmp_path):
+    row = lambda run, page, pos: ("dealls", run, page, pos, f"{run}-{page}-{pos}", b.CLOCK)
+    rows = [row("a", p, i) for p in range(12, 0, -1) for i in (1, 0)] + [row("z", 1, 0)]
+    jobs = spark.createDataFrame(rows, "source string, run_id string, page_no int, pos int, job_id string, scraped_at string")
+    jobs = jobs.withColumns({c: F.lit(None).cast("array<string>" if c == "tags" else "string") for c in JOB_COLS if c not in ("job_id", "scraped_at")})
+    for run_id in ("a", "z", "a"):
+        write_snapshot(jobs.filter(F.col("run_id") == run_id), str(tmp_path))
+    back = read_snapshot(spark, str(tmp_path))
+    assert back.count() == len(rows)
+    files = sorted((tmp_path / "source=dealls" / "snapshot=20260316T120000Z" / "run_id=a").glob("part-*.json"))
+    got = [json.loads(line)["job_id"] for f in files for line in f.read_text().splitlines()]
+    assert got == [f"a-{p}-{i}" for p in range(1, 13) for i in (0, 1)]
+
+
+def test_stream_keeps_late_captures(spark, tmp_path):
+    import datetime
+
+    source, out, state = (str(tmp_path / n) for n in ("in", "out", "state"))
+    for name, days in (("march", 0), ("january", 60), ("last", 400)):
+        day = datetime.datetime.fromtimestamp(b.NOW - days * 86400, datetime.timezone.utc)
+        rows = b.frame(spark, [b.capture("lokerid", "listing_html", b.lokerid_html([b.lokerid_item(name, day.strftime("%Y-%m-%d"))]), page=1)])
+        rows.withColumn("fetched_at", F.timestamp_seconds(F.lit(b.NOW - days * 86400))).coalesce(1).write.mode("append").parquet(source)
+    write_stream(posting_stream(read_capture_stream(spark, source, max_files=1), "lokerid"), out, state).awaitTermination()
+    assert {r.job_id for r in spark.read.schema("job_id string").json(out).collect()} == {"march", "january", "last"}
+
+
 def test_stream_keeps_first_posting_across_batches(spark, tmp_path):
     source, out, state = (str(tmp_path / n) for n in ("in", "out", "state"))
     land = lambda name, items: b.frame(spark, [b.capture("lokerid", "listing_html", b.lokerid_html(items), page=1)]).write.mode("append").parquet(source)
