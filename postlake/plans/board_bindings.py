@@ -131,7 +131,7 @@ def glints_run(spark, sf):
     return shown(run(derived.glints(spark, sf), "glints", **ALL).jobs)
 
 
-@binding(f"""
+LOKERID_SQL = f"""
 WITH i AS (SELECT c_custkey AS k, c_custkey // 300 AS run, c_custkey % 300 // 15 + 1 AS page, c_name AS name, c_mktsegment AS seg, c_nationkey AS n,
   format('{{:,}}', CAST(floor(c_acctbal) AS BIGINT)) AS pay, CASE WHEN c_custkey % 6 = 0 THEN 'USD ' ELSE 'Rp ' END AS cur FROM customer WHERE c_custkey % 300 // 15 + 1 <= 18)
 SELECT 'r' || run AS run_id, 'q' || k AS job_id, name AS title, 'PT ' || n AS company, CASE WHEN k % 2 = 0 THEN 'Kota ' || n WHEN k % 7 = 0 THEN 'Remote' ELSE 'Card Town' END AS location,
@@ -140,11 +140,67 @@ SELECT 'r' || run AS run_id, 'q' || k AS job_id, name AS title, 'PT ' || n AS co
   seg || '|x' || CASE WHEN k % 7 = 0 THEN '|Remote' ELSE '' END AS tags, {DAY_TEXT.format("(k % 37)")} AS posted_at FROM i WHERE k % 37 <= 30
 UNION ALL SELECT 'r' || run, 'q' || k, name, 'Card Co', 'Card Town', 'Card Type', NULL, 'https://www.loker.id/c/' || k || '.html', NULL, '', '2026-03-16T00:00:00Z' FROM i WHERE k % 4 = 3 AND k % 37 = 36
 UNION ALL SELECT DISTINCT 'r' || run, 'x' || run || '-' || page, 'Only here', 'Card Co', NULL, NULL, NULL, 'https://www.loker.id/c/extra.html', NULL, 'T', '2026-03-15T00:00:00Z' FROM i
-""")
+"""
+
+
+@binding(LOKERID_SQL)
 def lokerid_run(spark, sf):
     return shown(run(derived.lokerid(spark, sf), "lokerid", **ALL).jobs)
 
 
+def _glints_detail_sql(with_text: bool) -> str:
+    need = "true" if with_text else "(location IS NULL OR job_type IS NULL)"
+    return f"""
+WITH base AS ({GLINTS_SQL}),
+p AS (SELECT 'r' || (p_partkey // 500) AS run_id, 'ab-' || p_partkey % 300 AS job_id, p_partkey AS k, p_brand AS brand, p_type AS kind, p_name AS name FROM part WHERE p_partkey % 3 <> 0),
+d AS (SELECT p.* FROM p JOIN (SELECT run_id, job_id, min(k) AS k FROM p GROUP BY ALL) USING (run_id, job_id, k)),
+j AS (SELECT base.*, d.k IS NOT NULL AND {need} AS a, d.brand, d.kind, d.name FROM base LEFT JOIN d USING (run_id, job_id))
+SELECT run_id, job_id, title, company, CASE WHEN a AND (location IS NULL OR location NOT LIKE '%,%') THEN 'Kota ' || brand || ', ' || kind ELSE location END AS location,
+  CASE WHEN a AND (job_type IS NULL OR length(job_type) < length('Contract, Hybrid')) THEN 'Contract, Hybrid' ELSE job_type END AS job_type, salary_range, url,
+  CASE WHEN a AND {with_text} THEN 'Tugas ' || name || chr(10) || 'Baris dua' END AS description, CASE WHEN a THEN 'Hybrid|S1|S2' ELSE tags END AS tags, posted_at FROM j
+"""
+
+
+def _glints_with_details(spark, sf, with_text: bool):
+    captures = derived.glints(spark, sf).unionByName(derived.glints_details(spark, sf))
+    return shown(run(captures, "glints", fetch_details=with_text, **ALL).jobs)
+
+
+@binding(_glints_detail_sql(True))
+def glints_detail_run(spark, sf):
+    return _glints_with_details(spark, sf, True)
+
+
+@binding(_glints_detail_sql(False))
+def glints_detail_gaps_run(spark, sf):
+    """Without asking for texts, only postings without place or kind take their detail page."""
+    return _glints_with_details(spark, sf, False)
+
+
+def _lokerid_detail_sql(with_text: bool) -> str:
+    return f"""
+WITH base AS ({LOKERID_SQL}), j AS (SELECT *, CASE WHEN job_id LIKE 'x%' THEN CAST(split_part(job_id, '-', 2) AS INTEGER) % 3 END AS shape FROM base)
+SELECT run_id, job_id, title, company, coalesce(location, CASE shape WHEN 1 THEN 'Kota D' WHEN 0 THEN 'Kota C' END) AS location, coalesce(job_type, CASE WHEN shape = 1 THEN 'Contract' END) AS job_type,
+  coalesce(salary_range, CASE WHEN shape = 1 THEN 'Rp 6 - Rp 9' END) AS salary_range, url,
+  CASE WHEN NOT {with_text} THEN NULL WHEN shape = 1 THEN 'Isi satu.' || chr(10) || 'Isi dua.' WHEN shape = 2 THEN 'Kualifikasi' || chr(10) || rtrim(repeat('rajin dan teliti ', 8)) END AS description, tags, posted_at FROM j
+"""
+
+
+def _lokerid_with_details(spark, sf, with_text: bool):
+    captures = derived.lokerid(spark, sf).unionByName(derived.lokerid_details(spark, sf))
+    return shown(run(captures, "lokerid", fetch_details=with_text, **ALL).jobs)
+
+
+@binding(_lokerid_detail_sql(True))
+def lokerid_detail_run(spark, sf):
+    return _lokerid_with_details(spark, sf, True)
+
+
+@binding(_lokerid_detail_sql(False))
+def lokerid_detail_gaps_run(spark, sf):
+    return _lokerid_with_details(spark, sf, False)
+
+
 @binding("""
 SELECT 'kitalulus' AS source, count(*) AS jobs FROM part WHERE p_partkey % 60 <> 0 AND p_partkey % 37 BETWEEN 1 AND 30 AND p_partkey % 400 // 20 < 3
 UNION ALL SELECT 'dealls', count(*) FROM customer WHERE c_custkey % 45 <> 0 AND c_custkey % 37 <= 30 AND c_custkey % 300 // 15 < 3
@@ -161,7 +217,7 @@ def run_all_first_pages(spark, sf):
 def _jobs_of_orders(spark, sf):
     none = F.lit(None).cast("string")
     return table(spark, sf, "orders").select(
-        F.lit("dealls").alias("source"), F.concat(F.lit("r"), F.col("o_custkey") % 2).alias("run_id"), (F.col("o_orderkey") % 100 + 1).cast("int").alias("page_no"),
+        F.when(F.col("o_orderkey") >= 0, "dealls").alias("source"), F.concat(F.lit("r"), F.col("o_custkey") % 2).alias("run_id"), (F.col("o_orderkey") % 100 + 1).cast("int").alias("page_no"),
         F.col("o_orderkey").cast("int").alias("pos"), F.concat(F.lit("k"), F.col("o_orderkey")).alias("job_id"), F.col("o_orderpriority").alias("title"),
         F.lit("Co").alias("company"), F.when(F.col("o_orderstatus") != "F", F.col("o_orderstatus")).alias("location"), none.alias("job_type"),
         none.alias("salary_range"), F.lit("u").alias("url"), none.alias("description"), F.array(F.lit("a"), F.col("o_orderstatus")).alias("tags"),

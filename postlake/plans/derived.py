@@ -191,6 +191,42 @@ def glints(spark: SparkSession, sf: str) -> DataFrame:
     return captures(pages, source=F.lit("glints"), run_id=run_id(F.col("run")), kind=F.lit("listing_html"), page_no=F.col("page_no"), body=body)
 
 
+def glints_details(spark: SparkSession, sf: str) -> DataFrame:
+    """Detail pages whose location, pay and skills are linked objects of the page's cache, with a block text."""
+    key = F.col("p_partkey")
+    job_id = text("ab-", key % 300)
+    cache = text(
+        '{"props":{"apolloCache":{"Job:', job_id, '":{"id":"', job_id, '","type":"CONTRACT","workArrangementOption":"HYBRID","location":{"__ref":"Place:1"},',
+        '"salaries":[{"__ref":"Pay:1"}],"skills":[{"skill":{"__ref":"Skill:1"}},{"skill":{"__ref":"Skill:2"}}],',
+        r'"descriptionJsonString":"{\"blocks\":[{\"text\":\" Tugas ', F.col("p_name"), r' \"},{\"text\":\"\"},{\"text\":\"Baris   dua\"}]}"},',
+        '"Place:1":{"name":"Area","parents":[{"__ref":"Level:3"},{"__ref":"Level:2"}]},"Level:3":{"level":3,"formattedName":"Kota ', F.col("p_brand"),
+        '"},"Level:2":{"level":2,"name":"', F.col("p_type"), '"},"Pay:1":{"salaryMode":"DAY","minAmount":9},"Skill:1":{"name":"S1"},"Skill:2":{"name":"S2"}}}}',
+    )
+    body = text('<!DOCTYPE html><html><body><script id="__NEXT_DATA__" type="application/json">', cache, "</script></body></html>")
+    rows = table(spark, sf, "part").filter(key % 3 != 0)
+    return captures(
+        rows, source=F.lit("glints"), run_id=run_id(F.expr("p_partkey div 500")), kind=F.lit("detail_html"), job_id=job_id, fetched_at=F.timestamp_seconds(key), body=body,
+    )
+
+
+def lokerid_details(spark: SparkSession, sf: str) -> DataFrame:
+    """Detail pages of the postings only cards have: by page number a script record, a rendered text alone, or a card alone."""
+    pages = table(spark, sf, "customer").select(F.expr("c_custkey div 300").alias("run"), F.expr("cast(c_custkey % 300 div 15 + 1 as int)").alias("page")).distinct()
+    job_id = text("x", F.col("run"), "-", F.col("page"))
+    record = text(
+        '<script>window.__remixContext = {"state":{"loaderData":{"root":{"a":1},"routes/job":{"job":{"id":"', job_id, '","title":"Only here","company":"Card Co","posted_at":"2026-03-15",',
+        '"location":"Kota D","job_type":"contract","salary_min":6,"salary_max":9,"job_skills":["Ads"],"description":"<p>Isi satu.</p><p>Isi dua.</p>"}}}}};</script>',
+    )
+    rendered = text("<main><div><p>Kualifikasi</p><p>", F.repeat(F.lit("rajin dan teliti "), 8), "</p></div></main>")
+    card = text(
+        '<article class="job-card" data-job-id="', job_id, '"><b class="company-name">Card Co</b><h3><a href="/c/extra.html">Only here</a></h3>',
+        '<i class="job-location">Kota C</i><time datetime="2026-03-15T00:00:00Z"></time></article>',
+    )
+    shape = F.col("page") % 3
+    body = text("<!DOCTYPE html><html><body>", F.when(shape == 1, record).when(shape == 2, rendered).otherwise(card), "</body></html>")
+    return captures(pages, source=F.lit("lokerid"), run_id=run_id(F.col("run")), kind=F.lit("detail_html"), job_id=job_id, fetched_at=F.timestamp_seconds(F.lit(1)), body=body)
+
+
 def lokerid(spark: SparkSession, sf: str) -> DataFrame:
     key, nation, segment = F.col("c_custkey"), F.col("c_nationkey"), F.col("c_mktsegment")
     number = days_ago(key, 37)

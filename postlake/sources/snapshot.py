@@ -21,7 +21,7 @@ def write_snapshot(jobs: DataFrame, path: str) -> None:
     """
     stamped = jobs.withColumn("snapshot", snapshot_stamp(parse_iso(F.col("scraped_at"))))
     # Folder names that cannot be NULL: for others the writer sorts by folder once more, which undoes the page order,
-    # as it does where the columns of the order are not written.
+    # as it does where the columns of the order are not written or a folder name is a literal.
     stamped = stamped.withColumns({c: F.coalesce(c, F.lit("")) for c in PARTS})
     ordered = stamped.repartitionByRange(*PARTS, *ORDER).sortWithinPartitions(*PARTS, *ORDER)
     (
