@@ -2,7 +2,7 @@
 
 File: frames of 32-bit little-endian ids, then one zstandard-compressed seek table, then a fixed trailer. A frame holds
 whole documents, up to about ``FRAME_TOKENS`` ids. The seek table has per frame its place, compressed size, crc32
-of the compressed bytes and number of documents, and per document its number of ids. A reader takes trailer and
+of the compressed bytes and number of documents, and per document its number of ids and its doc_id. A reader takes trailer and
 table, then decompresses only the frames of the documents asked for.
 """
 
@@ -28,6 +28,8 @@ from postlake.llm.common import mounted, new_folder, publish, table, text_of
 FRAME_TOKENS = 65_536
 END_ID = 0
 MAGIC = b"PLTK0001"
+#: Stands for a NULL doc_id in the seek table.
+NO_ID = -(1 << 63)
 TRAILER = struct.Struct("<QQI8s")
 #: Rows of the range shuffle in one file, about.
 FILE_ROWS = 8_192
@@ -40,10 +42,12 @@ class Writer:
         self.body, self.waiting, self.n_waiting = bytearray(), [], 0
         self.frames: list[tuple[int, int, int, int]] = []
         self.counts: list[int] = []
+        self.doc_ids: list[int] = []
         self.zip = zstandard.ZstdCompressor(level=3, write_content_size=True)
 
-    def add(self, ids: np.ndarray) -> None:
+    def add(self, ids: np.ndarray, doc_id: int | None) -> None:
         self.waiting.append(ids)
+        self.doc_ids.append(NO_ID if doc_id is None else doc_id)
         self.counts.append(len(ids))
         self.n_waiting += len(ids)
         if self.n_waiting >= FRAME_TOKENS:
@@ -58,7 +62,7 @@ class Writer:
 
     def close(self) -> bytes:
         self._flush()
-        table = self.zip.compress(np.array(self.frames, "<u8").tobytes() + np.array(self.counts, "<u8").tobytes())
+        table = self.zip.compress(b"".join(np.array(c, "<i8").tobytes() for c in (self.frames, self.counts, self.doc_ids)))
         return bytes(self.body) + table + TRAILER.pack(len(self.frames), len(table), zlib.crc32(table), MAGIC)
 
 
@@ -73,8 +77,10 @@ class Reader:
         if magic != MAGIC:
             raise ValueError(f"{path} is no token file")
         self.file.seek(-TRAILER.size - size, os.SEEK_END)
-        raw = np.frombuffer(self._checked(self.file.read(size), crc, "seek table"), "<u8")
-        self.frames, self.counts = raw[: 4 * n_frames].reshape(-1, 4), raw[4 * n_frames :]
+        raw = np.frombuffer(self._checked(self.file.read(size), crc, "seek table"), "<i8")
+        self.frames = raw[: 4 * n_frames].reshape(-1, 4)
+        self.counts, ids = raw[4 * n_frames :].reshape(2, -1)
+        self.doc_ids = [None if i == NO_ID else i for i in ids.tolist()]
         self.first_doc = np.concatenate([[0], np.cumsum(self.frames[:, 3])]).astype("i8")
         self.held, self.held_ids = -1, np.empty(0, "<u4")
 
@@ -165,21 +171,20 @@ def write_token_files(docs: DataFrame, tokenizer: str, folder: str, end_id: int
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        out, ids, enc = Writer(), [], tokens(tokenizer)
+        out, enc = Writer(), tokens(tokenizer)
         total = 0
         end = np.array([end_id], "<u4")
         for batch in batches:
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 found = np.concatenate([enc.encode(text), end])
                 total += len(found)
-                out.add(found)
-                ids.append(doc_id)
-        if ids:
+                out.add(found, doc_id)
+        n = len(out.counts)
+        if n:
             part = TaskContext.get().partitionId()
             path = f"{base}/tokens-{part:08d}.plt"
             publish(path, out.close())
-            publish(f"{path}.ids", _id_bytes(ids))
-            yield pa.RecordBatch.from_arrays([pa.array([part], pa.int64()), pa.array([path]), pa.array([len(ids)], pa.int64()), pa.array([total], pa.int64())], ["part", "path", "n_docs", "n_ids"])
+            yield pa.RecordBatch.from_arrays([pa.array([part], pa.int64()), pa.array([path]), pa.array([n], pa.int64()), pa.array([total], pa.int64())], ["part", "path", "n_docs", "n_ids"])
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"))
     n_files = max(1, -(-rows.count() // FILE_ROWS))
@@ -187,16 +192,6 @@ def write_token_files(docs: DataFrame, tokenizer: str, folder: str, end_id: int
     return ordered.mapInArrow(run, "part long, path string, n_docs long, n_ids long")
 
 
-def _id_bytes(ids: list[int | None]) -> bytes:
-    """The doc_ids of a file, beside it: NULL as the smallest long."""
-    return np.array([-(1 << 63) if i is None else i for i in ids], "<i8").tobytes()
-
-
-def _read_ids(path: str) -> list[int | None]:
-    with open(f"{path}.ids", "rb") as f:
-        return [None if i == -(1 << 63) else i for i in np.frombuffer(f.read(), "<i8").tolist()]
-
-
 def read_token_files(files: DataFrame, wanted: Iterable[int] | None = None) -> DataFrame:
     """Documents of the files: doc_id, start among all ids, number of ids, crc32 of the ids; ``wanted`` reads only the frames with these.
 
@@ -215,9 +210,8 @@ def read_token_files(files: DataFrame, wanted: Iterable[int] | None = None) -> D
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for path, start in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                ids = _read_ids(path)
                 with Reader(path) as reader:
-                    counts = reader.counts.astype("i8")
+                    ids, counts = reader.doc_ids, reader.counts
                     at = start + np.concatenate([[0], np.cumsum(counts)])[:-1]
                     if only is None:
                         chosen, crcs = range(len(ids)), [zlib.crc32(d) for d in reader.documents()]

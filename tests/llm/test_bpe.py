@@ -103,12 +103,13 @@ def test_frames_are_checked(tmp_path):
 
     w = Writer()
     docs = [np.arange(n, dtype="u4") for n in (3, 70_000, 0, 5, 80_000, 1)]
-    for d in docs:
-        w.add(d)
+    for i, d in enumerate(docs):
+        w.add(d, i if i else None)
     data = w.close()
     path = tmp_path / "f"
     path.write_bytes(data)
     with Reader(str(path)) as r:
+        assert r.doc_ids == [None, 1, 2, 3, 4, 5]
         assert len(r.frames) == 3 and all((r.document(i) == d).all() for i, d in enumerate(docs))
         assert all((a == b).all() for a, b in zip(r.documents(), docs))
     broken = bytearray(data)
