@@ -1,10 +1,10 @@
 """Toxicity by nearest labelled examples: exact TF-IDF cosine over a block-max inverted index.
 
 Method: at most ``FIT_ROWS`` labelled documents become examples; terms are words and word beginnings, chosen by their
-chi-square with the label; per term and block of examples the index keeps the largest weight. A document's
+chi-square with the label; per term the index lists the blocks of examples with its largest weight in each. A document's
 bound for a block is the sum of its terms' largest weights there; blocks are scored from the highest bound
 down until no bound reaches the k-th best cosine, so the neighbours are exact. Their votes, weighted by
-cosine, are calibrated on the examples themselves, each without its own vote.
+cosine, are calibrated on examples, each without its own vote.
 """
 
 from __future__ import annotations
@@ -23,12 +23,12 @@ from postlake.llm.common import crc_mod, table, text_of
 from postlake.llm.quality import labelled_sample
 from postlake.plans.staging import stage
 
-#: Bounds of what is learnt: examples and terms. Scores cover all rows and whole texts.
-FIT_ROWS, TERMS = 20_000, 4_096
+#: Bounds of what is learnt: labelled rows, terms, and examples used to calibrate. Scores cover all rows and whole texts.
+FIT_ROWS, TERMS, CALIBRATED = 8_000, 4_096, 3_000
 NEIGHBOURS, BLOCK = 15, 64
 #: A term must be in so many examples, in at most this share of them, and tell the classes apart this well.
-LEAST_EXAMPLES, MOST_SHARE, LEAST_CHI2 = 4, 0.2, 15.0
-BEGINNING = 4
+LEAST_EXAMPLES, MOST_SHARE, LEAST_CHI2 = 5, 0.2, 15.0
+BEGINNINGS = (4, 6)
 #: Weight of the silent vote for label 0, which rules where there are no near examples.
 PRIOR = 0.05
 
@@ -40,60 +40,70 @@ def term_counts(text: str) -> Counter[str]:
     words = Counter(WORD.findall(text.lower()))
     starts: Counter[str] = Counter()
     for w, n in words.items():
-        if len(w) > BEGINNING:
-            starts["^" + w[:BEGINNING]] += n
+        for k in BEGINNINGS:
+            if len(w) > k:
+                starts["^" + w[:k]] += n
     words.update(starts)
     return words
 
 
 @dataclass(frozen=True)
 class Index:
-    """Examples as block-max postings; ``weights`` and ``logits`` turn votes into a score."""
+    """Examples in blocks: per term and block the largest weight, and per block its postings, example by example."""
 
     terms: dict[str, int]
     idf: np.ndarray
     ids: np.ndarray  # doc_id of each example
     labels: np.ndarray
-    example: np.ndarray  # postings, by term and then example
+    starts: np.ndarray  # of each example's postings; each has at least one, of a term that is in no text
+    term: np.ndarray
     weight: np.ndarray
-    place: np.ndarray  # terms x (blocks + 1): where a term's postings of a block begin
     most: np.ndarray  # terms x blocks: the largest weight
-    logits: np.ndarray
+    logits: np.ndarray  # turn votes into a score
 
     def vector(self, text: str) -> tuple[np.ndarray, np.ndarray]:
         """Term numbers and normalised TF-IDF weights of a text."""
-        found: dict[int, int] = {}
-        terms = self.terms
+        found: Counter[int] = Counter()
+        number = self.terms.get
         for w, n in Counter(WORD.findall(text.lower())).items():
-            if w in terms:
-                found[terms[w]] = found.get(terms[w], 0) + n
-            if len(w) > BEGINNING and (t := terms.get("^" + w[:BEGINNING])) is not None:
-                found[t] = found.get(t, 0) + n
+            if (t := number(w)) is not None:
+                found[t] += n
+            size = len(w)
+            for k in BEGINNINGS:
+                if size > k and (t := number("^" + w[:k])) is not None:
+                    found[t] += n
         t = np.array(sorted(found), np.int64)
         return t, normalised(self.idf[t], np.array([found[i] for i in t.tolist()], float))
 
     def nearest(self, t: np.ndarray, w: np.ndarray, k: int = NEIGHBOURS, without: int = -1) -> tuple[np.ndarray, np.ndarray]:
         """The k examples with the highest cosine above 0 and their cosines, ties to the smaller number."""
-        if not len(t) or not len(self.labels):
+        n = len(self.labels)
+        if not len(t) or not n:
             return np.empty(0, np.int64), np.empty(0)
         bound = w @ self.most[t]
-        order = np.argsort(-bound, kind="stable")
+        order = np.argsort(-bound, kind="stable").tolist()
+        query = np.zeros(len(self.terms) + 1)
+        query[t] = w
         best, cosine, at, step = np.empty(0, np.int64), np.empty(0), 0, 4
         while at < len(order) and bound[order[at]] > 0:
             if len(best) == k and bound[order[at]] * (1 + 1e-9) < cosine[-1]:
                 break
-            chunk = order[at : at + step]
-            sums = np.zeros((len(chunk), BLOCK))
-            for term, q in zip(t.tolist(), w.tolist()):
-                low, high = self.place[term, chunk].tolist(), self.place[term, chunk + 1].tolist()
-                for i, (a, b) in enumerate(zip(low, high)):
-                    if a < b:
-                        sums[i, self.example[a:b] % BLOCK] += q * self.weight[a:b]
-            i, j = np.nonzero(sums)
-            who, value = chunk[i] * BLOCK + j, sums[i, j]
+            who, value = [best], [cosine]
+            for block in order[at : at + step]:
+                first, last = block * BLOCK, min(block * BLOCK + BLOCK, n)
+                low, high = self.starts[first], self.starts[last]
+                sums = np.add.reduceat(query[self.term[low:high]] * self.weight[low:high], self.starts[first:last] - low)
+                near = np.flatnonzero(sums)
+                who.append(near + first)
+                value.append(sums[near])
+            best, cosine = np.concatenate(who), np.concatenate(value)
             if without >= 0:
-                who, value = who[who != without], value[who != without]
-            best, cosine = np.concatenate([best, who]), np.concatenate([cosine, value])
+                others = best != without
+                best, cosine = best[others], cosine[others]
+            if len(best) > k:
+                # Only ties with the k-th best need an order.
+                least = np.partition(cosine, len(cosine) - k)[len(cosine) - k]
+                best, cosine = best[cosine >= least], cosine[cosine >= least]
             top = np.lexsort((best, -cosine))[:k]
             best, cosine = best[top], cosine[top]
             at, step = at + step, min(32, step * 2)
@@ -131,25 +141,21 @@ def index_of(examples: list[tuple[int, int, list[int], list[int]]], terms: list[
     weighted = [(t, normalised(idf[t], c)) for t, c in vectors]
     lead = [int(t[w.argmax()]) if len(t) else -1 for t, w in weighted]
     order = sorted(range(n), key=lambda i: (lead[i], examples[i][0]))
-    blocks = -(-n // BLOCK) if n else 0
-    who = np.concatenate([np.full(len(weighted[i][0]), k) for k, i in enumerate(order)] or [np.empty(0, np.int64)]).astype(np.int64)
-    term = np.concatenate([weighted[i][0] for i in order] or [np.empty(0, np.int64)])
-    weight = np.concatenate([weighted[i][1] for i in order] or [np.empty(0)])
-    by_term = np.lexsort((who, term))
-    who, term, weight = who[by_term], term[by_term], weight[by_term]
-    cell = term * blocks + who // BLOCK
-    place = np.searchsorted(cell, np.arange(len(terms) * blocks + 1)).astype(np.int64)
-    most = np.zeros(len(terms) * blocks)
-    np.maximum.at(most, cell, weight)
-    starts = place[:-1].reshape(len(terms), blocks) if blocks else np.zeros((len(terms), 0), np.int64)
-    ends = place[1:].reshape(len(terms), blocks)[:, -1:] if blocks else np.zeros((len(terms), 1), np.int64)
+    blocks = -(-n // BLOCK)
+    sizes = np.array([len(weighted[i][0]) + 1 for i in order], np.int64)
+    term = np.concatenate([np.append(weighted[i][0], len(terms)) for i in order] or [np.empty(0, np.int64)]).astype(np.int64)
+    weight = np.concatenate([np.append(weighted[i][1], 0.0) for i in order] or [np.empty(0)])
+    most = np.zeros((len(terms) + 1, blocks))
+    np.maximum.at(most, (term, np.repeat(np.arange(n), sizes) // BLOCK), weight)
     labels = np.array([examples[i][1] for i in order], float)
     ids = np.array([examples[i][0] for i in order], np.int64)
-    bare = Index({t: i for i, t in enumerate(terms)}, idf, ids, labels, who, weight, np.hstack([starts, ends]), most.reshape(len(terms), blocks), np.zeros(3))
+    bare = Index({t: i for i, t in enumerate(terms)}, idf, ids, labels, np.concatenate([[0], np.cumsum(sizes)]), term, weight, most, np.zeros(3))
     if not n:
         return bare
-    seen = [bare.votes(*bare.nearest(*weighted[i], without=k)) for k, i in enumerate(order)]
-    return Index(**{**vars(bare), "logits": logistic(np.array(seen), labels)})
+    # Votes on the examples themselves, spread over all of them, show what a vote is worth.
+    shown = range(0, n, max(1, n // CALIBRATED))
+    seen = [bare.votes(*bare.nearest(*weighted[order[k]], without=k)) for k in shown]
+    return Index(**{**vars(bare), "logits": logistic(np.array(seen), labels[list(shown)])})
 
 
 def fit_toxicity(docs: DataFrame, labels: DataFrame, usable: Column, limit: int = FIT_ROWS) -> Index:
@@ -164,8 +170,10 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, usable: Column, limit: int
     sample = F.broadcast(labelled_sample(labels, "toxic", usable, limit))  # at most ``limit`` rows of two numbers
     texts = docs.select("doc_id", text_of().alias("_text")).join(sample, "doc_id").select("doc_id", "label", "_text")
     rows = texts.mapInArrow(counted, "doc_id long, label int, term array<string>, n array<int>")
-    # A repeated id is one example.
-    examples = stage(rows.groupBy("doc_id").agg(F.max(F.struct("label", "term", "n")).alias("e")).select("doc_id", "e.*"), "examples")
+    # A repeated id is one example, and so is a repeated text: copies would make words of theirs look telling.
+    one = rows.groupBy("doc_id").agg(F.max(F.struct("label", "term", "n")).alias("e")).select("doc_id", "e.*")
+    once = one.groupBy(F.xxhash64("term", "n").alias("same")).agg(F.max(F.struct("label", "doc_id", "term", "n")).alias("e")).select("e.*")
+    examples = stage(once.select("doc_id", "label", "term", "n"), "examples")
     n, positive = examples.agg(F.count(F.lit(1)), F.coalesce(F.sum("label"), F.lit(0))).first()
     held = examples.select("label", F.explode("term").alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("label").alias("pos"))
     a, both = F.col("pos"), F.col("df")
