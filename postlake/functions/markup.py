@@ -241,7 +241,11 @@ def plain_text(html: str) -> str | None:
 
 
 def keyword_block(html: str) -> str | None:
-    root = parse(html)
+    return described(parse(html))
+
+
+def described(root: Element) -> str | None:
+    """Description block of a rendered detail page, found by its keywords."""
     main = first(root, tag("main"), tag("article"))
     if main is None:
         return None

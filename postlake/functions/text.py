@@ -53,18 +53,6 @@ def text_lines(html: pd.Series) -> pd.Series:
     return html.map(markup.lines, na_action="ignore")
 
 
-@F.pandas_udf(T.StringType())
-def meta_description(html: pd.Series) -> pd.Series:
-    """Content of the page's ``description`` meta element."""
-    return html.map(markup.meta_description, na_action="ignore")
-
-
-@F.pandas_udf(T.StringType())
-def rendered_description(html: pd.Series) -> pd.Series:
-    """Description block of a rendered detail page, found by its keywords."""
-    return html.map(markup.keyword_block, na_action="ignore")
-
-
 @F.pandas_udf(T.ArrayType(T.StringType()))
 def html_texts(fragments: pd.Series) -> pd.Series:
     """``html_text`` of every fragment of an array."""

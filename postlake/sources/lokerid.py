@@ -15,7 +15,7 @@ from pyspark.sql.pandas.types import to_arrow_type
 from postlake.functions import lists, markup, money, records, urls
 from postlake.functions.dates import parse_posted, render_utc
 from postlake.functions.payload import int_at, list_at, script_objects, text_at
-from postlake.functions.text import clean, html_text, humanize, non_empty, rendered_description
+from postlake.functions.text import clean, html_text, humanize, non_empty
 from postlake.sources.captures import detail_pages, explode_items, fetch_outcome, finish_listing, listing_pages, required
 
 NAME = "lokerid"
@@ -128,6 +128,14 @@ def _read_markup(html: str | None) -> dict:
     return {"cards": _cards(page), "links": [h for n in page.walk() if n.tag == "a" and (h := n.attr("href"))]}
 
 
+def _read_detail_page(html: str | None) -> dict | None:
+    if html is None:
+        return None
+    page = markup.parse(html)
+    rendered = markup.described(page)
+    return {"rendered": rendered, "cards": _cards(page) if rendered is None else []}
+
+
 def _read_records(contexts: list[str] | None) -> dict:
     context = records.first_object(contexts or [])
     meta = records.page_meta(context)
@@ -140,6 +148,8 @@ def _read_detail(contexts: list[str] | None) -> dict | None:
 
 # Rendered cards and every anchor's link, in page order.
 page_markup = _udf(_read_markup, f"struct<cards:array<{RECORD}>,links:array<string>>")
+# The rendered description of a detail page, and its cards where it has none.
+detail_markup = _udf(_read_detail_page, f"struct<rendered:string,cards:array<{RECORD}>>")
 # Records and pagination facts of the first readable context.
 page_records = _udf(_read_records, f"struct<records:array<{RECORD}>,meta:string>")
 # The job record of a detail page's context, if it has one.
@@ -290,13 +300,11 @@ def has_next(meta: Column, last: Column) -> Column:
 
 
 def details(captures: DataFrame) -> DataFrame:
-    body = F.col("body")
-    pages = detail_pages(captures, NAME).select(
-        "source", "run_id", "job_id", "fetched_at", "scraped_ts",
-        detail_record(contexts(body, F.col("kind"))).alias("record"),
-        rendered_description("body").alias("rendered"),
-        page_markup(body)["cards"].alias("cards"),
-    )
+    keys = ["source", "run_id", "job_id", "fetched_at", "scraped_ts"]
+    pages = detail_pages(captures, NAME).select(*keys, "body", detail_record(contexts(F.col("body"), F.col("kind"))).alias("record"))
+    # Markup is read once, and only of pages whose script holds no record.
+    pages = pages.select(*keys, "record", detail_markup(F.when(F.col("record").isNull(), F.col("body"))).alias("page"))
+    pages = pages.select(*keys, "record", "page.*")
     # A record in the script is final; then a rendered description alone; then the first usable card.
     record, rendered = F.col("record"), F.col("rendered")
     found = F.when(record.isNotNull(), F.array("record")).when(rendered.isNull(), F.col("cards"))
