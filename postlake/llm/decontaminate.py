@@ -83,12 +83,15 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -
     candidates = aligned(postings, anchors).groupBy("_k1", "_k2").agg(F.collect_list(F.struct("item_id", "_item", "_delta", "_matched")).alias("_found"))
     own = ["n_words", "hits", "items", "n_hit", "n_items", "contaminated"]
     kept = docs.drop(*own)
-    rows = kept.select("*", *row_key()).join(candidates, ["_k1", "_k2"], "left").withColumn("_words", raw_words(text_of()))
-    checked = rows.withColumn("_spans", F.when(F.col("_found").isNotNull(), F.transform("_found", lambda c: verified(F.col("_words"), c, window))))
+    rows = kept.select("*", *row_key()).join(candidates, ["_k1", "_k2"], "left")
+    # The variable of a one-element transform: the text is split once, whichever of the columns below are used. A plain column
+    # could be copied to where its words are compared, and the text split once for each of them.
+    spans = F.transform(F.array(raw_words(text_of())), lambda words: F.transform("_found", lambda c: verified(words, c, window)))
+    checked = rows.withColumn("_spans", F.when(F.col("_found").isNotNull(), F.get(spans, 0)))
     real = F.filter("_spans", lambda s: F.size(s["at"]) > 0)
     hits = F.coalesce(F.array_distinct(F.flatten(F.transform(real, lambda s: s["at"]))), F.array().cast("array<int>"))
     items = F.coalesce(F.array_distinct(F.transform(real, lambda s: s["item_id"])), F.array().cast("array<bigint>"))
-    out = checked.select(*[f"`{c}`" for c in kept.columns], F.size("_words").cast("long").alias("n_words"), hits.alias("hits"), items.alias("items"))
+    out = checked.select(*[f"`{c}`" for c in kept.columns], F.size(raw_words(text_of())).cast("long").alias("n_words"), hits.alias("hits"), items.alias("items"))
     return out.select("*", F.size("hits").cast("long").alias("n_hit"), F.size("items").cast("long").alias("n_items"), (F.size("hits") > 0).alias("contaminated"))
 
 
