@@ -17,6 +17,8 @@ from postlake.llm.common import ascii_lower, row_key, table, text_of
 from postlake.plans.staging import stage
 
 WINDOW = 10
+#: Anchors of a window beyond those a near match needs: so many of its words may have been changed.
+SPARE = 2
 # Fixed value: what separates words.
 BREAK = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 
@@ -47,6 +49,17 @@ def window_anchors(items: DataFrame, counts: DataFrame, window: int) -> DataFram
     return rarest.filter("_missing = 0").select(F.col("_best._term").alias("_term"), "item_id", "_item", F.col("_best._offset").alias("_offset")).distinct()
 
 
+def near_anchors(items: DataFrame, counts: DataFrame, window: int, per_window: int) -> DataFrame:
+    """(term, item_id, _item, offset): the ``per_window`` rarest known places of each window, whole in the documents or not."""
+    width = F.least(F.lit(window), F.size("_item"))
+    starts = items.select("item_id", "_item", F.explode(F.sequence(F.lit(0), F.size("_item") - width)).alias("_start"))
+    places = starts.select("item_id", "_item", "_start", F.explode(F.sequence(F.col("_start"), F.col("_start") + width - 1)).alias("_offset"))
+    known = places.withColumn("_term", F.get("_item", F.col("_offset"))).join(counts, "_term")
+    rarest = known.groupBy("item_id", "_item", "_start").agg(F.slice(F.array_sort(F.collect_list(F.struct("_count", "_term", "_offset"))), 1, per_window).alias("_best"))
+    best = rarest.select("item_id", "_item", F.explode("_best").alias("_best"))
+    return best.select(F.col("_best._term").alias("_term"), "item_id", "_item", F.col("_best._offset").alias("_offset")).distinct()
+
+
 def positional_index(docs: DataFrame, terms: DataFrame) -> DataFrame:
     """Postings (_term, _k1, _k2, _pos) of the given terms in all documents."""
     k1, k2 = row_key()
@@ -60,30 +73,40 @@ def aligned(postings: DataFrame, anchors: DataFrame) -> DataFrame:
     return shifted.groupBy("_k1", "_k2", "item_id", "_item", "_delta").agg(F.collect_set("_offset").alias("_matched"))
 
 
-def build_index(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> tuple[DataFrame, DataFrame]:
-    """The stored postings and the anchors they were chosen for."""
+def build_index(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, per_window: int = 0) -> tuple[DataFrame, DataFrame, DataFrame | None]:
+    """The stored postings and the anchors they were chosen for: those of exact windows, and with ``per_window`` those of near ones."""
     items = stage(item_words(benchmark), "items")
     terms = stage(items.select(F.explode("_item").alias("_term")).distinct(), "terms")
     tokens = docs.select(F.explode(F.split(text_of(), BREAK, -1)).alias("_raw"))
     counts = tokens.select(ascii_lower(F.col("_raw")).alias("_term")).join(terms, "_term").groupBy("_term").agg(F.count(F.lit(1)).alias("_count"))
-    anchors = stage(window_anchors(items, stage(counts, "counts"), window), "anchors")
-    postings = stage(positional_index(docs, anchors.select("_term").distinct()), "postings")
-    return postings, anchors
+    counted = stage(counts, "counts")
+    anchors = stage(window_anchors(items, counted, window), "anchors")
+    near = stage(near_anchors(items, counted, window, per_window), "near") if per_window else None
+    chosen = anchors.select("_term") if near is None else anchors.select("_term").union(near.select("_term"))
+    postings = stage(positional_index(docs, chosen.distinct()), "postings")
+    return postings, anchors, near
 
 
-def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
+def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, near: bool = False, slop: int = 3, least: int = 2) -> DataFrame:
     """All columns of ``docs`` plus n_words, hits (word positions), items (item ids), n_hit, n_items and contaminated.
 
+    With ``near`` also near_matches, the matches of ``proximity_matches`` as structs, from the same index.
+
     A window is ``window`` consecutive words of an item, or all words of a shorter one. A document word inside any
     occurrence of a window is a hit. NULL or wordless texts have no words; items with NULL id or no words
     take no part; items that share an id count once; repeated rows get equal results; NULL doc_ids are kept. Columns of
     the result's names are replaced. No benchmark: nothing is hit.
     """
-    postings, anchors = build_index(docs, benchmark, window)
+    postings, anchors, loose = build_index(docs, benchmark, window, least + SPARE if near else 0)
     candidates = aligned(postings, anchors).groupBy("_k1", "_k2").agg(F.collect_list(F.struct("item_id", "_item", "_delta", "_matched")).alias("_found"))
-    own = ["n_words", "hits", "items", "n_hit", "n_items", "contaminated"]
+    own = ["n_words", "hits", "items", "n_hit", "n_items", "contaminated"] + (["near_matches"] if near else [])
     kept = docs.drop(*own)
     rows = kept.select("*", *row_key()).join(candidates, ["_k1", "_k2"], "left")
+    extra = []
+    if near:
+        close = near_places(postings, loose, slop, least).groupBy("_k1", "_k2").agg(F.array_sort(F.collect_list(F.struct("item_id", "start", "n_anchors"))).alias("near_matches"))
+        rows = rows.join(close, ["_k1", "_k2"], "left")
+        extra = [F.coalesce("near_matches", F.array().cast(close.schema["near_matches"].dataType)).alias("near_matches")]
     # The variable of a one-element transform: the text is split once, whichever of the columns below are used. A plain column
     # could be copied to where its words are compared, and the text split once for each of them.
     spans = F.transform(F.array(raw_words(text_of())), lambda words: F.transform("_found", lambda c: verified(words, c, window)))
@@ -91,7 +114,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -
     real = F.filter("_spans", lambda s: F.size(s["at"]) > 0)
     hits = F.coalesce(F.array_distinct(F.flatten(F.transform(real, lambda s: s["at"]))), F.array().cast("array<int>"))
     items = F.coalesce(F.array_distinct(F.transform(real, lambda s: s["item_id"])), F.array().cast("array<bigint>"))
-    out = checked.select(*[f"`{c}`" for c in kept.columns], F.size(raw_words(text_of())).cast("long").alias("n_words"), hits.alias("hits"), items.alias("items"))
+    out = checked.select(*[f"`{c}`" for c in kept.columns], F.size(raw_words(text_of())).cast("long").alias("n_words"), hits.alias("hits"), items.alias("items"), *extra)
     return out.select("*", F.size("hits").cast("long").alias("n_hit"), F.size("items").cast("long").alias("n_items"), (F.size("hits") > 0).alias("contaminated"))
 
 
@@ -108,18 +131,25 @@ def verified(words: Column, c: Column, window: int) -> Column:
     return F.struct(c["item_id"].alias("item_id"), at.alias("at"))
 
 
+def near_places(postings: DataFrame, anchors: DataFrame, slop: int, least: int) -> DataFrame:
+    """(_k1, _k2, item_id, start, n_anchors): the alignments with enough near anchors, or all words of an item of fewer."""
+    near = aligned(postings, anchors).select("_k1", "_k2", "item_id", "_item", F.floor(F.col("_delta") / (slop + 1)).alias("_band"), "_delta", F.explode("_matched").alias("_offset"))
+    both = near.select("*", F.explode(F.array(F.col("_band"), F.col("_band") - 1)).alias("_near"))
+    found = both.groupBy("_k1", "_k2", "item_id", "_item", "_near").agg(F.min("_delta").alias("start"), F.count_distinct("_offset").alias("n_anchors"))
+    enough = found.filter(F.col("n_anchors") >= F.least(F.lit(least), F.size("_item")))
+    return enough.groupBy("_k1", "_k2", "item_id", "start").agg(F.max("n_anchors").alias("n_anchors"))
+
+
 def proximity_matches(docs: DataFrame, benchmark: DataFrame, slop: int = 3, least: int = 2, window: int = WINDOW) -> DataFrame:
     """(doc_id, item_id, start, n_anchors): places where ``least`` anchors of an item lie within ``slop`` words of one alignment.
 
-    A looser test than the phrase: words between the anchors may differ, be missing or added. Alignments are
+    A looser test than the phrase: words between the anchors may differ, be missing or added. Each window of an item has its
+    ``least`` + ``SPARE`` rarest words that any document holds as anchors, so a copy of a window with ``SPARE`` words
+    changed is still found. An item of fewer than ``least`` words needs all of them. Alignments are
     taken in bands of ``slop`` + 1 places and each band with its successor, so that no near pair is cut apart.
     """
-    postings, anchors = build_index(docs, benchmark, window)
-    near = aligned(postings, anchors).select("_k1", "_k2", "item_id", "_item", F.floor(F.col("_delta") / (slop + 1)).alias("_band"), "_delta", F.explode("_matched").alias("_offset"))
-    both = near.select("*", F.explode(F.array(F.col("_band"), F.col("_band") - 1)).alias("_near"))
-    found = both.groupBy("_k1", "_k2", "item_id", "_item", "_near").agg(F.min("_delta").alias("start"), F.count_distinct("_offset").alias("n_anchors")).filter(F.col("n_anchors") >= least)
-    best = found.groupBy("_k1", "_k2", "item_id", "start").agg(F.max("n_anchors").alias("n_anchors"))
-    return docs.select("doc_id", *row_key()).join(best, ["_k1", "_k2"]).select("doc_id", "item_id", "start", "n_anchors")
+    postings, _, loose = build_index(docs, benchmark, window, least + SPARE)
+    return docs.select("doc_id", *row_key()).join(near_places(postings, loose, slop, least), ["_k1", "_k2"]).select("doc_id", "item_id", "start", "n_anchors")
 
 
 def op6_decontamination(spark, sf_dir):

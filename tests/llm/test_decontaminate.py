@@ -63,3 +63,23 @@ def test_proximity(spark):
     near = " ".join("k%d" % i for i in range(9)) + " gap gap " + " ".join("k%d" % i for i in range(11, 20))
     got = proximity_matches(documents(spark, [near, "k1 nothing else here"]), benchmark).collect()
     assert {r.doc_id for r in got} <= {0}
+
+
+def test_near_copies_are_found(spark):
+    words = lambda c, *n: " ".join(f"{c}{i}" for i in range(*n))
+    benchmark = spark.createDataFrame([(1, words("k", 20)), (2, words("s", 5)), (3, words("m", 15)), (4, "solo"), (5, words("p", 10))], "item_id long, text string")
+    texts = [
+        words("k", 9) + " gap gap " + words("k", 11, 20),  # k9 and k10 are in no document
+        "x " + words("s", 5) + " y",  # a short item, verbatim
+        words("m", 15),  # all windows share their rarest word
+        "a solo b",
+        words("p", 4) + " q q " + words("p", 6, 10),  # two words of the only window changed
+        "k1 nothing else here",
+        words("k", 9) + " " + words("k", 10, 20),  # a word missing
+    ]
+    want = {(0, 1), (1, 2), (2, 3), (3, 4), (4, 5), (6, 1)}
+    docs = documents(spark, texts)
+    assert {(r.doc_id, r.item_id) for r in proximity_matches(docs.filter("doc_id <> 6"), benchmark).collect()} == want - {(6, 1)}
+    got = decontaminate(docs, benchmark, near=True).collect()
+    assert {(r.doc_id, m.item_id) for r in got for m in r.near_matches} == want
+    assert {r.doc_id for r in got if r.contaminated} == {1, 2, 3, 6}
