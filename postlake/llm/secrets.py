@@ -38,7 +38,8 @@ PLACEHOLDER = re.compile(r"(?i)change.?me|example|placeholder|dummy|your[_-]|tod
 LEAST_SCORE = 0.55
 LEAST_CHARS = 8
 
-MAYBE = re.compile(r"passw|passphrase|pwd|secret|token|api_?-?key|credential|private|access_?-?key|auth|signature|salt|encryption|signing", re.IGNORECASE)
+#: Every text with a name that can reach LEAST_SCORE: its words, and pairs with whatever ``words_of`` splits at between them.
+MAYBE = re.compile("|".join([w for w, x in SENSITIVE.items() if x >= LEAST_SCORE] + [f"{a}[^A-Za-z0-9]*{b}" for a, b in sorted(PAIRS)]), re.IGNORECASE)
 LEX = re.compile(
     r"""(?P<comment>/\*.*?\*/|<!--.*?-->)
     |(?P<string>\"{3}.*?\"{3}|'{3}.*?'{3}|"(?:\\.|[^"\\\n])*"|'(?:\\.|[^'\\\n])*'|`(?:\\.|[^`\\])*`)

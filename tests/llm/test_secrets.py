@@ -3,7 +3,7 @@ from __future__ import annotations
 import hashlib
 import re
 
-from postlake.llm.secrets import assigned_literals, scan_secrets, sensitivity
+from postlake.llm.secrets import LEAST_SCORE, MAYBE, PAIRS, SENSITIVE, assigned_literals, scan_secrets, scan_text, sensitivity
 from tests.llm.rows import N_ODD, documents, odd
 
 
@@ -57,3 +57,12 @@ def test_odd_rows(spark):
     got = scan_secrets(odd(spark, "spans")).collect()
     assert len(got) == N_ODD and all(r.spans == "" for r in got)
     assert scan_secrets(documents(spark, [])).count() == 0
+
+
+def test_every_sensitive_name_is_lexed():
+    names = list(SENSITIVE) + [sep.join(pair) for pair in PAIRS for sep in (".", "::", "->", "-", "_", " ", " - ", "$")] + [a + b.title() for a, b in PAIRS]
+    for name in [n for x in names for n in (x, x.upper(), f"service.{x}", f"my_{x}_2") if sensitivity(n) >= LEAST_SCORE]:
+        assert MAYBE.search(name), name
+    for text in ('api.key="Zx81q9TTkk37AAbz"', "service.access.key = Zx81q9TTkk37AAbz", '{"api key": "Zx81q9TTkk37AAbz"}', 'bearer = "Zx81q9TTkk37AAbz"'):
+        _, spans, literals = scan_text(text)
+        assert [text[s:e] for s, k, e in spans if k == 3] == ["Zx81q9TTkk37AAbz"] and len(literals) == 1, text
