@@ -84,8 +84,11 @@ def strength(text: str) -> float:
     return max(0.0, min(1.0, entropy / 3.5) * (0.7 + 0.1 * kinds) - 3 * spaces)
 
 
-def assignments(text: str) -> Iterator[tuple[str, list[Literal | str]]]:
-    """Name and value of every assignment; the value is a list of literals and names that are joined."""
+def assignments(text: str) -> Iterator[tuple[str, list[Literal | str | None]]]:
+    """Name and value of every assignment; the value is a list of literals and names that are joined, None between elements of a list.
+
+    A value goes on over line ends around a plus, inside brackets and after a backslash.
+    """
     tokens = [m for m in LEX.finditer(text) if m.lastgroup != "comment"]
     i, n = 0, len(tokens)
 
@@ -100,6 +103,46 @@ def assignments(text: str) -> Iterator[tuple[str, list[Literal | str]]]:
         quote = 3 if m.group()[:3] in ('"""', "'''") else 1
         return Literal(m.start() + quote, m.end() - quote, m.group()[quote:-quote])
 
+    def sign(k: int, signs: str) -> bool:
+        return kind(k) in ("op", "other") and tokens[k].group() in signs
+
+    def over(k: int, lines: bool) -> int:
+        while (lines and kind(k) == "line") or (sign(k, "\\") and kind(k + 1) == "line"):
+            k += 1 if kind(k) == "line" else 2
+        return k
+
+    def assigned(k: int) -> bool:
+        return kind(k) in ("name", "string") and kind(k + 1) == "op" and tokens[k + 1].group() in ("=", ":", ":=", "=>")
+
+    def value_from(k: int) -> list[Literal | str | None]:
+        value: list[Literal | str | None] = []
+        depth, k = 0, over(k, False)
+        while True:
+            if sign(k, "(["):
+                depth, k = depth + 1, over(k + 1, True)
+                continue
+            quoted = kind(k) == "string"
+            if quoted or kind(k) == "name":
+                value.append(literal(k) if quoted else tokens[k].group())
+                k += 1
+            elif not (depth and sign(k, ")]")):
+                return value
+            while depth and sign(j := over(k, True), ")]"):
+                depth, k = depth - 1, j + 1
+            after, plus = over(k, depth > 0), over(k, True)
+            if sign(plus, "+"):
+                k = over(plus + 1, True)
+                # A line that begins with a plus may be one of a patch.
+                if not depth and any(kind(x) == "line" for x in range(after, plus)) and assigned(k):
+                    return value
+            elif depth and sign(after, ","):
+                value.append(None)
+                k = over(after + 1, True)
+            elif quoted and kind(after) == "string":
+                k = after  # neighbouring strings are one
+            else:
+                return value
+
     while i < n:
         what, m = kind(i), tokens[i]
         if what == "element":
@@ -108,47 +151,62 @@ def assignments(text: str) -> Iterator[tuple[str, list[Literal | str]]]:
             yield m.group("flagname"), [Literal(m.start("flagvalue"), m.end("flagvalue"), m.group("flagvalue"))]
         elif what in ("name", "string") and kind(i + 1) == "op" and tokens[i + 1].group() in ("=", ":", ":=", "=>"):
             name = m.group() if what == "name" else literal(i).text
-            k, value = i + 2, []
+            k = i + 2
             # A type between the name and its value: name: Type = value
             if tokens[i + 1].group() == ":" and kind(k) == "name" and kind(k + 1) == "op" and tokens[k + 1].group() == "=":
                 k += 2
-            while kind(k) in ("string", "name"):
-                quoted = kind(k) == "string"
-                value.append(literal(k) if quoted else tokens[k].group())
-                if kind(k + 1) == "op" and tokens[k + 1].group() == "+":
-                    k += 2
-                elif quoted and kind(k + 1) == "string":
-                    k += 1  # neighbouring strings are one
-                else:
-                    break
+            value = value_from(k)
             if not any(isinstance(v, Literal) for v in value):
                 bare = BARE.match(text, tokens[i + 2].start()) if i + 2 < n and kind(i + 2) != "line" else None
                 if bare and len(bare.group()) >= LEAST_CHARS and re.search("[0-9]", bare.group()):
                     value = [Literal(bare.start(), bare.end(), bare.group())]
-            if len(name) <= 128:
-                yield name, value
+            yield name, value
         i += 1
 
 
+def reached(value: tuple) -> list[Literal]:
+    """All literals of a value, through the values of its names, in order and each place once."""
+    out: dict[tuple[int, int], Literal] = {}
+    met: set[int] = set()
+    todo = [value]
+    while todo:
+        x = todo.pop()
+        if isinstance(x, Literal):
+            out.setdefault((x.start, x.end), x)
+        elif id(x) not in met:
+            met.add(id(x))
+            todo += reversed(x)
+    return list(out.values())
+
+
 def assigned_literals(text: str) -> list[tuple[Literal, str, float]]:
-    """Literals that reach a sensitive name, with that name and their score; constants are followed through names."""
-    held: dict[str, list[Literal]] = {}
+    """Literals that reach a sensitive name, with that name and their score; constants are followed through names.
+
+    An expression keeps all its literals, however many, each with its own place; elements of a list are scored one by one.
+    """
+    held: dict[str, tuple] = {}  # values as they were assigned: literals and other values, followed only from sensitive names
     best: dict[tuple[int, int], tuple[Literal, str, float]] = {}
     for name, value in assignments(text):
-        parts: list[Literal] = []
+        elements: list[list] = [[]]
         for v in value:
-            parts += [v] if isinstance(v, Literal) else held.get(v, [])
-        parts = parts[:16]  # of one expression; each part keeps its own place
-        held[name] = parts
-        if not parts:
-            continue
+            if v is None:
+                elements.append([])
+            elif isinstance(v, Literal):
+                elements[-1].append(v)
+            elif v in held:
+                elements[-1].append(held[v])
+        held[name] = tuple(tuple(e) for e in elements)
         target = sensitivity(name)
-        score = target * strength("".join(p.text for p in parts))
-        if score >= LEAST_SCORE:
-            for p in parts:
-                at = (p.start, p.end)
-                if p.end > p.start and (at not in best or best[at][2] < score):
-                    best[at] = (p, name, score)
+        if target < LEAST_SCORE:
+            continue
+        for element in held[name]:
+            parts = reached(element)
+            score = target * strength("".join(p.text for p in parts))
+            if score >= LEAST_SCORE:
+                for p in parts:
+                    at = (p.start, p.end)
+                    if p.end > p.start and (at not in best or best[at][2] < score):
+                        best[at] = (p, name, score)
     return sorted(best.values(), key=lambda x: x[0].start)
 
 

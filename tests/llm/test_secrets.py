@@ -66,3 +66,23 @@ def test_every_sensitive_name_is_lexed():
     for text in ('api.key="Zx81q9TTkk37AAbz"', "service.access.key = Zx81q9TTkk37AAbz", '{"api key": "Zx81q9TTkk37AAbz"}', 'bearer = "Zx81q9TTkk37AAbz"'):
         _, spans, literals = scan_text(text)
         assert [text[s:e] for s, k, e in spans if k == 3] == ["Zx81q9TTkk37AAbz"] and len(literals) == 1, text
+
+
+def found(text):
+    return [p.text for p, _, _ in assigned_literals(text)]
+
+
+def test_long_and_broken_values():
+    pieces = ["MIIEpA%02dq8Rt55zzLmN0kk37" % i for i in range(27)]
+    by_name = "".join(f'p{i} = "{x}"\n' for i, x in enumerate(pieces)) + "private_key = " + " + ".join(f"p{i}" for i in range(27))
+    assert found(by_name) == pieces
+    assert found("".join(f's = {"s + " if i else ""}"{x}"\n' for i, x in enumerate(pieces)) + "secret = s") == pieces
+    first, second = "Zx81q9TTkk37", "hunterAAbz55"
+    for value in (f'"{first}" +\n  "{second}"', f'"{first}"\n  + "{second}"', f'("{first}"\n  "{second}")', f'(\n"{first}" +\n"{second}"\n)', f'"{first}" \\\n "{second}"', f'["{first}",\n "{second}",\n]'):
+        assert found(f"secret_key = {value}\nother = 1") == [first, second], value
+    assert found(f'+secret = "{first}"\n+user = "{second}"') == [first]  # lines of a patch
+    assert found(f'secret = "{first}"\nuser = "{second}"') == [first]
+    assert found(f'f(secret="{first}", user="{second}")') == [first]
+    assert found("x_" * 70 + f'password = "{first}"') == [first]
+    doubled = f'a = "{first}"\n' + "a = a + a\n" * 60 + "token = a"
+    assert found(doubled) == [first]
