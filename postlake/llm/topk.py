@@ -18,7 +18,7 @@ from functools import lru_cache
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from postlake.llm.common import mounted, new_folder, publish, table
@@ -29,22 +29,35 @@ DROPPED = 2
 BLOCK_ROWS = 8_192
 QUERY_ROWS = 128
 TOP = 10
-#: Larger components are no part of any embedding and would leave 64 bits in a sum.
-LARGEST = 1 << 20
+#: Integers, and scores, have to be smaller: the columns are longs.
+LARGEST = 1 << 63
 
 
 def quantised(vectors: DataFrame, scale: int = SCALE) -> DataFrame:
     """(vec_id, v): usable vectors as integers floor(scale * x).
 
-    NULL ids, NULL vectors and vectors with a NULL, non-finite or huge component (over 2**20 after scaling)
-    take no part. Rows that repeat an id count as one, with the smallest vector.
+    NULL ids, NULL vectors and vectors with a NULL or non-finite component take no part. A component that leaves
+    64 bits after scaling raises an error. Rows that repeat an id count as one, with the smallest vector.
     """
-    scaled = F.transform("embedding", lambda x: F.floor(F.lit(float(scale)) * x.cast("double")))
-    usable = F.forall("embedding", lambda x: F.coalesce(F.abs(x.cast("double")) * scale < LARGEST, F.lit(False)) & ~F.isnan(x))
+    def whole(x: Column) -> Column:
+        y = F.lit(float(scale)) * x.cast("double")
+        return F.when(F.abs(y) < float(LARGEST), F.floor(y)).otherwise(F.raise_error(F.lit("a vector component does not fit 64 bits after scaling")).cast("long"))
+
+    usable = F.forall("embedding", lambda x: F.coalesce(F.abs(x.cast("double")) < float("inf"), F.lit(False)) & ~F.isnan(x))
+    # NULL where unusable, so that no component is scaled that has not passed.
+    scaled = F.when(usable, F.transform("embedding", whole))
     rows = vectors.filter(F.col("vec_id").isNotNull() & F.col("embedding").isNotNull() & usable)
     return rows.select(F.col("vec_id").cast("long").alias("vec_id"), scaled.alias("v")).groupBy("vec_id").agg(F.min("v").alias("v"))
 
 
+def exact_scores(x: np.ndarray, q: np.ndarray) -> np.ndarray:
+    """Inner products of the rows with q: 64-bit where every sum fits, else Python integers."""
+    largest = max(int(x.max(initial=0)), -int(x.min(initial=0)))
+    if largest * sum(abs(v) for v in q.tolist()) < LARGEST:
+        return x @ q
+    return x.astype(object) @ q.astype(object)
+
+
 def padded(vectors: list, width: int) -> np.ndarray:
     out = np.zeros((len(vectors), width), np.int64)
     for i, v in enumerate(vectors):
@@ -54,7 +67,8 @@ def padded(vectors: list, width: int) -> np.ndarray:
 
 def slices_of(x: np.ndarray, dropped: int) -> np.ndarray:
     """Bitmaps (attribute, digit, words of 64 rows) of x minus its smallest value per attribute, without low digits."""
-    y = ((x - x.min(axis=0)) >> dropped).astype(np.uint64)
+    # Unsigned, as the difference of two 64-bit integers may need all 64 digits.
+    y = (x.astype(np.uint64) - x.min(axis=0).astype(np.uint64)) >> np.uint64(dropped)
     digits = max(1, int(y.max()).bit_length())
     rows = -(-len(x) // 64) * 64
     bits = np.zeros((x.shape[1], digits, rows), np.uint8)
@@ -176,12 +190,17 @@ class Block:
             bitmap = np.packbits(valid, bitorder="little").view("<u8")
             summed = score_slices(self.slices, self.inverse, q)
             # By the digits left out, two rows differ by at most this much more or less than their sums say.
-            spread = ((1 << dropped) - 1) * int(np.abs(q).sum())
+            spread = ((1 << dropped) - 1) * sum(abs(v) for v in q.tolist())
             least = kth_value(summed, k, bitmap) - (-(-spread >> dropped))
             chosen = np.flatnonzero(np.unpackbits(rows_from(summed, least, bitmap).view(np.uint8), bitorder="little"))
-        exact = self.x[chosen] @ q
-        order = np.lexsort((self.ids[chosen], -exact))[:k]
-        return self.ids[chosen][order], exact[order]
+        ids, exact = self.ids[chosen], exact_scores(self.x[chosen], q)
+        if exact.dtype != object:
+            order = np.lexsort((ids, -exact))[:k]
+            return ids[order], exact[order]
+        order = sorted(range(len(ids)), key=lambda i: (-exact[i], ids[i]))[:k]
+        if any(abs(exact[i]) >= LARGEST for i in order):
+            raise OverflowError(f"a score of query {q_id} does not fit 64 bits")
+        return ids[order], exact[order].astype(np.int64)
 
 
 @lru_cache(maxsize=2)
@@ -208,7 +227,7 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = TOP, dropped: int = D
     """(query_id, rank, vec_id, score): each query's best k of the other rows, ties to the smaller id.
 
     Both inputs are ``quantised``. Fewer than k other rows: all of them. Shorter vectors count as padded with zeros.
-    No usable vectors, or no queries: no rows. Every row is in the index; every query meets every block.
+    No usable vectors, or no queries: no rows. A score among a block's best that leaves 64 bits raises an error. Every row is in the index; every query meets every block.
     """
     rows = stage(vectors, "vectors")
     n, width = rows.agg(F.count(F.lit(1)), F.coalesce(F.max(F.size("v")), F.lit(0))).first()

@@ -3,7 +3,10 @@ from __future__ import annotations
 import math
 import random
 
-from postlake.llm.topk import quantised, signed_digits, top_k
+import numpy as np
+import pytest
+
+from postlake.llm.topk import Block, exact_scores, quantised, signed_digits, top_k
 
 
 def brute(rows, k):
@@ -43,3 +46,23 @@ def test_signed_digits():
         digits = signed_digits(q)
         assert sum(s << p for p, s in digits) == q
         assert all(b[0] - a[0] > 1 for a, b in zip(digits, digits[1:]))
+
+
+def test_large_components_stay(spark):
+    rnd = random.Random(8)
+    rows = [(i, [rnd.choice([-1.0, 1.0]) * rnd.choice([0.5, 3000.0, 1e6, 2.0**18]) for _ in range(4)]) for i in range(300)]
+    got = vectors(spark, [(*r, 0) for r in rows])
+    out = top_k(got, got.filter("vec_id % 100 = 0"), 10, block_rows=64)
+    assert sorted(tuple(r) for r in out.collect()) == brute(rows, 10)
+    with pytest.raises(Exception, match="does not fit 64 bits"):
+        vectors(spark, [(0, [1e30], 0), (1, [1.0], 0)]).collect()
+
+
+def test_scores_beyond_64_bits(tmp_path):
+    x = np.array([[2**62, -(2**62)], [2**62, 2**62 - 5], [-(2**62), 1], [7, 9]], np.int64)
+    assert exact_scores(x, x[0]).tolist() == [sum(a * b for a, b in zip(r, x[0].tolist())) for r in x.tolist()]
+    (tmp_path / "b").write_bytes(Block.file(np.arange(4), x, 2))
+    found, scores = Block(str(tmp_path / "b")).top(9, np.array([1, 0]), 2, 2)
+    assert (found.tolist(), scores.tolist()) == ([0, 1], [2**62, 2**62])
+    with pytest.raises(OverflowError):
+        Block(str(tmp_path / "b")).top(9, np.array([2**40, 0]), 2, 2)
