@@ -12,6 +12,7 @@ from postlake.plans.staging import shared_folder
 from postlake.sources.captures import read_captures, write_captures
 from postlake.sources.schema import JOB_COLS
 from postlake.sources.snapshot import read_snapshot, write_snapshot
+from postlake.streaming.bounded import first_postings, item_stream, land, read_landed, read_postings, write_postings
 from postlake.streaming.ingest import first_seen_stream, posting_stream, read_capture_stream, write_stream
 
 ALL = {"scraped_at": derived.CLOCK, "max_pages": None}
@@ -66,14 +67,20 @@ def karirhub_run_report(spark, sf):
     return report.select("run_id", F.col("last_kept").cast("bigint").alias("last_kept"), "jobs")
 
 
-@binding("""
+REJECTS_SQL = """
 WITH i AS (SELECT o_orderkey AS k, o_orderkey // 2000 AS run, o_orderkey % 2000 // 20 + 1 AS page FROM orders)
 SELECT 'r' || run AS run_id, page AS page_no, 'not an object' AS reject, count(DISTINCT page) AS n FROM i GROUP BY ALL
 UNION ALL SELECT 'r' || run, page, 'missing company', count(*) FROM i WHERE k % 50 = 0 GROUP BY ALL
-""")
+"""
+
+
+@binding(REJECTS_SQL)
 def karirhub_rejects(spark, sf):
-    bad = run(derived.karirhub(spark, sf), "karirhub", **ALL).rejects
-    counts = bad.groupBy("run_id", "page_no", "reject").agg(F.count(F.lit(1)).alias("n"))
+    return _reject_counts(run(derived.karirhub(spark, sf), "karirhub", **ALL).rejects)
+
+
+def _reject_counts(rejects: DataFrame) -> DataFrame:
+    counts = rejects.groupBy("run_id", "page_no", "reject").agg(F.count(F.lit(1)).alias("n"))
     return counts.withColumn("page_no", F.col("page_no").cast("bigint"))
 
 
@@ -310,6 +317,32 @@ def stream_postings(spark, sf):
     return spark.read.schema("job_id STRING, source STRING").json(f"{path}/out").select("job_id")
 
 
+@binding("""
+SELECT 'K' || p_partkey AS job_id, p_partkey // 400 % 3 <> 0 AS late FROM part WHERE p_partkey % 60 <> 0 AND p_partkey % 37 BETWEEN 1 AND 30
+""")
+def stream_bounded_state(spark, sf):
+    """Files no time, three months and a year old, newest first: what is behind the watermark is told apart, nothing is lost."""
+    path = _new_folder(spark, "bounded")
+    for i, days in enumerate((0, 90, 365)):
+        rows = derived.kitalulus(spark, sf, days).filter(F.regexp_extract("run_id", "[0-9]+", 0).cast("int") % 3 == i)
+        dated = rows.withColumns({"fetched_at": F.timestamp_seconds(F.lit(derived.CLOCK_SECONDS - days * derived.DAY))})
+        dated.coalesce(1).write.mode("append").parquet(f"{path}/captures")
+    land(read_capture_stream(spark, f"{path}/captures", max_files=1), "kitalulus", f"{path}/out", f"{path}/land").awaitTermination()
+    write_postings(first_postings(item_stream(spark, f"{path}/out", max_files=1)), f"{path}/postings", f"{path}/state").awaitTermination()
+    return read_postings(spark, f"{path}/postings").select("job_id", "late")
+
+
+@binding(REJECTS_SQL)
+def stream_rejects(spark, sf):
+    """Rejects of a stream whose batches ran twice under the same ids."""
+    path = _new_folder(spark, "rejects")
+    clock = F.timestamp_seconds(F.lit(derived.CLOCK_SECONDS))
+    derived.karirhub(spark, sf).filter("kind = 'listing_api'").withColumn("fetched_at", clock).write.parquet(f"{path}/captures")
+    for checkpoint in ("first", "again"):
+        land(read_capture_stream(spark, f"{path}/captures", max_files=2), "karirhub", f"{path}/out", f"{path}/{checkpoint}").awaitTermination()
+    return _reject_counts(read_landed(spark, f"{path}/out", "rejects"))
+
+
 def _new_folder(spark, name: str) -> str:
     import uuid
 

@@ -43,7 +43,9 @@ def pack(rows: DataFrame, key: str, per_page: int, pages: int, item: Column, *mo
         F.expr(f"cast({key} % {per_page * pages} div {per_page} + 1 as int)").alias("page_no"),
         F.col(key).alias("key"), F.to_json(item).alias("item"), *more,
     )
-    packed = keyed.groupBy("run", "page_no").agg(
+    # Pages are few bytes and much work to parse: dealt by key over the session's partitions, which are not merged by size.
+    dealt = keyed.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), "run", "page_no")
+    packed = dealt.groupBy("run", "page_no").agg(
         F.array_sort(F.collect_list(F.struct("key", "item"))).alias("packed"), *[F.max(c).alias(c) for c in more]
     )
     return packed.withColumn("items", F.transform("packed", lambda p: p["item"])).drop("packed")

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
-from postlake.functions import lists, markup, money, records, urls
+from postlake.functions import aliases, lists, markup, money, records, urls
 from postlake.functions.dates import parse_posted, render_utc
 from postlake.functions.payload import int_at, list_at, script_objects, text_at
 from postlake.functions.text import clean, html_text, humanize, non_empty
@@ -136,24 +136,37 @@ def _read_detail_page(html: str | None) -> dict | None:
     return {"rendered": rendered, "cards": _cards(page) if rendered is None else []}
 
 
-def _read_records(contexts: list[str] | None) -> dict:
-    context = records.first_object(contexts or [])
+def _walk_listing(contexts: list[str] | None) -> dict | None:
+    if contexts is None:
+        return None
+    context = records.first_object(contexts)
     meta = records.page_meta(context)
     return {"records": records.listing_records(context), "meta": json.dumps(meta) if meta else None}
 
 
-def _read_detail(contexts: list[str] | None) -> dict | None:
-    return records.detail_record(records.first_object(contexts or []))
+def _walk_detail(contexts: list[str] | None) -> dict | None:
+    if contexts is None:
+        return None
+    record = records.detail_record(records.first_object(contexts))
+    return {"records": [] if record is None else [record], "meta": None}
 
 
 # Rendered cards and every anchor's link, in page order.
 page_markup = _udf(_read_markup, f"struct<cards:array<{RECORD}>,links:array<string>>")
 # The rendered description of a detail page, and its cards where it has none.
 detail_markup = _udf(_read_detail_page, f"struct<rendered:string,cards:array<{RECORD}>>")
-# Records and pagination facts of the first readable context.
-page_records = _udf(_read_records, f"struct<records:array<{RECORD}>,meta:string>")
-# The job record of a detail page's context, if it has one.
-detail_record = _udf(_read_detail, RECORD)
+# Records and pagination facts of a page's contexts, walked in Python.
+WALKS = {
+    aliases.with_listing_records: _udf(_walk_listing, f"struct<records:array<{RECORD}>,meta:string>"),
+    aliases.with_detail_record: _udf(_walk_detail, f"struct<records:array<{RECORD}>,meta:string>"),
+}
+
+
+def with_records(pages: DataFrame, candidates: Column, name: str, read: Callable[[DataFrame, Column, str], DataFrame] = aliases.with_listing_records) -> DataFrame:
+    """Add (records, meta) of the first readable context; only pages that Columns cannot read exactly go to Python."""
+    walked = read(pages, candidates, RECORD).withColumn("_walked", WALKS[read](F.when(~F.col("_known.exact"), F.col("_contexts"))))
+    plain = F.struct(F.col("_known.records").alias("records"), F.col("_known.meta").alias("meta"))
+    return walked.withColumn(name, F.when(F.col("_known.exact"), plain).otherwise(F.col("_walked"))).drop("_contexts", "_known", "_walked")
 
 
 def contexts(body: Column, kind: Column) -> Column:
@@ -242,9 +255,8 @@ def merge_page(loaded: Column, carded: Column) -> Column:
 def listing(captures: DataFrame) -> DataFrame:
     pages = listing_pages(captures, NAME)
     html = F.when(F.col("kind") == "listing_html", F.col("body"))
-    pages = pages.withColumns({
-        "script": page_records(contexts(F.col("body"), F.col("kind"))), "rendered": page_markup(html), "base": F.col("scraped_ts"),
-    })
+    pages = with_records(pages, contexts(F.col("body"), F.col("kind")), "script")
+    pages = pages.withColumns({"rendered": page_markup(html), "base": F.col("scraped_ts")})
     links = F.col("rendered.links")
     pages = pages.withColumns({
         "n_records": F.size("script.records"),
@@ -301,7 +313,8 @@ def has_next(meta: Column, last: Column) -> Column:
 
 def details(captures: DataFrame) -> DataFrame:
     keys = ["source", "run_id", "job_id", "fetched_at", "scraped_ts"]
-    pages = detail_pages(captures, NAME).select(*keys, "body", detail_record(contexts(F.col("body"), F.col("kind"))).alias("record"))
+    pages = with_records(detail_pages(captures, NAME), contexts(F.col("body"), F.col("kind")), "script", aliases.with_detail_record)
+    pages = pages.select(*keys, "body", F.get("script.records", F.lit(0)).alias("record"))
     # Markup is read once, and only of pages whose script holds no record.
     pages = pages.select(*keys, "record", detail_markup(F.when(F.col("record").isNull(), F.col("body"))).alias("page"))
     pages = pages.select(*keys, "record", "page.*")
