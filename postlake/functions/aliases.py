@@ -19,19 +19,26 @@ from postlake.functions.payload import bound, kind_of, list_at, text_or
 from postlake.functions.text import clean
 
 #: Levels below a record, below a page's context for its records, and for its pagination facts.
-RECORD_DEPTH, LIST_DEPTH, META_DEPTH = 5, 5, 7
-SINGLE = (*records.REMOTE, *records.TAGS, *records.BODY, *records.AREAS)
-KNOWN = sorted({*SINGLE, *records.COMPANY, *records.SHORT_ID, *records.SHORT_TITLE, *(n for names in records.ALIASES.values() for n in names)})
-
-
-def _texts(names: Sequence[str]) -> Column:
-    return F.array(*map(F.lit, names))
+RECORD_DEPTH, LIST_DEPTH, META_DEPTH = 5, 7, 7
+#: What is looked up in a record, each by its spellings in the order they are tried; the last groups have one spelling each.
+LOOKUPS = {
+    **records.ALIASES, "company": records.COMPANY, "short_id": records.SHORT_ID, "short_title": records.SHORT_TITLE,
+    **{f"{group} {name}": (name,) for group, names in (("remote", records.REMOTE), ("tags", records.TAGS), ("body", records.BODY)) for name in names},
+}
+PLACE = {name: i for i, name in enumerate(LOOKUPS)}
+KNOWN = sorted({*records.AREAS, *(n for names in LOOKUPS.values() for n in names)})
+FACTS = "|".join(records.META)
 
 
 def _first(array: Column) -> Column:
     return F.get(array, F.lit(0))
 
 
+def _group(array: Column, group: str) -> Column:
+    places = [i for name, i in PLACE.items() if name.startswith(f"{group} ")]
+    return F.slice(array, places[0] + 1, len(places))
+
+
 def hits(nodes: Column) -> Column:
     """(node number, key, value) of every known spelling that holds a value, nodes in order."""
 
@@ -42,12 +49,10 @@ def hits(nodes: Column) -> Column:
     return F.flatten(F.transform(nodes, of))
 
 
-def find(found: Column, names: Sequence[str]) -> Column:
+def find(found: Column, names: Column) -> Column:
     """Value of the first node that has any of the names, by the first of them it has."""
-    if len(names) == 1:
-        return _first(F.filter(found, lambda h: h["key"] == names[0]))["value"]
-    own = F.filter(found, lambda h: h["key"].isin(*names))
-    place = F.array_min(F.transform(own, lambda h: F.struct(h["node"].alias("node"), F.array_position(_texts(names), h["key"]).alias("rank"), h["key"].alias("key"))))
+    own = F.filter(found, lambda h: F.array_contains(names, h["key"]))
+    place = F.array_min(F.transform(own, lambda h: F.struct(h["node"].alias("node"), F.array_position(names, h["key"]).alias("rank"), h["key"].alias("key"))))
     return bound(place, lambda p: _first(F.filter(found, lambda h: (h["node"] == p["node"]) & (h["key"] == p["key"]))))["value"]
 
 
@@ -122,33 +127,38 @@ def canonical(raw: Column, ddl: str, depth: int = RECORD_DEPTH) -> Column:
 
     def read(levels: list[Column]) -> Column:
         objects = F.filter(in_order(levels), lambda n: n["raw"].startswith("{"))
-        return bound(hits(objects), lambda found: fields(found, F.size(objects), F.size(levels[-1])))
-
-    def fields(found: Column, n_objects: Column, n_deepest: Column) -> Column:
-        at = lambda field: find(found, records.ALIASES[field])
-        one = lambda key: find(found, (key,))
-        own = lambda key: _first(F.filter(found, lambda h: (h["node"] == 0) & (h["key"] == key)))["value"]
-        flags = [_remote(one(key)) for key in records.REMOTE]
-        lists = [F.transform(list_at(one(key), "$"), lambda i: named(i, ("name", "label", "title"))) for key in records.TAGS]
-        tags = F.array_compact(F.concat(*[F.coalesce(t, F.array().cast("array<string>")) for t in lists]))
-        areas = F.array_compact(F.array(*[named(own(key), ("name", "label")) for key in records.AREAS]))
-        body = F.coalesce(*[text(one(key)) for key in records.BODY])
-        known = F.struct(at("id").alias("id"), at("link_id").alias("link_id"), posted(at("posted")).alias("posted"), company(find(found, records.COMPANY)).alias("company"))
-
-        def done(k: Column) -> Column:
-            record = {
-                "id": label(k["id"]), "link_id": label(k["link_id"]), "title": text(at("title")), "company": k["company"]["name"],
-                "posted": k["posted"]["text"], "posted_number": k["posted"]["number"],
-                **{field: text(at(field)) for field in ("slug", "link", "place", "kind", "kind_label", "pay")},
-                "low": whole(at("pay_min")), "high": whole(at("pay_max")), "currency": text(at("currency")),
-                "remote": F.array_contains(F.array(*flags), True), "tags": tags, "areas": areas, "body": body, "alt": F.lit(False),
-            }
-            like = find(found, records.SHORT_ID).isNotNull() & find(found, records.SHORT_TITLE).isNotNull() & k["company"]["name"].isNotNull()
-            # A record that is no posting may hold one.
-            exact = (n_deepest == 0) & _plain(k["id"]) & _plain(k["link_id"]) & k["posted"]["plain"] & k["company"]["plain"] & (like | (n_objects == 1))
-            return F.struct(F.struct(*[c.alias(n) for n, c in record.items()]).alias("record"), like.alias("job_like"), exact.alias("exact"))
-
-        return bound(known, done)
+        return bound(hits(objects), lambda found: looked_up(found, F.size(objects), F.size(levels[-1])))
+
+    def looked_up(found: Column, n_objects: Column, n_deepest: Column) -> Column:
+        names = F.array(*[F.array(*map(F.lit, n)) for n in LOOKUPS.values()])
+        values = F.transform(names, lambda n: find(found, n))
+        own = F.filter(found, lambda h: (h["node"] == 0) & h["key"].isin(*records.AREAS))
+        area = lambda name: named(_first(F.filter(own, lambda h: h["key"] == name))["value"], ("name", "label"))
+        areas = F.array_compact(F.transform(F.array(*map(F.lit, records.AREAS)), area))
+        return bound(values, lambda v: with_texts(v, areas, n_objects, n_deepest))
+
+    def with_texts(values: Column, areas: Column, n_objects: Column, n_deepest: Column) -> Column:
+        at = lambda name: F.get(values, F.lit(PLACE[name]))
+        known = F.struct(F.transform(values, text).alias("texts"), posted(at("posted")).alias("posted"), company(at("company")).alias("company"))
+        return bound(known, lambda k: fields(values, k, areas, n_objects, n_deepest))
+
+    def fields(values: Column, k: Column, areas: Column, n_objects: Column, n_deepest: Column) -> Column:
+        at = lambda name: F.get(values, F.lit(PLACE[name]))
+        written = lambda name: F.get(k["texts"], F.lit(PLACE[name]))
+        item_texts = lambda v: F.transform(list_at(v, "$"), lambda i: named(i, ("name", "label", "title")))
+        lists = F.transform(_group(values, "tags"), lambda v: F.coalesce(item_texts(v), F.array().cast("array<string>")))
+        record = {
+            "id": label(at("id")), "link_id": label(at("link_id")), "title": written("title"), "company": k["company"]["name"],
+            "posted": k["posted"]["text"], "posted_number": k["posted"]["number"],
+            **{name: written(name) for name in ("slug", "link", "place", "kind", "kind_label", "pay")},
+            "low": whole(at("pay_min")), "high": whole(at("pay_max")), "currency": written("currency"),
+            "remote": F.exists(_group(values, "remote"), _remote), "tags": F.array_compact(F.flatten(lists)), "areas": areas,
+            "body": _first(F.array_compact(_group(k["texts"], "body"))), "alt": F.lit(False),
+        }
+        like = at("short_id").isNotNull() & at("short_title").isNotNull() & k["company"]["name"].isNotNull()
+        # A record that is no posting may hold one.
+        exact = (n_deepest == 0) & _plain(at("id")) & _plain(at("link_id")) & k["posted"]["plain"] & k["company"]["plain"] & (like | (n_objects == 1))
+        return F.struct(F.struct(*[c.alias(n) for n, c in record.items()]).alias("record"), like.alias("job_like"), exact.alias("exact"))
 
     return with_levels(raw, depth, read).cast(record_type(ddl))
 
@@ -216,7 +226,9 @@ def _meta_children(node: Column) -> Column:
 
 def with_page_meta(pages: DataFrame) -> DataFrame:
     """Add ``_meta``, the text of the first object of ``_context`` with pagination facts, and ``_met``, whether that is exact."""
-    pages = _with_levels(pages, "_meta", F.col("_context"), META_DEPTH, _meta_children)
+    # A text that names none of the facts holds none; an escape could hide a name.
+    named_there = F.col("_context").rlike(f'"({FACTS})"') | F.col("_context").contains("\\u")
+    pages = _with_levels(pages, "_meta", F.when(named_there, F.col("_context")), META_DEPTH, _meta_children)
     hit = _first(F.filter(_all("_meta", 0, META_DEPTH), lambda n: n["raw"].startswith("{") & _has_facts(members(n["raw"]))))
     pages = pages.withColumn("_hit", hit)
     # What lies too deep could come first only if it stands first.

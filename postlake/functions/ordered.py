@@ -14,21 +14,20 @@ from pyspark.sql import functions as F
 
 from postlake.functions.payload import bound
 
-ENTRIES = "array<struct<key:string,raw:string,value:variant>>"
 NODES = "array<struct<path:array<int>,raw:string>>"
 
 
 def members(raw: Column) -> Column:
     """Members of an object text as written: key, raw text (a string without its quotes), typed value."""
     texts, values = F.from_json(raw, "map<string,string>"), F.from_json(raw, "map<string,variant>")
-    return F.arrays_zip(F.map_keys(texts), F.map_values(texts), F.map_values(values)).cast(ENTRIES)
+    entry = lambda text, value: F.struct(text["key"].alias("key"), text["value"].alias("raw"), value.alias("value"))
+    return F.zip_with(F.map_entries(texts), F.map_values(values), entry)
 
 
 def elements(raw: Column) -> Column:
     """Elements of a list text, without keys."""
-    texts = F.from_json(raw, "array<string>")
-    none = F.transform(texts, lambda t: F.lit(None).cast("string"))
-    return F.arrays_zip(none, texts, F.from_json(raw, "array<variant>")).cast(ENTRIES)
+    entry = lambda text, value: F.struct(F.lit(None).cast("string").alias("key"), text.alias("raw"), value.alias("value"))
+    return F.zip_with(F.from_json(raw, "array<string>"), F.from_json(raw, "array<variant>"), entry)
 
 
 def is_object(entry: Column) -> Column:
@@ -62,7 +61,9 @@ def containers(entries: Column, path: Column) -> Column:
 
 
 def below(node: Column) -> Column:
-    return containers(inside(node["raw"]), node["path"])
+    """What a container holds; one without another opening bracket in its text holds none and is not read."""
+    flat = ~F.substring(node["raw"], 2, 2**31 - 1).rlike(r"[\[{]")
+    return F.when(flat, F.array().cast(NODES)).otherwise(containers(inside(node["raw"]), node["path"]))
 
 
 def top(raw: Column) -> Column:

@@ -8,13 +8,14 @@ from dataclasses import dataclass
 from datetime import datetime
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from postlake.functions.dates import ISO_SHAPE, is_recent
 from postlake.operators.first_seen import first_seen
 from postlake.operators.merge import detail_worklist, with_details
 from postlake.operators.page_cut import cut_runs, keep_reached
+from postlake.plans.attempts import listed
 from postlake.plans.boards import BOARDS, DEFAULT_BOARD, Board, board, read_markup
 from postlake.plans.staging import stage
 from postlake.sources.captures import with_clock
@@ -61,7 +62,7 @@ def run(
     clocked = with_clock(captures, scraped_at)
     # A page past the limit can only matter as absent, so it is not even parsed.
     within = clocked if max_pages is None else clocked.filter(F.coalesce(F.col("page_no") <= max_pages, F.lit(True)))
-    staged = stage(one_attempt(b.listing(within)), b.name, work_folder)
+    staged = listed(within, b, work_folder)
     usable = staged.filter(F.col("pos").isNotNull() & F.col("reject").isNull() & is_recent(F.col("posted_ts"), F.col("scraped_ts")))
 
     pages = page_facts(staged, usable, b)
@@ -81,21 +82,6 @@ def run(
     )
 
 
-def one_attempt(rows: DataFrame) -> DataFrame:
-    """Rows of one capture per page: the earliest readable one, or the earliest if none is; equal captures count once.
-
-    Ranked on the narrow rows, not on the bodies; both windows hold one page's items and share one shuffle.
-    """
-    page = Window.partitionBy(*PAGE_KEYS)
-    best = page.orderBy(F.col("outcome") != "ok", F.col("fetched_at").asc_nulls_last(), "attempt")
-    same = Window.partitionBy(*PAGE_KEYS, "pos").orderBy("attempt")
-    ranked = rows.withColumn("_rank", F.rank().over(best))
-    # Without a page number there is no page to have attempts of.
-    lone = F.col("page_no").isNull()
-    chosen = ranked.filter(lone | (F.col("_rank") == 1)).withColumn("_copy", F.when(lone, 1).otherwise(F.row_number().over(same)))
-    return chosen.filter("_copy = 1").drop("_rank", "_copy")
-
-
 def page_facts(staged: DataFrame, usable: DataFrame, b: Board) -> DataFrame:
     """One row per page: its facts, its recent postings, and those first seen on it."""
     recent = F.col("pos").isNotNull() & F.col("reject").isNull() & is_recent(F.col("posted_ts"), F.col("scraped_ts"))

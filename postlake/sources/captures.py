@@ -40,15 +40,19 @@ def detail_pages(captures: DataFrame, source: str) -> DataFrame:
     )
 
 
+def lost() -> Column:
+    """No body came back: unreadable on every board."""
+    return F.col("error").isNotNull() | F.col("body").isNull()
+
+
 def fetch_outcome(*, http: bool = True) -> Column:
     """``rejected`` (HTTP 400), ``failed``, or NULL when there is a body to read.
 
     Pages taken with a browser (``http=False``) are read whatever their status was.
     """
-    lost = F.col("error").isNotNull() | F.col("body").isNull()
     if not http:
-        return F.when(lost, "failed")
-    return F.when(F.col("status_code") == 400, "rejected").when(lost | (F.col("status_code") > 400), "failed")
+        return F.when(lost(), "failed")
+    return F.when(F.col("status_code") == 400, "rejected").when(lost() | (F.col("status_code") > 400), "failed")
 
 
 def explode_items(pages: DataFrame, items: Column) -> DataFrame:
