@@ -8,6 +8,7 @@ whole number, a part of a record that is a posting itself) are told, and those p
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import cache
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -188,11 +189,45 @@ def records_at(raw: Column) -> Column:
     return F.when(raw.startswith("{"), bound(members(raw), of_object)).otherwise(bound(inside(raw), of_list))
 
 
+# These read the helper columns by name and are the same for every table, so each is built once: building them costs
+# more than planning does.
+
+
+@cache
+def _next_level(name: str, i: int, children: Callable[[Column], Column]) -> Column:
+    return F.flatten(F.transform(f"{name}{i}", children))
+
+
+@cache
+def _listed_here() -> Column:
+    return records_at(F.col("_context"))
+
+
+@cache
+def _listed_below() -> Column:
+    return _first(F.filter(F.transform(_all("_list", 1, LIST_DEPTH), lambda n: records_at(n["raw"])), lambda r: r.isNotNull()))
+
+
+@cache
+def _first_with_facts() -> Column:
+    return _first(F.filter(_all("_meta", 0, META_DEPTH), lambda n: n["raw"].startswith("{") & _has_facts(members(n["raw"]))))
+
+
+@cache
+def _rows(ddl: str) -> Column:
+    return F.transform("_raws", lambda r: canonical(r, ddl))
+
+
+@cache
+def _whole(ddl: str) -> Column:
+    return canonical(F.col("_context"), ddl, META_DEPTH)
+
+
 def _with_levels(pages: DataFrame, name: str, raw: Column, depth: int, children: Callable[[Column], Column] = below) -> DataFrame:
     """Add the nodes by depth as columns ``name0``, ``name1``, … A column each keeps the expressions flat."""
     pages = pages.withColumn(f"{name}0", F.when(raw.isNotNull(), top(raw)))
     for i in range(depth):
-        pages = pages.withColumn(f"{name}{i + 1}", F.flatten(F.transform(f"{name}{i}", children)))
+        pages = pages.withColumn(f"{name}{i + 1}", _next_level(name, i, children))
     return pages
 
 
@@ -202,11 +237,10 @@ def _all(name: str, first: int, depth: int) -> Column:
 
 def with_job_records(pages: DataFrame) -> DataFrame:
     """Add ``_raws``, the record texts of the first list of records anywhere in ``_context``, and ``_listed``, whether that is exact."""
-    pages = pages.withColumn("_here", records_at(F.col("_context")))
+    pages = pages.withColumn("_here", _listed_here())
     # Only where the context has none itself is it searched.
     pages = _with_levels(pages, "_list", F.when(F.col("_here").isNull(), F.col("_context")), LIST_DEPTH)
-    tried = F.filter(F.transform(_all("_list", 1, LIST_DEPTH), lambda n: records_at(n["raw"])), lambda r: r.isNotNull())
-    return pages.withColumn("_raws", F.coalesce("_here", _first(tried))).withColumn("_listed", F.coalesce(F.size(f"_list{LIST_DEPTH}") <= 0, F.lit(True)))
+    return pages.withColumns({"_raws": F.coalesce("_here", _listed_below()), "_listed": F.coalesce(F.size(f"_list{LIST_DEPTH}") <= 0, F.lit(True))})
 
 
 def _has_facts(entries: Column) -> Column:
@@ -229,17 +263,16 @@ def with_page_meta(pages: DataFrame) -> DataFrame:
     # A text that names none of the facts holds none; an escape could hide a name.
     named_there = F.col("_context").rlike(f'"({FACTS})"') | F.col("_context").contains("\\u")
     pages = _with_levels(pages, "_meta", F.when(named_there, F.col("_context")), META_DEPTH, _meta_children)
-    hit = _first(F.filter(_all("_meta", 0, META_DEPTH), lambda n: n["raw"].startswith("{") & _has_facts(members(n["raw"]))))
-    pages = pages.withColumn("_hit", hit)
+    pages = pages.withColumn("_hit", _first_with_facts())
     # What lies too deep could come first only if it stands first.
-    unread = F.filter(F.flatten(F.transform(f"_meta{META_DEPTH}", _meta_children)), lambda n: F.col("_hit").isNull() | (n["path"] < F.col("_hit.path")))
-    return pages.withColumn("_meta", F.col("_hit.raw")).withColumn("_met", F.coalesce(F.size(unread) <= 0, F.lit(True)))
+    unread = F.filter(_next_level("_meta", META_DEPTH, _meta_children), lambda n: F.col("_hit").isNull() | (n["path"] < F.col("_hit.path")))
+    return pages.withColumns({"_meta": F.col("_hit.raw"), "_met": F.coalesce(F.size(unread) <= 0, F.lit(True))})
 
 
 def with_listing_records(pages: DataFrame, candidates: Column, ddl: str) -> DataFrame:
     """Add ``_known``: (records, meta, exact) of a page's contexts; not exact where the walk has to read the page."""
     out = with_page_meta(with_job_records(_with_context(pages, candidates)))
-    out = out.withColumn("_rows", F.transform("_raws", lambda r: canonical(r, ddl)))
+    out = out.withColumn("_rows", _rows(ddl))
     rows_exact = F.coalesce(F.forall("_rows", lambda r: r["exact"]), F.lit(True))
     own = F.transform("_rows", lambda r: r["record"])
     return _known(out, pages.columns, own, F.col("_meta"), F.col("_listed") & F.col("_met") & rows_exact, ddl)
@@ -247,10 +280,10 @@ def with_listing_records(pages: DataFrame, candidates: Column, ddl: str) -> Data
 
 def with_detail_record(pages: DataFrame, candidates: Column, ddl: str) -> DataFrame:
     """Add ``_known``: (records, meta, exact) with the one job record of a detail page's contexts, if it has one."""
-    out = with_job_records(_with_context(pages, candidates)).withColumn("_rows", F.transform("_raws", lambda r: canonical(r, ddl)))
+    out = with_job_records(_with_context(pages, candidates)).withColumn("_rows", _rows(ddl))
     out = out.withColumn("_like", _first(F.filter("_rows", lambda r: r["job_like"]))["record"])
     # The whole context is like a job if any part of it is.
-    out = out.withColumn("_whole", F.when(F.col("_like").isNull(), canonical(F.col("_context"), ddl, META_DEPTH)))
+    out = out.withColumn("_whole", F.when(F.col("_like").isNull(), _whole(ddl)))
     chosen = F.coalesce("_like", F.when(F.col("_whole.job_like"), F.col("_whole.record")))
     rows_exact = F.coalesce(F.forall("_rows", lambda r: r["exact"]), F.lit(True))
     return _known(out, pages.columns, F.array_compact(F.array(chosen)), F.lit(None), F.col("_listed") & rows_exact & F.coalesce(F.col("_whole.exact"), F.lit(True)), ddl)

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from postlake.functions.payload import bound
+
 
 def empty_texts() -> Column:
     return F.array().cast("array<string>")
@@ -17,6 +19,22 @@ def tag_list(*parts: Column) -> Column:
     return F.array_distinct(F.array_compact(F.concat(*[F.coalesce(p, empty_texts()) for p in parts])))
 
 
+def index_by(keys: Column) -> Column:
+    """Map from each value of an array to the places it stands at, from 0 and in order; NULLs have none.
+
+    Sorted once, so a page of many rows looks up its others without going through all of them in a lambda for each row.
+    """
+    placed = F.transform(keys, lambda k, i: F.struct(k.alias("key"), i.alias("at")))
+
+    def grouped(s: Column) -> Column:
+        begins = lambda p, i: F.when((i == 0) | (p["key"] != F.get(s, i - 1)["key"]), i)
+        starts = F.array_compact(F.transform(s, begins))
+        places = lambda b: lambda i, j: F.transform(F.slice(s, i + 1, F.coalesce(F.get(b, j + 1), F.size(s)) - i), lambda p: p["at"])
+        return bound(starts, lambda b: F.map_from_arrays(F.transform(b, lambda i: F.get(s, i)["key"]), F.transform(b, places(b))))
+
+    return bound(F.array_sort(F.filter(placed, lambda p: p["key"].isNotNull())), grouped)
+
+
 def distinct_join(glue: str, *texts: Column) -> Column:
     """Join the non-NULL texts, each once; NULL when none is left."""
     joined = F.concat_ws(glue, F.array_distinct(F.array_compact(F.array(*texts))))

@@ -143,7 +143,7 @@ WITH i AS (SELECT c_custkey AS k, c_custkey // 300 AS run, c_custkey % 300 // 15
   format('{{:,}}', CAST(floor(c_acctbal) AS BIGINT)) AS pay, CASE WHEN c_custkey % 6 = 0 THEN 'USD ' ELSE 'Rp ' END AS cur FROM customer WHERE c_custkey % 300 // 15 + 1 <= 18)
 SELECT 'r' || run AS run_id, 'q' || k AS job_id, name AS title, 'PT ' || n AS company, CASE WHEN k % 2 = 0 THEN 'Kota ' || n WHEN k % 7 = 0 THEN 'Remote' ELSE 'Card Town' END AS location,
   CASE WHEN k % 3 <> 1 THEN 'Full Time' ELSE 'Card Type' END AS job_type, CASE WHEN k % 2 = 0 THEN cur || pay || ' - ' || cur || pay ELSE 'From ' || cur || pay END AS salary_range,
-  'https://www.loker.id/' || CASE WHEN k % 5 < 2 THEN lower(seg) || '/kerja-' || k || '.html' ELSE 'cari-lowongan-kerja?jobid=q' || k END AS url, CAST(NULL AS VARCHAR) AS description,
+  'https://www.loker.id/' || CASE WHEN k % 5 < 2 THEN lower(seg) || '/kerja-' || k || '.html' WHEN k % 10 = 2 THEN 'baru/kerja-' || k || '.html' WHEN k % 5 = 2 THEN 'kerja-' || k || '.html' ELSE 'cari-lowongan-kerja?jobid=q' || k END AS url, CAST(NULL AS VARCHAR) AS description,
   seg || '|x' || CASE WHEN k % 7 = 0 THEN '|Remote' ELSE '' END AS tags, {DAY_TEXT.format("(k % 37)")} AS posted_at FROM i WHERE k % 37 <= 30
 UNION ALL SELECT 'r' || run, 'q' || k, name, 'Card Co', 'Card Town', 'Card Type', NULL, 'https://www.loker.id/c/' || k || '.html', NULL, '', '2026-03-16T00:00:00Z' FROM i WHERE k % 4 = 3 AND k % 37 = 36
 UNION ALL SELECT DISTINCT 'r' || run, 'x' || run || '-' || page, 'Only here', 'Card Co', NULL, NULL, NULL, 'https://www.loker.id/c/extra.html', NULL, 'T', '2026-03-15T00:00:00Z' FROM i

@@ -238,7 +238,7 @@ def lokerid(spark: SparkSession, sf: str) -> DataFrame:
         F.when(key % 3 == 0, F.struct(text("PT ", nation).alias("name"))).alias("company"), F.when(key % 3 != 0, text("PT ", nation)).alias("nama_perusahaan"),
         F.when(key % 4 == 0, iso(number)).when(key % 4 == 1, F.date_format(F.timestamp_seconds(number), "dd/MM/yyyy HH:mm:ss")).when(key % 4 == 2, number.cast("string"))
         .when(key % 37 == 36, "soon").otherwise(text(key % 37, " hari lalu")).alias("posted_at"),
-        F.when(key % 5 < 2, text("/", F.lower(segment), "/kerja-", key)).alias("slug"),
+        F.when(key % 5 < 2, text("/", F.lower(segment), "/kerja-", key)).when(key % 5 == 2, text("kerja-", key)).alias("slug"),
         F.when(key % 2 == 0, text("Kota ", nation)).alias("lokasi"), F.when(key % 7 == 0, True).alias("is_remote"),
         F.when(key % 3 != 1, "full_time").alias("employmentType"), pay.alias("salary_min"), F.when(key % 2 == 0, pay.cast("string")).alias("salary_max"),
         F.when(key % 6 == 0, "usd").alias("currency"), F.array(segment, segment, F.lit(" x ")).alias("skills"), F.col("c_custkey").alias("key"),
@@ -259,5 +259,8 @@ def lokerid(spark: SparkSession, sf: str) -> DataFrame:
         '<article class="job-card" data-job-id="x', F.col("run"), "-", F.col("page_no"), '"><b class="company-name">Card Co</b><h3><a href="/c/extra.html">Only here</a></h3>',
         '<div class="tags"><span>T</span><span>T</span></div><time datetime="2026-03-15T00:00:00Z"></time></article>',
     )
-    body = text("<!DOCTYPE html><html><body>", context, F.array_join(F.transform(items, card), "\n"), extra, "</body></html>")
+    # Half of the bare slugs are linked on the page, twice: the last link counts.
+    linked = lambda p: F.when(p["key"] % 10 == 2, text('<a href="/lama/kerja-', p["key"], '.html">x</a><a href="/baru/kerja-', p["key"], '.html">x</a>'))
+    anchors = F.array_join(F.transform(items, linked), "")
+    body = text("<!DOCTYPE html><html><body>", context, F.array_join(F.transform(items, card), "\n"), extra, anchors, "</body></html>")
     return captures(pages, source=F.lit("lokerid"), run_id=run_id(F.col("run")), kind=F.lit("listing_html"), page_no=F.col("page_no"), body=body)

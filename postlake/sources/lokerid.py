@@ -14,7 +14,7 @@ from pyspark.sql.pandas.types import to_arrow_type
 
 from postlake.functions import aliases, lists, markup, money, records, urls
 from postlake.functions.dates import parse_posted, render_utc
-from postlake.functions.payload import int_at, list_at, script_objects, text_at
+from postlake.functions.payload import bound, int_at, list_at, script_objects, text_at
 from postlake.functions.text import clean, html_text, humanize, non_empty
 from postlake.sources.captures import detail_pages, explode_items, fetch_outcome, finish_listing, listing_pages, required
 
@@ -175,7 +175,7 @@ def contexts(body: Column, kind: Column) -> Column:
 
 def format_fields(r: Column, posted_ts: Column, page_links: Column) -> Column:
     """Posting from a canonical record."""
-    mapped = F.try_element_at(F.filter(page_links, lambda link: link["key"] == r["slug"]), F.lit(-1))["href"]
+    mapped = F.try_element_at(page_links, r["slug"])
     prefix = F.concat(money.currency_label(r["currency"]), F.lit(" "))
     remote = F.when(r["remote"], F.lit("Remote"))
     slug_page = F.regexp_replace(r["slug"], r"^/*(.*?)(?:\.html)?$", "$1.html")
@@ -215,11 +215,15 @@ def parsed(found: Column, links: Column, base: Column) -> Column:
 
 
 def slug_links(links: Column) -> Column:
-    """(last path segment without ``.html``, link) of the page's posting links."""
+    """Map from the last path segment without ``.html`` to the link, of the page's posting links; the last of equal ones counts."""
     posting = F.filter(links, lambda h: h.contains(".html") & ~h.contains(LISTING_PATH))
-    return F.transform(
-        posting, lambda h: F.struct(F.replace(F.substring_index(h, "/", -1), F.lit(".html"), F.lit("")).alias("key"), h.alias("href"))
-    )
+    segment = lambda h: F.replace(F.substring_index(h, "/", -1), F.lit(".html"), F.lit(""))
+
+    def last_wins(hrefs: Column) -> Column:
+        places = lists.index_by(F.transform(hrefs, segment))
+        return F.transform_values(places, lambda slug, at: F.get(hrefs, F.element_at(at, -1)))
+
+    return bound(posting, last_wins)
 
 
 def fill(job: Column, others: Column) -> Column:
@@ -240,16 +244,20 @@ def merge_page(loaded: Column, carded: Column) -> Column:
 
     All inside the page's row: a merge by (run, page, id) needs no shuffle here.
     """
-    ids = F.transform(loaded, lambda j: j["job_id"])
-    card_ids = F.transform(carded, lambda c: c["job_id"])
-    # Of repeated script ids only the last one takes the card's values.
-    is_last = lambda j, i: F.array_position(F.reverse(ids), j["job_id"]) == F.size(ids) - i
-    is_fresh = lambda c, i: ~F.array_contains(ids, c["job_id"]) & (F.array_position(card_ids, c["job_id"]) == i + 1)
-    none = F.slice(carded, 1, 0)
-    own = F.transform(loaded, lambda j, i: F.struct(j.alias("job"), is_last(j, i).alias("takes")))
-    fresh = F.transform(F.filter(carded, is_fresh), lambda c: F.struct(c.alias("job"), F.lit(True).alias("takes")))
-    same = lambda job: F.filter(carded, lambda c: c["job_id"] == job["job_id"])
-    return F.transform(F.concat(own, fresh), lambda e: fill(e["job"], F.when(e["takes"], same(e["job"])).otherwise(none)))
+    both = F.struct(lists.index_by(F.transform(loaded, lambda j: j["job_id"])).alias("loaded"), lists.index_by(F.transform(carded, lambda c: c["job_id"])).alias("carded"))
+
+    def merged(places: Column) -> Column:
+        at = lambda side, job: F.try_element_at(places[side], job["job_id"])
+        # Of repeated script ids only the last one takes the card's values.
+        is_last = lambda j, i: F.element_at(at("loaded", j), -1) == i
+        is_fresh = lambda c, i: at("loaded", c).isNull() & (F.element_at(at("carded", c), 1) == i)
+        none = F.slice(carded, 1, 0)
+        own = F.transform(loaded, lambda j, i: F.struct(j.alias("job"), is_last(j, i).alias("takes")))
+        fresh = F.transform(F.filter(carded, is_fresh), lambda c: F.struct(c.alias("job"), F.lit(True).alias("takes")))
+        same = lambda job: F.coalesce(F.transform(at("carded", job), lambda i: F.get(carded, i)), none)
+        return F.transform(F.concat(own, fresh), lambda e: bound(F.when(e["takes"], same(e["job"])).otherwise(none), lambda others: fill(e["job"], others)))
+
+    return bound(both, merged)
 
 
 def listing(captures: DataFrame) -> DataFrame:
@@ -321,7 +329,7 @@ def details(captures: DataFrame) -> DataFrame:
     # A record in the script is final; then a rendered description alone; then the first usable card.
     record, rendered = F.col("record"), F.col("rendered")
     found = F.when(record.isNotNull(), F.array("record")).when(rendered.isNull(), F.col("cards"))
-    no_links = F.array().cast("array<struct<key:string,href:string>>")
+    no_links = F.create_map().cast("map<string,string>")
     pages = pages.withColumns({"jobs": parsed(found, no_links, F.col("scraped_ts")), "text": html_text("record.body")})
     usable = F.filter("jobs", lambda r: r["reject"].isNull())
     pages = pages.withColumn("job", F.try_element_at(usable, F.lit(1))["job"])

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import time
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -455,3 +457,27 @@ def test_payloads_are_read_once(spark):
     frame = b.frame(spark, [b.capture("karirhub", "listing_api", {"data": []}, page=1)])
     assert count(normalize(frame, "karirhub", b.CLOCK)) <= 60
     assert count(normalize(frame, "glints", b.CLOCK)) <= 130
+
+
+def test_lokerid_slug_links_and_large_page(spark):
+    """The last of equal links counts; a page of thousands of records merges in seconds, as lookups are indexed."""
+    from postlake.functions.lists import index_by
+    from postlake.sources import lokerid
+
+    row = spark.sql("SELECT array('/a/x.html', '/b/y.html', '/c/x.html', '/cari-lowongan-kerja/x.html', '/z') AS links, array('p', NULL, 'q', 'p', '') AS k")
+    got = row.select(lokerid.slug_links(F.col("links")).alias("m"), index_by(F.col("k")).alias("i")).first()
+    assert got.m == {"x": "/c/x.html", "y": "/b/y.html"} and got.i == {"p": [0, 3], "q": [2], "": [4]}
+
+    n = 6000
+    one = lambda key, place: F.struct(
+        *[(F.concat(F.lit("j"), key.cast("string")) if f == "job_id" else F.lit(place) if f == "location" else F.lit(None).cast("timestamp") if f == "posted_ts"
+           else F.array().cast("array<string>") if f == "tags" else F.lit(None).cast("string")).alias(f) for f in lokerid.PARSED]
+    )
+    page = spark.range(1).select(
+        F.transform(F.sequence(F.lit(1), F.lit(n)), lambda i: one(i, None)).alias("loaded"),
+        F.transform(F.sequence(F.lit(n // 2), F.lit(2 * n)), lambda i: one(i, "Kota")).alias("carded"),
+    )
+    start = time.monotonic()
+    merged = page.select(F.inline(lokerid.merge_page(F.col("loaded"), F.col("carded")))).groupBy("location").count().collect()
+    assert {r.location: r["count"] for r in merged} == {None: n // 2 - 1, "Kota": n // 2 + 1 + n}
+    assert time.monotonic() - start < 20
