@@ -4,35 +4,40 @@ Method: MinHash values of the shingle sets, dealt into bands; texts that share a
 compared on their MinHash values a few at a time, and a pair is dropped as soon as the posterior probability
 that its Jaccard similarity reaches the threshold falls below ``TOLERANCE`` (uniform prior); what remains is verified on the sets.
 
-Texts with equal shingle sets are one class from the start, so copies never meet. Classes that share a bucket are joined
-to its smallest member only, and connected components of these edges bound where links can be: each
-component is compared on its own. A component over ``CELL`` classes is cut into blocks, each pair of which is a piece of
-work of bounded size. Pairs are never written: a piece returns per class its number of links and a
-spanning edge to its group.
+Texts with equal shingle sets are one class from the start, so copies never meet. Within a bucket classes are first compared
+on MinHash values alone, kept beside the class: pages of one template share many buckets and end there. What
+is left ties classes together, and connected components of these ties bound where links can be: only their texts are fetched,
+and each component is verified on its own. A bucket or component over its bound is cut into blocks, each pair of which
+is a piece of work of bounded size. Pairs are never written: a piece returns per class its number of links
+and a spanning edge to its group.
 """
 
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 from math import comb
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from postlake.llm.common import LAST_ID, table, text_of
+from postlake.llm.common import LAST_ID, row_key, table, text_of
 from postlake.plans.staging import stage
 
 SHINGLE = 5
 THRESHOLD = 0.8
-HASHES, ROWS = 80, 4
+#: Values per set, and how many of them make bands; the others only tell pairs apart.
+HASHES, BANDED = 160, 80
 STEP = 8
 TOLERANCE = 1e-7
-CELL = 256
+#: The chance that a pair at the threshold shares no band.
+MISSED = 1e-4
+#: Classes of a block: of texts, and of MinHash values.
+CELL, SIGNED = 256, 4_096
 _SLICE = 1 << 18
 
 _MIX = [np.uint64(x) for x in (0xBF58476D1CE4E5B9, 0x94D049BB133111EB)]
@@ -96,11 +101,19 @@ def minhashes(sets: list[np.ndarray]) -> np.ndarray:
     return out
 
 
-def bands_of(values: np.ndarray) -> np.ndarray:
-    """One 64-bit key per band of ``ROWS`` values."""
-    parts = values.reshape(len(values), -1, ROWS).astype(np.uint64)
+def rows_per_band(threshold: float) -> int:
+    """The most values a band may have so that a pair at the threshold shares one, but for a chance of ``MISSED``."""
+    for rows in (8, 5, 4, 2, 1):
+        if (1 - threshold**rows) ** (BANDED // rows) <= MISSED:
+            return rows
+    raise ValueError(f"{BANDED} values cannot find pairs at a similarity of {threshold}")
+
+
+def bands_of(values: np.ndarray, rows: int) -> np.ndarray:
+    """One 64-bit key per band of ``rows`` values."""
+    parts = values[:, :BANDED].reshape(len(values), -1, rows).astype(np.uint64)
     keys = np.arange(parts.shape[1], dtype=np.uint64)[None, :] * _STEP
-    for r in range(ROWS):
+    for r in range(rows):
         keys = mixed(keys + parts[:, :, r] * _MIX[1] + np.uint64(r))
     return keys.view(np.int64)
 
@@ -198,25 +211,121 @@ def roots(n: int, i: np.ndarray, j: np.ndarray) -> list[int]:
     return [top(x) for x in range(n)]
 
 
-def text_classes(docs: DataFrame) -> DataFrame:
-    """(_row, doc_id, cls, bands) for every row with words; ``_row`` is a hash of id and text, ``cls`` of the shingle set."""
+def likely_pairs(values: np.ndarray, others: np.ndarray | None, threshold: float, tolerance: float = TOLERANCE) -> tuple[np.ndarray, np.ndarray]:
+    """Index pairs whose MinHash values leave the threshold possible; without ``others``, pairs i < j within ``values``."""
+    keep = least_matches(threshold, tolerance)
+    right = values if others is None else others
+    if others is None and len(values) == 2:
+        alike = int(np.count_nonzero(values[0] == values[1]) >= keep[HASHES])
+        return np.zeros(alike, np.int64), np.ones(alike, np.int64)
+    found = [(np.empty(0, np.int64),) * 2]
+    rows = max(1, (1 << 20) // max(1, len(right)))
+    for low in range(0, len(values), rows):
+        left = values[low : low + rows]
+        equal = np.zeros((len(left), len(right)), np.int16)
+        for k in range(STEP):
+            equal += left[:, k][:, None] == right[:, k][None, :]
+        alive = equal >= keep[STEP]
+        if others is None:
+            alive &= np.arange(len(right)) > np.arange(low, low + len(left))[:, None]
+        i, j = np.nonzero(alive)
+        same = equal[i, j].astype(np.int64)
+        for at in range(STEP, HASHES, STEP):
+            same = same + (left[i, at : at + STEP] == right[j, at : at + STEP]).sum(axis=1)
+            live = same >= keep[at + STEP]
+            i, j, same = i[live], j[live], same[live]
+        found.append((i + low, j))
+    return tuple(np.concatenate(x) for x in zip(*found))
+
+
+def text_classes(docs: DataFrame, rows_in_band: int) -> DataFrame:
+    """(_k1, _k2, doc_id, cls, bands, signature) for every row with words; ``cls`` is a hash of the shingle set, the signature 16 bits of each MinHash value."""
+    names = ["_k1", "_k2", "doc_id", "cls", "bands", "signature"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for low in range(0, len(batch), 500):
                 part = batch.slice(low, 500)
-                sets = shingle_sets(part.column(2).to_pylist())
+                sets = shingle_sets(part.column(3).to_pylist())
                 some = [k for k, s in enumerate(sets) if len(s)]
                 if not some:
                     continue
-                keys = bands_of(minhashes([sets[k] for k in some]))
+                values = minhashes([sets[k] for k in some])
+                keys = bands_of(values, rows_in_band)
                 classes = pa.array([class_of(sets[k]) for k in some], pa.int64())
                 bands = pa.ListArray.from_arrays(pa.array(np.arange(0, keys.size + 1, keys.shape[1]), pa.int32()), pa.array(keys.ravel(), pa.int64()))
+                signature = pa.array([v.tobytes() for v in values.astype("<u2")], pa.binary())
                 taken = part.take(pa.array(some))
-                yield pa.RecordBatch.from_arrays([taken.column(0), taken.column(1), classes, bands], ["_row", "doc_id", "cls", "bands"])
+                yield pa.RecordBatch.from_arrays([taken.column(0), taken.column(1), taken.column(2), classes, bands, signature], names)
+
+    rows = docs.select(*row_key(), F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST_ID)).alias("doc_id"), text_of().alias("text"))
+    return rows.mapInArrow(run, "_k1 long, _k2 long, doc_id long, cls long, bands array<long>, signature binary")
+
+
+def in_pieces(members: DataFrame, group: str, size: Column, per_block: int, *columns: str) -> DataFrame:
+    """Rows of every pair of blocks of a group, dealt by piece: piece, group, i, j, block, and the columns; a group's rows go to each of its blocks' pairs."""
+    n_blocks = F.ceil(size / per_block).cast("int")
+    dealt = members.withColumns({"n_blocks": n_blocks, "block": F.pmod(F.xxhash64("cls", F.lit(5)), n_blocks).cast("int")})
+    both = dealt.select(group, "block", *columns, F.explode(F.sequence(F.lit(0), F.col("n_blocks") - 1)).alias("other"))
+    i, j = F.least("block", "other"), F.greatest("block", "other")
+    pieces = both.select(F.xxhash64(group, i, j).alias("piece"), group, i.alias("i"), j.alias("j"), "block", *columns)
+    partitions = int(members.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return pieces.repartition(partitions * 2, "piece").sortWithinPartitions("piece", group, "i", "j", "block")
+
 
-    rows = docs.select(F.xxhash64("doc_id", text_of()).alias("_row"), F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST_ID)).alias("doc_id"), text_of().alias("text"))
-    return rows.mapInArrow(run, "_row long, doc_id long, cls long, bands array<long>")
+def by_piece(batches: Iterator[pa.RecordBatch], compare: Callable[[list[tuple], bool], list[tuple]], names: list[str]) -> Iterator[pa.RecordBatch]:
+    """Gather the rows of one piece at a time, (block is the second, *columns), and yield what ``compare`` makes of them as ``names``."""
+    waiting: list[tuple] = []
+    out: list[tuple] = []
+    key: tuple | None = None
+
+    def finish() -> None:
+        if key is not None and len(waiting) > 1:
+            out.extend(compare(waiting, key[2] == key[3]))
+
+    def sent() -> pa.RecordBatch:
+        batch = pa.RecordBatch.from_arrays([pa.array([o[k] for o in out], pa.int64()) for k in range(len(names))], names)
+        out.clear()
+        return batch
+
+    for batch in batches:
+        for *piece, block, cls, data in zip(*(c.to_pylist() for c in batch.columns)):
+            if tuple(piece) != key:
+                finish()
+                waiting.clear()
+                key = tuple(piece)
+            waiting.append((block == key[3] and key[2] != key[3], cls, data))
+        yield sent()
+    finish()
+    yield sent()
+
+
+def sides(rows: list[tuple]) -> tuple[list[int], list[int]]:
+    """Places of the rows of the first and of the second block."""
+    return [k for k, r in enumerate(rows) if not r[0]], [k for k, r in enumerate(rows) if r[0]]
+
+
+def likely_ties(classes: DataFrame, threshold: float) -> DataFrame:
+    """(a, b): classes whose MinHash values leave the threshold possible, tied to the smallest of their group in a piece of a bucket."""
+    placed = classes.select("cls", F.explode("bands").alias("bucket"))
+    same = [F.bit_xor(F.xxhash64("cls", F.lit(seed))).alias(f"same{seed}") for seed in (7, 8)]
+    shared = placed.groupBy("bucket").agg(F.count(F.lit(1)).alias("size"), *same).filter("size > 1")
+    # Near copies share many buckets; those with the same members are compared once.
+    shared = shared.groupBy("size", "same7", "same8").agg(F.min("bucket").alias("bucket"))
+    members = placed.join(shared, "bucket").join(classes.select("cls", "signature"), "cls")
+
+    def compare(rows: list[tuple], alone: bool) -> list[tuple]:
+        values = np.frombuffer(b"".join(r[2] for r in rows), "<u2").reshape(len(rows), HASHES)
+        if alone:
+            i, j = likely_pairs(values, None, threshold)
+        else:
+            left, right = sides(rows)
+            i, j = likely_pairs(values[left], values[right], threshold)
+            i, j = np.array(left, np.int64)[i], np.array(right, np.int64)[j]
+        return [(rows[k][1], rows[r][1]) for k, r in enumerate(roots(len(rows), i, j)) if r != k]
+
+    pieces = in_pieces(members, "bucket", F.col("size"), SIGNED, "cls", "signature")
+    return pieces.mapInArrow(lambda batches: by_piece(batches, compare, ["a", "b"]), "a long, b long").distinct()
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -245,73 +354,53 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def similarity_groups(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """One row per row of ``docs`` with words: _row, doc_id, class_id, copy_of, n_copies, n_links.
+    """One row per row of ``docs`` with words: _k1, _k2, doc_id, class_id, copy_of, n_copies, n_links.
 
     ``class_id`` is the smallest doc_id of the connected group of similar texts, ``copy_of`` that of the texts
     with the same shingles, ``n_copies`` how many rows these are, ``n_links`` the number of different shingle sets
     whose similarity with this one is at least ``threshold``.
     """
-    rows = stage(text_classes(docs), "classes")
-    classes = stage(rows.groupBy("cls").agg(F.min("doc_id").alias("copy_of"), F.min("_row").alias("_row"), F.count(F.lit(1)).alias("n_copies"), F.max("bands").alias("bands")), "texts")
-    placed = classes.select("cls", F.explode("bands").alias("bucket"))
-    buckets = placed.groupBy("bucket").agg(F.min("cls").alias("low"), F.max("cls").alias("high")).filter("low != high").select("bucket", "low")
-    near = placed.join(buckets, "bucket").filter("cls != low").select(F.col("cls").alias("a"), F.col("low").alias("b")).distinct()
-    cells = stage(components(near).withColumnRenamed("node", "cls"), "cells")
+    rows = stage(text_classes(docs, rows_per_band(threshold)), "classes")
+    firsts = [F.min("doc_id").alias("copy_of"), F.min(F.struct("_k1", "_k2")).alias("_key"), F.count(F.lit(1)).alias("n_copies")]
+    classes = stage(rows.groupBy("cls").agg(*firsts, F.max("bands").alias("bands"), F.max("signature").alias("signature")), "texts")
+    cells = stage(components(likely_ties(classes, threshold)).withColumnRenamed("node", "cls"), "cells")
     sizes = cells.groupBy("root").agg(F.count(F.lit(1)).alias("size"))
-    # Components are cut into blocks of about CELL classes; a piece holds two blocks, or one with itself.
-    n_blocks = F.ceil(F.col("size") / CELL).cast("int")
-    dealt = cells.join(sizes, "root").withColumns({"n_blocks": n_blocks, "block": F.pmod(F.xxhash64("cls", F.lit(5)), n_blocks).cast("int")})
-    members = dealt.join(classes.select("cls", "_row"), "cls")
-    texts = docs.select(F.xxhash64("doc_id", text_of()).alias("_row"), text_of().alias("text"))
-    held = members.join(texts, "_row").groupBy("cls", "root", "n_blocks", "block").agg(F.max("text").alias("text"))
-    pieces = held.select("root", "cls", "block", "text", F.explode(F.sequence(F.lit(0), F.col("n_blocks") - 1)).alias("other")).select(
-        F.xxhash64("root", F.least("block", "other"), F.greatest("block", "other")).alias("piece"), "root", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "cls", "text"
-    )
-
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        waiting: list[tuple] = []
-        out: list[tuple[int, int, int]] = []
-        key: tuple | None = None
-
-        def finish() -> None:
-            if key is None or len(waiting) < 2:
-                return
-            _, _, i_block, j_block = key
-            cls = np.array([w[1] for w in waiting], np.int64)
-            sets = shingle_sets([w[2] for w in waiting])
-            if i_block == j_block:
-                i, j = linked_pairs(sets, None, threshold)
-            else:
-                left, right = ([k for k, w in enumerate(waiting) if w[0] == x] for x in (i_block, j_block))
-                if not left or not right:
-                    return
-                i, j = linked_pairs([sets[k] for k in left], [sets[k] for k in right], threshold)
-                i, j = np.array(left, np.int64)[i], np.array(right, np.int64)[j]
-            links = np.bincount(np.concatenate([i, j]), minlength=len(cls))
-            group = roots(len(cls), i, j)
-            out.extend((int(cls[k]), int(links[k]), int(cls[group[k]])) for k in np.flatnonzero(links))
-
-        for batch in batches:
-            for root, i_block, j_block, block, cls, text, piece in zip(*(batch.column(n).to_pylist() for n in ("root", "i", "j", "block", "cls", "text", "piece"))):
-                if (piece, root, i_block, j_block) != key:
-                    finish()
-                    waiting.clear()
-                    key = (piece, root, i_block, j_block)
-                waiting.append((block, cls, text))
-            yield pa.RecordBatch.from_arrays([pa.array([o[k] for o in out], pa.int64()) for k in range(3)], ["cls", "links", "root"])
-            out.clear()
-        finish()
-        yield pa.RecordBatch.from_arrays([pa.array([o[k] for o in out], pa.int64()) for k in range(3)], ["cls", "links", "root"])
-
-    partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ordered = pieces.repartition(partitions * 2, "piece").sortWithinPartitions("piece", "root", "i", "j", "block")
-    found = stage(ordered.mapInArrow(compare, "cls long, links long, root long"), "links")
+    members = cells.join(sizes, "root").join(classes.select("cls", "_key.*"), "cls")
+    texts = docs.select(*row_key(), text_of().alias("text"))
+    held = members.join(texts, ["_k1", "_k2"]).groupBy("cls", "root", "size").agg(F.max("text").alias("text"))
+
+    def compare(rows: list[tuple], alone: bool) -> list[tuple]:
+        sets = shingle_sets([r[2] for r in rows])
+        if alone:
+            i, j = linked_pairs(sets, None, threshold)
+        else:
+            left, right = sides(rows)
+            if not left or not right:
+                return []
+            i, j = linked_pairs([sets[k] for k in left], [sets[k] for k in right], threshold)
+            i, j = np.array(left, np.int64)[i], np.array(right, np.int64)[j]
+        links = np.bincount(np.concatenate([i, j]), minlength=len(rows))
+        group = roots(len(rows), i, j)
+        return [(rows[k][1], int(links[k]), rows[group[k]][1]) for k in np.flatnonzero(links).tolist()]
+
+    pieces = in_pieces(held, "root", F.col("size"), CELL, "cls", "text")
+    found = stage(pieces.mapInArrow(lambda batches: by_piece(batches, compare, ["cls", "links", "root"]), "cls long, links long, root long"), "links")
     links = found.groupBy("cls").agg(F.sum("links").alias("n_links"))
     groups = components(found.select(F.col("cls").alias("a"), F.col("root").alias("b"))).withColumnRenamed("node", "cls")
     known = classes.select("cls", "copy_of", "n_copies").join(groups, "cls", "left").join(links, "cls", "left").withColumn("root", F.coalesce("root", "cls"))
     first = known.groupBy("root").agg(F.min("copy_of").alias("class_id"))
     facts = known.join(first, "root").select("cls", "class_id", "copy_of", "n_copies", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
-    return rows.select("_row", "doc_id", "cls").join(facts, "cls").drop("cls")
+    return rows.select("_k1", "_k2", "doc_id", "cls").join(facts, "cls").drop("cls")
+
+
+def marked(docs: DataFrame, threshold: float) -> DataFrame:
+    """(row, _k1, _k2, class_id, copy_of, n_copies, n_links) with the columns of ``docs`` as the struct ``row``; NULLs where a text has no words."""
+    facts = similarity_groups(docs, threshold).groupBy("_k1", "_k2").agg(*[F.min(c).alias(c) for c in ("class_id", "copy_of", "n_copies", "n_links")])
+    return docs.select(F.struct("*").alias("row"), *row_key()).join(facts, ["_k1", "_k2"], "left")
+
+
+def is_keeper() -> Column:
+    return F.coalesce(F.col("class_id") == F.coalesce(F.col("row.doc_id").cast("long"), F.lit(LAST_ID)), F.lit(True))
 
 
 def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
@@ -322,25 +411,25 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     repeated rows (same id and text) each gets the same values, and they are copies of each other. Columns of the
     result's names are replaced; an empty table gives an empty table.
     """
-    own = ["class_id", "copy_of", "n_copies", "n_links", "keeper"]
-    kept = docs.drop(*own)
-    facts = similarity_groups(docs, threshold).groupBy("_row").agg(*[F.min(c).alias(f"_{c}") for c in own[:-1]])
-    joined = kept.withColumn("_row", F.xxhash64("doc_id", text_of())).join(facts, "_row", "left")
-    real = lambda c: F.when(F.col("_class_id").isNull(), F.col("doc_id")).otherwise(F.nullif(F.col(c), F.lit(LAST_ID)))
-    return joined.select(
-        *[f"`{c}`" for c in kept.columns], real("_class_id").alias("class_id"), real("_copy_of").alias("copy_of"),
-        F.coalesce("_n_copies", F.lit(1)).cast("long").alias("n_copies"), F.coalesce("_n_links", F.lit(0)).cast("long").alias("n_links"),
-        F.coalesce(F.col("_class_id") == F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST_ID)), F.lit(True)).alias("keeper"),
+    kept = docs.drop("class_id", "copy_of", "n_copies", "n_links", "keeper")
+    real = lambda c: F.when(F.col("class_id").isNull(), F.col("row.doc_id").cast("long")).otherwise(F.nullif(F.col(c), F.lit(LAST_ID)))
+    return marked(kept, threshold).select(
+        *[f"row.`{c}`" for c in kept.columns], real("class_id").alias("class_id"), real("copy_of").alias("copy_of"),
+        F.coalesce("n_copies", F.lit(1)).cast("long").alias("n_copies"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
+        is_keeper().alias("keeper"),
     )
 
 
 def keep_one(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """``docs`` with one row of each group of similar texts: the one with the smallest doc_id, repeated rows once."""
-    marked = near_duplicates(docs.withColumn("_own", F.monotonically_increasing_id()), threshold).filter("keeper")
-    # Rows without words belong to no group: each has a key of its own. The others share theirs with equal rows only.
-    wordless = F.length(F.btrim(text_of())) == 0
-    keyed = marked.withColumns({"_row": F.when(wordless, F.col("_own")).otherwise(F.xxhash64("doc_id", text_of())), "_wordless": wordless})
-    return keyed.dropDuplicates(["_row", "_wordless"]).select(*docs.columns)
+    """``docs`` with one row of each group of similar texts: the one with the smallest doc_id, repeated rows once.
+
+    Rows without words belong to no group: all of them stay, repeated or not.
+    """
+    keepers = marked(docs, threshold).filter(is_keeper()).withColumn("_own", F.monotonically_increasing_id())
+    wordless = F.col("class_id").isNull()
+    # A row without words has a key of its own; the others share theirs with equal rows only.
+    keyed = keepers.withColumns({"_wordless": wordless, "_k1": F.when(wordless, F.col("_own")).otherwise(F.col("_k1")), "_k2": F.when(~wordless, F.col("_k2"))})
+    return keyed.dropDuplicates(["_wordless", "_k1", "_k2"]).select(*[f"row.`{c}`" for c in docs.columns])
 
 
 def op5_jaccard_join(spark, sf_dir):
