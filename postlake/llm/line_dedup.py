@@ -30,10 +30,10 @@ def dedup_lines(docs: DataFrame, min_docs: int = MIN_DOCS, min_chars: int = MIN_
     ``n_lines`` or ``n_dropped`` are replaced, all others are kept. An empty table gives an empty table.
     """
     rows = docs.drop("n_lines", "n_dropped").withColumns({"text": text_of()})
-    k1, k2 = row_key()
-    keyed = rows.select("*", k1, k2)
+    # The caller's columns go along as one struct, so that no name of theirs meets one used here.
+    keyed = rows.select(F.struct("*").alias("row"), *row_key())
     lines = (
-        keyed.select("_k1", "_k2", F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST_ID)).alias("_id"), F.posexplode(F.split("text", "\n", -1)).alias("_pos", "_line"))
+        keyed.select("_k1", "_k2", F.coalesce(F.col("row.doc_id").cast("long"), F.lit(LAST_ID)).alias("_id"), F.posexplode(F.split("row.text", "\n", -1)).alias("_pos", "_line"))
         .withColumn("_line", line_key(F.col("_line")))
         .filter(F.length("_line") >= min_chars)
         .select("_k1", "_k2", "_id", "_pos", F.xxhash64(F.lit(1), "_line").alias("_h1"), F.xxhash64(F.lit(2), "_line").alias("_h2"))
@@ -50,9 +50,9 @@ def dedup_lines(docs: DataFrame, min_docs: int = MIN_DOCS, min_chars: int = MIN_
         .groupBy("_k1", "_k2")
         .agg(F.sort_array(F.collect_set("_pos")).alias("_gone"))
     )
-    joined = keyed.join(dropped, ["_k1", "_k2"], "left").withColumn("_all", F.split("text", "\n", -1))
+    joined = keyed.join(dropped, ["_k1", "_k2"], "left").withColumn("_all", F.split("row.text", "\n", -1))
     return joined.select(
-        *[kept_text().alias("text") if c == "text" else F.col(f"`{c}`") for c in rows.columns],
+        *[kept_text().alias("text") if c == "text" else F.col(f"row.`{c}`") for c in rows.columns],
         F.size("_all").cast("long").alias("n_lines"),
         F.coalesce(F.size("_gone"), F.lit(0)).cast("long").alias("n_dropped"),
     )
@@ -64,7 +64,7 @@ def kept_text() -> Column:
     after = lambda i: F.when(i == 0, F.lit(0)).otherwise(F.get("_gone", i - 1) + 1)
     before = lambda i: F.when(i == count, F.size("_all")).otherwise(F.get("_gone", i))
     runs = F.transform(F.sequence(F.lit(0), count), lambda i: F.slice(F.col("_all"), after(i) + 1, before(i) - after(i)))
-    return F.when(F.col("_gone").isNull(), F.col("text")).otherwise(F.array_join(F.flatten(runs), "\n"))
+    return F.when(F.col("_gone").isNull(), F.col("row.text")).otherwise(F.array_join(F.flatten(runs), "\n"))
 
 
 def op8_line_dedup(spark, sf_dir):

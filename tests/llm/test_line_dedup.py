@@ -50,3 +50,11 @@ def test_odd_rows(spark):
 
 def test_empty_table(spark):
     assert dedup_lines(documents(spark, [])).count() == 0
+
+
+def test_clashing_columns_stay(spark):
+    names = ["_k1", "_k2", "_gone", "_all", "row", "_id", "_line", "_keeper"]
+    docs = documents(spark, ["a line of text\nb", "a line of text\nc"]).selectExpr("*", *[f"'mine' AS `{n}`" for n in names])
+    out = sorted(dedup_lines(docs).collect(), key=lambda r: r.doc_id)
+    assert [(r.text, r.n_dropped) for r in out] == [("a line of text\nb", 0), ("c", 1)]
+    assert {tuple(r[n] for n in names) for r in out} == {("mine",) * len(names)}
