@@ -12,6 +12,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from postlake.llm.common import ascii_lower, row_key, table, text_of
 from postlake.plans.staging import stage
@@ -101,7 +102,9 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, n
     candidates = aligned(postings, anchors).groupBy("_k1", "_k2").agg(F.collect_list(F.struct("item_id", "_item", "_delta", "_matched")).alias("_found"))
     own = ["n_words", "hits", "items", "n_hit", "n_items", "contaminated"] + (["near_matches"] if near else [])
     kept = docs.drop(*own)
-    rows = kept.select("*", *row_key()).join(candidates, ["_k1", "_k2"], "left")
+    # The caller's columns go along as one struct, so that no name of theirs meets one used here.
+    rows = kept.select(F.struct("*").alias("row"), *row_key()).join(candidates, ["_k1", "_k2"], "left")
+    text = text_of("row.text")
     extra = []
     if near:
         close = near_places(postings, loose, slop, least).groupBy("_k1", "_k2").agg(F.array_sort(F.collect_list(F.struct("item_id", "start", "n_anchors"))).alias("near_matches"))
@@ -109,12 +112,12 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, n
         extra = [F.coalesce("near_matches", F.array().cast(close.schema["near_matches"].dataType)).alias("near_matches")]
     # The variable of a one-element transform: the text is split once, whichever of the columns below are used. A plain column
     # could be copied to where its words are compared, and the text split once for each of them.
-    spans = F.transform(F.array(raw_words(text_of())), lambda words: F.transform("_found", lambda c: verified(words, c, window)))
+    spans = F.transform(F.array(raw_words(text)), lambda words: F.transform("_found", lambda c: verified(words, c, window)))
     checked = rows.withColumn("_spans", F.when(F.col("_found").isNotNull(), F.get(spans, 0)))
     real = F.filter("_spans", lambda s: F.size(s["at"]) > 0)
     hits = F.coalesce(F.array_distinct(F.flatten(F.transform(real, lambda s: s["at"]))), F.array().cast("array<int>"))
-    items = F.coalesce(F.array_distinct(F.transform(real, lambda s: s["item_id"])), F.array().cast("array<bigint>"))
-    out = checked.select(*[f"`{c}`" for c in kept.columns], F.size(raw_words(text_of())).cast("long").alias("n_words"), hits.alias("hits"), items.alias("items"), *extra)
+    items = F.coalesce(F.array_distinct(F.transform(real, lambda s: s["item_id"])), F.array().cast(T.ArrayType(benchmark.schema["item_id"].dataType)))
+    out = checked.select(*[f"row.`{c}`" for c in kept.columns], F.size(raw_words(text)).cast("long").alias("n_words"), hits.alias("hits"), items.alias("items"), *extra)
     return out.select("*", F.size("hits").cast("long").alias("n_hit"), F.size("items").cast("long").alias("n_items"), (F.size("hits") > 0).alias("contaminated"))
 
 

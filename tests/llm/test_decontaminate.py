@@ -3,6 +3,8 @@ from __future__ import annotations
 import random
 import re
 
+import pytest
+
 from postlake.llm.decontaminate import decontaminate, proximity_matches
 from tests.llm.rows import N_ODD, documents, odd
 
@@ -83,3 +85,14 @@ def test_near_copies_are_found(spark):
     got = decontaminate(docs, benchmark, near=True).collect()
     assert {(r.doc_id, m.item_id) for r in got for m in r.near_matches} == want
     assert {r.doc_id for r in got if r.contaminated} == {1, 2, 3, 6}
+
+
+@pytest.mark.parametrize("near", [False, True])
+def test_clashing_columns_and_text_ids(spark, near):
+    names = ["_found", "_k1", "_k2", "_spans", "row", "_item", "item_id", "_term"]
+    words = " ".join(f"k{i}" for i in range(12))
+    docs = documents(spark, [f"x {words} y", "nothing here"]).selectExpr("*", *[f"'mine' AS `{n}`" for n in names])
+    items = spark.createDataFrame([("item-a", words), ("item-b", "not there at all")], "item_id string, text string")
+    out = sorted(decontaminate(docs, items, near=near).collect(), key=lambda r: r.doc_id)
+    assert [(r.n_hit, r["items"]) for r in out] == [(12, ["item-a"]), (0, [])]
+    assert {tuple(r[n] for n in names) for r in out} == {("mine",) * len(names)}
