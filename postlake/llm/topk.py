@@ -7,18 +7,20 @@ approximate score; the top rows are chosen from the most significant slice downw
 left-out digits leave in doubt are resolved with the exact product.
 
 A block has about ``BLOCK_ROWS`` rows and is a file that workers memory-map. Queries are dealt with the number of a
-block, about ``QUERY_ROWS`` of them at a time.
+block, about ``QUERY_ROWS`` of them at a time. Vectors with a component over 62 bits are no rows of slices: they
+have blocks of their own, which are scored in Python integers.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from postlake.llm.common import mounted, new_folder, publish, table
@@ -29,37 +31,43 @@ DROPPED = 2
 BLOCK_ROWS = 8_192
 QUERY_ROWS = 128
 TOP = 10
-#: Integers, and scores, have to be smaller: the columns are longs.
-LARGEST = 1 << 63
+#: Scores have to be smaller, as their column is a long; components of sliced vectors, as differences of two are taken.
+LARGEST, SLICED = 1 << 63, 1 << 62
 
 
 def quantised(vectors: DataFrame, scale: int = SCALE) -> DataFrame:
-    """(vec_id, v): usable vectors as integers floor(scale * x).
+    """(row, vec_id, v, wide): usable vectors as integers floor(scale * x), or in ``wide`` as the numbers they were where one is over 62 bits.
 
-    NULL ids, NULL vectors and vectors with a NULL or non-finite component take no part. A component that leaves
-    64 bits after scaling raises an error. Rows that repeat an id count as one, with the smallest vector.
+    ``row`` numbers the rows: rows that repeat an id, or are equal, are rows like others. NULL ids, NULL vectors and vectors with a
+    NULL or non-finite component take no part.
     """
-    def whole(x: Column) -> Column:
-        y = F.lit(float(scale)) * x.cast("double")
-        return F.when(F.abs(y) < float(LARGEST), F.floor(y)).otherwise(F.raise_error(F.lit("a vector component does not fit 64 bits after scaling")).cast("long"))
-
-    usable = F.forall("embedding", lambda x: F.coalesce(F.abs(x.cast("double")) < float("inf"), F.lit(False)) & ~F.isnan(x))
-    # NULL where unusable, so that no component is scaled that has not passed.
-    scaled = F.when(usable, F.transform("embedding", whole))
+    number = lambda x: x.cast("double")
+    usable = F.forall("embedding", lambda x: F.coalesce(F.abs(number(x)) < float("inf"), F.lit(False)) & ~F.isnan(x))
+    small = F.forall("embedding", lambda x: F.abs(F.lit(float(scale)) * number(x)) < float(SLICED))
     rows = vectors.filter(F.col("vec_id").isNotNull() & F.col("embedding").isNotNull() & usable)
-    return rows.select(F.col("vec_id").cast("long").alias("vec_id"), scaled.alias("v")).groupBy("vec_id").agg(F.min("v").alias("v"))
+    whole = F.when(small, F.transform("embedding", lambda x: F.floor(F.lit(float(scale)) * number(x)).cast("long")))
+    wide = F.when(~small, F.transform("embedding", number))
+    numbered = rows.select(F.monotonically_increasing_id().alias("row"), F.col("vec_id").cast("long").alias("vec_id"), whole.alias("v"), wide.alias("wide"))
+    return stage(numbered, "quantised")
+
+
+def whole_numbers(x: list[float], scale: int) -> list[int]:
+    """floor(scale * x) of any finite numbers; a product that leaves the doubles has no fraction to lose."""
+    return [math.floor(y) if math.isfinite(y := v * scale) else int(v) * scale for v in x]
 
 
 def exact_scores(x: np.ndarray, q: np.ndarray) -> np.ndarray:
     """Inner products of the rows with q: 64-bit where every sum fits, else Python integers."""
+    if x.dtype == object or q.dtype == object:
+        return x.astype(object) @ q.astype(object)
     largest = max(int(x.max(initial=0)), -int(x.min(initial=0)))
     if largest * sum(abs(v) for v in q.tolist()) < LARGEST:
         return x @ q
     return x.astype(object) @ q.astype(object)
 
 
-def padded(vectors: list, width: int) -> np.ndarray:
-    out = np.zeros((len(vectors), width), np.int64)
+def padded(vectors: list, width: int, kind: type = np.int64) -> np.ndarray:
+    out = np.zeros((len(vectors), width), kind)
     for i, v in enumerate(vectors):
         out[i, : len(v)] = v
     return out
@@ -164,29 +172,35 @@ def kth_value(slices: list[np.ndarray], k: int, valid: np.ndarray) -> int:
 
 
 class Block:
-    """One memory-mapped index file: ids, integers, slices of a block of rows."""
+    """One memory-mapped index file of a block of rows: numbers, ids, integers, slices; without slices the numbers before they were scaled."""
 
     def __init__(self, path: str):
         raw = np.memmap(path, np.uint8, "r")
-        n, width, digits = raw[:24].view("<u8").tolist()
-        at = 24
+        n, width, digits, scale = raw[:32].view("<i8").tolist()
+        at = 32
+        self.rows = raw[at : (at := at + 8 * n)].view("<i8")
         self.ids = raw[at : (at := at + 8 * n)].view("<i8")
-        self.x = raw[at : (at := at + 8 * n * width)].view("<i8").reshape(n, width)
-        self.slices = np.array(raw[at:].view("<u8")).reshape(width, digits, -1)
-        self.inverse = ~self.slices
+        if digits:
+            self.x = raw[at : (at := at + 8 * n * width)].view("<i8").reshape(n, width)
+            self.slices = np.array(raw[at:].view("<u8")).reshape(width, digits, -1)
+            self.inverse = ~self.slices
+        else:
+            self.x = np.array([whole_numbers(v, scale) for v in raw[at:].view("<f8").reshape(n, width).tolist()], object).reshape(n, width)
+            self.slices = None
 
     @staticmethod
-    def file(ids: np.ndarray, x: np.ndarray, dropped: int) -> bytes:
-        slices = slices_of(x, dropped)
-        head = np.array([*x.shape, slices.shape[1]], "<u8").tobytes()
-        return head + ids.astype("<i8").tobytes() + x.astype("<i8").tobytes() + slices.tobytes()
-
-    def top(self, q_id: int, q: np.ndarray, k: int, dropped: int) -> tuple[np.ndarray, np.ndarray]:
-        """Ids and exact scores of the best k rows, ties to the smaller id; the query's own row is left out."""
-        valid = np.zeros(self.slices.shape[2] * 64, np.uint8)
-        valid[: len(self.ids)] = self.ids != q_id
+    def file(rows: np.ndarray, ids: np.ndarray, x: np.ndarray, dropped: int, scale: int) -> bytes:
+        slices = slices_of(x, dropped) if x.dtype.kind == "i" else None
+        head = np.array([*x.shape, 0 if slices is None else slices.shape[1], scale], "<i8").tobytes()
+        body = rows.astype("<i8").tobytes() + ids.astype("<i8").tobytes() + x.astype(f"<{x.dtype.kind}8").tobytes()
+        return head + body + (b"" if slices is None else slices.tobytes())
+
+    def top(self, q_row: int, q: np.ndarray, k: int, dropped: int) -> tuple[np.ndarray, list[int]]:
+        """Places and exact scores of the best k rows, ties to the smaller id; the query's own row is left out."""
+        valid = np.zeros(-(-len(self.ids) // 64) * 64, np.uint8)
+        valid[: len(self.ids)] = self.rows != q_row
         chosen = np.flatnonzero(valid)
-        if len(chosen) > k:
+        if len(chosen) > k and self.slices is not None and q.dtype != object:
             bitmap = np.packbits(valid, bitorder="little").view("<u8")
             summed = score_slices(self.slices, self.inverse, q)
             # By the digits left out, two rows differ by at most this much more or less than their sums say.
@@ -195,12 +209,10 @@ class Block:
             chosen = np.flatnonzero(np.unpackbits(rows_from(summed, least, bitmap).view(np.uint8), bitorder="little"))
         ids, exact = self.ids[chosen], exact_scores(self.x[chosen], q)
         if exact.dtype != object:
-            order = np.lexsort((ids, -exact))[:k]
-            return ids[order], exact[order]
-        order = sorted(range(len(ids)), key=lambda i: (-exact[i], ids[i]))[:k]
-        if any(abs(exact[i]) >= LARGEST for i in order):
-            raise OverflowError(f"a score of query {q_id} does not fit 64 bits")
-        return ids[order], exact[order].astype(np.int64)
+            order = np.lexsort((self.rows[chosen], ids, -exact))[:k]
+        else:
+            order = np.array(sorted(range(len(ids)), key=lambda i: (-exact[i], ids[i], self.rows[chosen[i]]))[:k], np.int64)
+        return chosen[order], exact[order].tolist()
 
 
 @lru_cache(maxsize=2)
@@ -208,54 +220,63 @@ def block(path: str) -> Block:
     return Block(path)
 
 
-def build_index(vectors: DataFrame, n_blocks: int, width: int, dropped: int = DROPPED) -> DataFrame:
+def build_index(vectors: DataFrame, n_blocks: int, n_wide: int, width: int, dropped: int, scale: int) -> DataFrame:
     """Write each block's file to the shared folder; one row per block: its number and path."""
     base = mounted(new_folder(vectors.sparkSession, "slices"))
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("vec_id")
+        pdf = pdf.sort_values(["vec_id", "row"])
         number = int(pdf["block"].iloc[0])
         path = f"{base}/block-{number:08d}.bsi"
-        publish(path, Block.file(pdf["vec_id"].to_numpy("i8"), padded(pdf["v"].tolist(), width), dropped))
+        held, kind = (pdf["v"], np.int64) if number < n_blocks else (pdf["wide"], np.float64)
+        publish(path, Block.file(pdf["row"].to_numpy("i8"), pdf["vec_id"].to_numpy("i8"), padded(held.tolist(), width, kind), dropped, scale))
         return pd.DataFrame({"block": [number], "path": [path]})
 
-    blocks = vectors.withColumn("block", F.pmod(F.xxhash64("vec_id"), F.lit(n_blocks)).cast("int"))
+    sliced, wide = F.pmod(F.xxhash64("row"), F.lit(n_blocks)), n_blocks + F.pmod(F.xxhash64("row"), F.lit(max(1, n_wide)))
+    blocks = vectors.withColumn("block", F.when(F.col("v").isNotNull(), sliced).otherwise(wide).cast("int"))
     return blocks.groupBy("block").applyInPandas(run, "block int, path string")
 
 
-def top_k(vectors: DataFrame, queries: DataFrame, k: int = TOP, dropped: int = DROPPED, block_rows: int = BLOCK_ROWS) -> DataFrame:
-    """(query_id, rank, vec_id, score): each query's best k of the other rows, ties to the smaller id.
+def top_k(vectors: DataFrame, queries: DataFrame, k: int = TOP, dropped: int = DROPPED, block_rows: int = BLOCK_ROWS, scale: int = SCALE) -> DataFrame:
+    """(query_id, rank, vec_id, score): each query row's best k of the other rows, ties to the smaller id.
 
-    Both inputs are ``quantised``. Fewer than k other rows: all of them. Shorter vectors count as padded with zeros.
-    No usable vectors, or no queries: no rows. A score among a block's best that leaves 64 bits raises an error. Every row is in the index; every query meets every block.
+    Both inputs are rows of one ``quantised`` table. Only the query's own row is left out: another row with its id is a
+    candidate, and of repeated query ids each row has its own list. Fewer than k other rows: all of them. Shorter vectors
+    count as padded with zeros. No usable vectors, or no queries: no rows. A returned score that leaves 64 bits raises an
+    error, other scores may be of any size. Every row is in the index; every query meets every block.
     """
-    rows = stage(vectors, "vectors")
-    n, width = rows.agg(F.count(F.lit(1)), F.coalesce(F.max(F.size("v")), F.lit(0))).first()
-    width = max(1, width)
-    n_blocks = max(1, -(-n // block_rows))
-    index = stage(build_index(rows, n_blocks, width, dropped), "blocks")
-    asked = stage(queries.select(F.col("vec_id").alias("query_id"), F.col("v").alias("q")), "asked")
+    counted = vectors.agg(F.count("v"), F.count("wide"), F.coalesce(F.max(F.greatest(F.size("v"), F.size("wide"))), F.lit(0))).first()
+    n, wide, width = counted[0], counted[1], max(1, counted[2])
+    n_blocks, n_wide = max(1, -(-n // block_rows)), -(-wide // block_rows)
+    index = stage(build_index(vectors, n_blocks, n_wide, width, dropped, scale), "blocks")
+    asked = stage(queries.select(F.col("row").alias("query_row"), F.col("vec_id").alias("query_id"), F.col("v").alias("q"), F.col("wide").alias("q_wide")), "asked")
     per_block = max(1, -(-asked.count() // QUERY_ROWS))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ["query_row", "query_id", "row", "vec_id", "score", "fits"]
         for batch in batches:
-            out: dict[str, list] = {"query_id": [], "vec_id": [], "score": []}
-            for path, query_id, v in zip(*(c.to_pylist() for c in batch.columns)):
-                found, scores = block(path).top(query_id, padded([v[:width]], width)[0], k, dropped)
-                out["query_id"] += [query_id] * len(found)
-                out["vec_id"] += found.tolist()
-                out["score"] += scores.tolist()
-            yield pa.RecordBatch.from_arrays([pa.array(v, pa.int64()) for v in out.values()], list(out))
-
-    spread = asked.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1))))
+            out: list[tuple] = []
+            for path, query_row, query_id, v, raw in zip(*(c.to_pylist() for c in batch.columns)):
+                found = block(path)
+                q = padded([v], width, np.int64)[0] if raw is None else np.array((whole_numbers(raw, scale) + [0] * width)[:width], object)
+                places, scores = found.top(query_row, q, k, dropped)
+                for at, score in zip(places.tolist(), scores):
+                    fits = -LARGEST <= score < LARGEST
+                    out.append((query_row, query_id, int(found.rows[at]), int(found.ids[at]), score if fits else LARGEST - 1 if score > 0 else -LARGEST, fits))
+            types = [*[pa.int64()] * 5, pa.bool_()]
+            yield pa.RecordBatch.from_arrays([pa.array([o[i] for o in out], t) for i, t in enumerate(types)], names)
+
+    spread = asked.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(n_blocks + n_wide - 1))))
     pieces = (
         spread.join(index, "block")
-        .repartition(min(n_blocks * per_block, 8192), "block", F.pmod(F.xxhash64("query_id"), F.lit(per_block)))
-        .sortWithinPartitions("block").select("path", "query_id", "q")
+        .repartition(min((n_blocks + n_wide) * per_block, 8192), "block", F.pmod(F.xxhash64("query_row"), F.lit(per_block)))
+        .sortWithinPartitions("block").select("path", "query_row", "query_id", "q", "q_wide")
     )
-    best = pieces.mapInArrow(run, "query_id long, vec_id long, score long")
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return best.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    best = pieces.mapInArrow(run, "query_row long, query_id long, row long, vec_id long, score long, fits boolean")
+    order = Window.partitionBy("query_row").orderBy(F.desc("score"), "vec_id", "row")
+    # Only a score that would be returned has to fit.
+    score = F.when(F.col("fits"), F.col("score")).otherwise(F.raise_error(F.lit("a score does not fit 64 bits")).cast("long"))
+    return best.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", score.alias("score"))
 
 
 def op4_topk(spark, sf_dir):
@@ -264,11 +285,11 @@ def op4_topk(spark, sf_dir):
 
 
 SQL = {"op4_topk": """
-WITH v AS (SELECT vec_id, min(list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT))) AS v FROM embeddings
-           WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 GROUP BY vec_id),
-pairs AS (SELECT q.vec_id AS query_id, c.vec_id AS vec_id, CAST(list_sum(list_transform(range(1, len(q.v) + 1), lambda i: q.v[i] * c.v[i])) AS BIGINT) AS score
-          FROM v q JOIN v c ON c.vec_id <> q.vec_id WHERE q.vec_id % 100 = 0)
+WITH v AS MATERIALIZED (SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
+           WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+pairs AS (SELECT q.r, q.vec_id AS query_id, c.vec_id AS vec_id, CAST(list_sum(list_transform(range(1, len(q.v) + 1), lambda i: q.v[i] * c.v[i])) AS BIGINT) AS score
+          FROM v q JOIN v c ON c.r <> q.r WHERE q.vec_id % 100 = 0)
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score
-FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM pairs) WHERE rank <= 10
+FROM (SELECT *, row_number() OVER (PARTITION BY r ORDER BY score DESC, vec_id) AS rank FROM pairs) WHERE rank <= 10
 """}
 QUERIES = {"op4_topk": op4_topk}
