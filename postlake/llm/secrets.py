@@ -40,18 +40,26 @@ LEAST_CHARS = 8
 
 #: Every text with a name that can reach LEAST_SCORE: its words, and pairs with whatever ``words_of`` splits at between them.
 MAYBE = re.compile("|".join([w for w, x in SENSITIVE.items() if x >= LEAST_SCORE] + [f"{a}[^A-Za-z0-9]*{b}" for a, b in sorted(PAIRS)]), re.IGNORECASE)
+#: What a token begins with. No alternative goes back over a stretch that a later token could scan again: names, tags and flags are
+#: possessive, and where a comment or string has no end is looked up once (``Lexer``).
 LEX = re.compile(
-    r"""(?P<comment>/\*.*?\*/|<!--.*?-->)
-    |(?P<string>\"{3}.*?\"{3}|'{3}.*?'{3}|"(?:\\.|[^"\\\n])*"|'(?:\\.|[^'\\\n])*'|`(?:\\.|[^`\\])*`)
-    |(?P<element><(?P<tag>[A-Za-z_][\w.:-]*)[^<>]*>(?P<inner>[^<>\n]+)</(?P=tag)>)
-    |(?P<flag>--(?P<flagname>[A-Za-z][\w-]*)(?:=|\x20+)(?P<flagvalue>[^\s"'-][^\s"']*))
-    |(?P<name>[A-Za-z_$][\w$]*(?:(?:\.|->|::|-)[A-Za-z_$][\w$]*)*)
-    |(?P<op>:=|=>|==|!=|<=|>=|[=:+])
+    r"""(?P<open>/\*|<!--|(?:(?<![\w$])[bBrRuUfF]{1,2})?(?P<quote>\"{3}|'{3}|["'`]))
+    |(?P<element><(?P<tag>[A-Za-z_][\w.:-]*+)[^<>\n]*+>(?P<inner>[^<>\n]++)</(?P=tag)>)
+    |(?P<flag>(?<![\w-])--(?P<flagname>[A-Za-z][\w-]*+)(?:=|\x20++)(?P<flagvalue>[^\s"'-][^\s"']*+))
+    |(?P<name>[A-Za-z_$][\w$]*+(?:(?:\.|->|::|-)[A-Za-z_$][\w$]*+)*+)
+    |(?P<op>:=|=>|==|!=|<=|>=|\+=|[=:+])
     |(?P<line>\n)
     |(?P<other>[^\s])""",
-    re.VERBOSE | re.DOTALL,
+    re.VERBOSE,
 )
+CLOSES = {"/*": "*/", "<!--": "-->"}
+#: Up to the end of a string on one line, or of one over several.
+ENDS = {'"': re.compile(r'(?:\\.|[^"\\\n])*+"', re.DOTALL), "'": re.compile(r"(?:\\.|[^'\\\n])*+'", re.DOTALL), "`": re.compile(r"(?:\\.|[^`\\])*+`", re.DOTALL)}
+STOPS = {'"': re.compile(r'(?:\\.|[^"\\\n])*+', re.DOTALL), "'": re.compile(r"(?:\\.|[^'\\\n])*+", re.DOTALL), "`": re.compile(r"(?:\\.|[^`\\])*+", re.DOTALL)}
 BARE = re.compile(r"[^\s\"'`,;#<>(){}\[\]]+")
+#: Without a digit a bare value has to look less like a word.
+UNWORDLY = re.compile(r"[-_+/.@!%^~]|[a-z][A-Z]")
+BLOCK = re.compile(r"[|>][-+0-9]*[^\S\n]*\n")
 
 
 @dataclass(frozen=True)
@@ -84,37 +92,106 @@ def strength(text: str) -> float:
     return max(0.0, min(1.0, entropy / 3.5) * (0.7 + 0.1 * kinds) - 3 * spaces)
 
 
+@dataclass(frozen=True, slots=True)
+class Token:
+    """A piece of source; ``inner`` is what a string, element or flag holds, ``name`` the tag or flag."""
+
+    kind: str
+    start: int
+    end: int
+    text: str
+    inner: tuple[int, int] = (0, 0)
+    name: str = ""
+
+
+class Lexer:
+    """Tokens of a text in one pass, comments left out. An opening mark without an end is a sign like others."""
+
+    def __init__(self, text: str):
+        self.text = text
+        # From where to where it is known that a mark finds no end: a search that failed is not done again further on.
+        self.dead: dict[str, tuple[int, int]] = {}
+
+    def close(self, mark: str, start: int) -> int | None:
+        """End of the comment or string that opened before ``start``."""
+        low, high = self.dead.get(mark, (0, -1))
+        if low <= start <= high:
+            return None
+        if mark in ENDS:
+            if m := ENDS[mark].match(self.text, start):
+                return m.end()
+            # Escapes fall in the same places from any quote on this stretch, so none of them closes either.
+            self.dead[mark] = (start, STOPS[mark].match(self.text, start).end())
+            return None
+        end = self.text.find(CLOSES.get(mark, mark), start)
+        if end < 0:
+            self.dead[mark] = (start, len(self.text))
+            return None
+        return end + len(CLOSES.get(mark, mark))
+
+    def tokens(self) -> list[Token]:
+        out, at, text = [], 0, self.text
+        while m := LEX.search(text, at):
+            kind, at = m.lastgroup, m.end()
+            if kind in ("open", "quote"):
+                mark = m.group("quote") or m.group("open")
+                end = self.close(mark, m.end())
+                if end is None and len(mark) == 3 and mark not in CLOSES:
+                    mark, at = mark[0], m.end() - 2
+                    end = self.close(mark, at)
+                if end is None:
+                    # The letters before a quote are a name then; the sign alone goes on.
+                    sign = m.end() - len(m.group("quote") or m.group("open"))
+                    if m.start() < sign:
+                        out.append(Token("name", m.start(), sign, text[m.start() : sign]))
+                    at = sign + 1
+                    out.append(Token("other", sign, at, text[sign:at]))
+                    continue
+                if mark not in CLOSES:
+                    out.append(Token("string", m.start(), end, text[m.start() : end], (at, end - len(mark))))
+                at = end
+            elif kind in ("element", "flag"):
+                name, inner = ("tag", "inner") if kind == "element" else ("flagname", "flagvalue")
+                out.append(Token(kind, m.start(), m.end(), m.group(), m.span(inner), m.group(name)))
+            elif kind in ("tag", "inner", "flagname", "flagvalue"):
+                raise AssertionError(kind)
+            else:
+                out.append(Token(kind, m.start(), m.end(), m.group()))
+        return out
+
+
 def assignments(text: str) -> Iterator[tuple[str, list[Literal | str | None]]]:
     """Name and value of every assignment; the value is a list of literals and names that are joined, None between elements of a list.
 
-    A value goes on over line ends around a plus, inside brackets and after a backslash.
+    Names are targets (also keys in brackets), keys, tags, flags, and functions called with a literal; an attribute that names a
+    key gives that name to the value beside it. A value goes on over line ends around a plus, inside brackets and after a
+    backslash; a block value takes the more indented lines below it.
     """
-    tokens = [m for m in LEX.finditer(text) if m.lastgroup != "comment"]
-    i, n = 0, len(tokens)
+    tokens = Lexer(text).tokens()
+    i, n, bare_end = 0, len(tokens), 0
 
     def kind(k: int) -> str:
-        if k >= n:
-            return "end"
-        m = tokens[k]
-        return next(g for g in ("string", "element", "flag", "name", "op", "line", "other") if m.group(g) is not None)
+        return tokens[k].kind if k < n else "end"
 
     def literal(k: int) -> Literal:
-        m = tokens[k]
-        quote = 3 if m.group()[:3] in ('"""', "'''") else 1
-        return Literal(m.start() + quote, m.end() - quote, m.group()[quote:-quote])
+        start, end = tokens[k].inner
+        return Literal(start, end, text[start:end])
 
     def sign(k: int, signs: str) -> bool:
-        return kind(k) in ("op", "other") and tokens[k].group() in signs
+        return kind(k) in ("op", "other") and tokens[k].text in signs
 
     def over(k: int, lines: bool) -> int:
         while (lines and kind(k) == "line") or (sign(k, "\\") and kind(k + 1) == "line"):
             k += 1 if kind(k) == "line" else 2
         return k
 
+    def is_op(k: int) -> bool:
+        return kind(k) == "op" and tokens[k].text in ("=", ":", ":=", "=>", "+=")
+
     def assigned(k: int) -> bool:
-        return kind(k) in ("name", "string") and kind(k + 1) == "op" and tokens[k + 1].group() in ("=", ":", ":=", "=>")
+        return kind(k) in ("name", "string") and is_op(k + 1)
 
-    def value_from(k: int) -> list[Literal | str | None]:
+    def value_from(k: int) -> tuple[list[Literal | str | None], int]:
         value: list[Literal | str | None] = []
         depth, k = 0, over(k, False)
         while True:
@@ -123,10 +200,10 @@ def assignments(text: str) -> Iterator[tuple[str, list[Literal | str | None]]]:
                 continue
             quoted = kind(k) == "string"
             if quoted or kind(k) == "name":
-                value.append(literal(k) if quoted else tokens[k].group())
+                value.append(literal(k) if quoted else tokens[k].text)
                 k += 1
             elif not (depth and sign(k, ")]")):
-                return value
+                return value, k
             while depth and sign(j := over(k, True), ")]"):
                 depth, k = depth - 1, j + 1
             after, plus = over(k, depth > 0), over(k, True)
@@ -134,33 +211,69 @@ def assignments(text: str) -> Iterator[tuple[str, list[Literal | str | None]]]:
                 k = over(plus + 1, True)
                 # A line that begins with a plus may be one of a patch.
                 if not depth and any(kind(x) == "line" for x in range(after, plus)) and assigned(k):
-                    return value
+                    return value, k
             elif depth and sign(after, ","):
                 value.append(None)
                 k = over(after + 1, True)
             elif quoted and kind(after) == "string":
                 k = after  # neighbouring strings are one
             else:
-                return value
+                return value, k
+
+    def bare(k: int, op: Token) -> list[Literal]:
+        """An unquoted value: with a digit, or set without a blank and no plain word. What lies inside an earlier one is part of that."""
+        nonlocal bare_end
+        if k >= n or kind(k) == "line" or tokens[k].start < bare_end:
+            return []
+        found = BARE.match(text, tokens[k].start)
+        bare_end = found.end() if found else bare_end
+        if not found or len(found.group()) < LEAST_CHARS:
+            return []
+        tight = op.text == "=" and op.end == tokens[k].start
+        good = re.search("[0-9]", found.group()) or (tight and UNWORDLY.search(found.group()))
+        return [Literal(found.start(), found.end(), found.group())] if good else []
+
+    def block(k: int) -> list[Literal]:
+        """The lines of a block value: those more indented than the line of its key."""
+        head = BLOCK.match(text, tokens[k].start) if k < n else None
+        if not head:
+            return []
+        indent = lambda line: len(line) - len(line.lstrip(" \t"))
+        own = text[text.rfind("\n", 0, tokens[k].start) + 1 : tokens[k].start]
+        out, at = [], head.end()
+        while at < len(text):
+            stop = text.find("\n", at)
+            stop = len(text) if stop < 0 else stop
+            line = text[at:stop]
+            if line.strip():
+                if indent(line) <= indent(own):
+                    break
+                low = at + indent(line)
+                out.append(Literal(low, low + len(line.strip()), line.strip()))
+            at = stop + 1
+        return out
 
     while i < n:
-        what, m = kind(i), tokens[i]
-        if what == "element":
-            yield m.group("tag"), [Literal(m.start("inner"), m.end("inner"), m.group("inner"))]
-        elif what == "flag":
-            yield m.group("flagname"), [Literal(m.start("flagvalue"), m.end("flagvalue"), m.group("flagvalue"))]
-        elif what in ("name", "string") and kind(i + 1) == "op" and tokens[i + 1].group() in ("=", ":", ":=", "=>"):
-            name = m.group() if what == "name" else literal(i).text
-            k = i + 2
+        t = tokens[i]
+        if t.kind in ("element", "flag"):
+            yield t.name, [Literal(*t.inner, text[slice(*t.inner)])]
+        elif assigned(i) or (t.kind == "string" and sign(i + 1, "]") and is_op(i + 2)):
+            name, at = t.text if t.kind == "name" else literal(i).text, i + 1 if is_op(i + 1) else i + 2
+            op, k = tokens[at], at + 1
             # A type between the name and its value: name: Type = value
-            if tokens[i + 1].group() == ":" and kind(k) == "name" and kind(k + 1) == "op" and tokens[k + 1].group() == "=":
+            if op.text == ":" and kind(k) == "name" and kind(k + 1) == "op" and tokens[k + 1].text == "=":
                 k += 2
-            value = value_from(k)
+            value, _ = value_from(k)
             if not any(isinstance(v, Literal) for v in value):
-                bare = BARE.match(text, tokens[i + 2].start()) if i + 2 < n and kind(i + 2) != "line" else None
-                if bare and len(bare.group()) >= LEAST_CHARS and re.search("[0-9]", bare.group()):
-                    value = [Literal(bare.start(), bare.end(), bare.group())]
+                value = bare(at + 1, op) or (block(at + 1) if op.text == ":" else []) or value
+            if op.text == "+=":
+                value = [name, *value]
+            # key="password" value="…": the attribute beside it holds the value.
+            if words_of(name)[-1:] in (["key"], ["name"], ["id"]) and len(value) == 1 and isinstance(value[0], Literal) and assigned(k + 1) and words_of(tokens[k + 1].text)[-1:] in (["value"], ["content"]):
+                yield value[0].text, value_from(k + 3)[0]
             yield name, value
+        elif t.kind == "name" and sign(i + 1, "(") and kind(i + 2) == "string" and sensitivity(t.text) >= LEAST_SCORE:
+            yield t.text, value_from(i + 1)[0]
         i += 1
 
 
@@ -182,10 +295,23 @@ def reached(value: tuple) -> list[Literal]:
 def assigned_literals(text: str) -> list[tuple[Literal, str, float]]:
     """Literals that reach a sensitive name, with that name and their score; constants are followed through names.
 
-    An expression keeps all its literals, however many, each with its own place; elements of a list are scored one by one.
+    An expression keeps all its literals, however many, each with its own place; elements of a list are scored one by one. A name
+    that is added to again and again is scored once, with all it has got.
     """
     held: dict[str, tuple] = {}  # values as they were assigned: literals and other values, followed only from sensitive names
+    growing: dict[str, tuple] = {}
     best: dict[tuple[int, int], tuple[Literal, str, float]] = {}
+
+    def score(name: str, value: tuple) -> None:
+        for element in value:
+            parts = reached(element)
+            worth = sensitivity(name) * strength("".join(p.text for p in parts))
+            if worth >= LEAST_SCORE:
+                for p in parts:
+                    at = (p.start, p.end)
+                    if p.end > p.start and (at not in best or best[at][2] < worth):
+                        best[at] = (p, name, worth)
+
     for name, value in assignments(text):
         elements: list[list] = [[]]
         for v in value:
@@ -193,20 +319,24 @@ def assigned_literals(text: str) -> list[tuple[Literal, str, float]]:
                 elements.append([])
             elif isinstance(v, Literal):
                 elements[-1].append(v)
-            elif v in held:
+            elif held.get(v):
                 elements[-1].append(held[v])
-        held[name] = tuple(tuple(e) for e in elements)
-        target = sensitivity(name)
-        if target < LEAST_SCORE:
+        elements = [x for x in elements if x]
+        before, itself = held.get(name), name in value
+        # Another name's value alone is that value, not one around it.
+        alone = len(elements) == 1 and len(elements[0]) == 1 and not isinstance(elements[0][0], Literal)
+        held[name] = elements[0][0] if alone else tuple(tuple(x) for x in elements)
+        if held[name] is before or sensitivity(name) < LEAST_SCORE:
             continue
-        for element in held[name]:
-            parts = reached(element)
-            score = target * strength("".join(p.text for p in parts))
-            if score >= LEAST_SCORE:
-                for p in parts:
-                    at = (p.start, p.end)
-                    if p.end > p.start and (at not in best or best[at][2] < score):
-                        best[at] = (p, name, score)
+        grown = growing.pop(name, None)
+        if itself:
+            growing[name] = held[name]
+            continue
+        if grown is not None:
+            score(name, grown)
+        score(name, held[name])
+    for name, value in growing.items():
+        score(name, value)
     return sorted(best.values(), key=lambda x: x[0].start)
 
 

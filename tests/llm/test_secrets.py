@@ -86,3 +86,73 @@ def test_long_and_broken_values():
     assert found("x_" * 70 + f'password = "{first}"') == [first]
     doubled = f'a = "{first}"\n' + "a = a + a\n" * 60 + "token = a"
     assert found(doubled) == [first]
+
+
+def test_forms_of_pairs():
+    value = "Zx81q9TTkk37"
+    for text in (
+        f"password = b'{value}'", f'secret = f"{value}"', f"token = rb'{value}'", f"os.environ['SECRET_KEY'] = '{value}'", f'config["db"]["password"] = "{value}"',
+        f'<add key="password" value="{value}"/>', f'<property name="client.secret" value="{value}" />', f'set_password("{value}")', f"client.authToken('{value}', 3)",
+        f"password: |\n  {value}\nother: x", f"db:\n  secret: >-\n    {value}\n  user: me", f"a = ''\na += '{value}'\npassword = a", f"PASSWORD={value}", f"curl --auth-token {value} x",
+    ):
+        assert found(text) == [value], text
+    assert found("PASSWORD=hunter-two-secretword") == ["hunter-two-secretword"] and found("apiSecret=hunterTwoWords") == ["hunterTwoWords"]
+    for text in ("password: required field", "the password = something", "token(s) are words", "reset_password(user)", "password: |", "secret: >\nnot indented", 'x("password")', "b'unclosed password = "):
+        assert found(text) == [], text
+    assert found("a = 'Zx81q9TT'\na += 'kk37AAbz'\ntoken = a") == ["Zx81q9TT", "kk37AAbz"]
+
+
+HOSTILE = ["<aaaa", "--a", "-a", '"\\', "'\\", "`\\", "/* ", "<!-- ", "<a <", "<a>", '""" ', "''' ", "a.", "a = [", "a = (", "a + ", "x='' ", "token=", "password: |\n ", "\\\n", "b'", "secret('", '"a" ', "=", "token += 'abcdefgh1'\n", "token = token\n", "a = token + b\ntoken = a\n", "key='k' "]
+
+
+def test_long_hostile_texts_are_read_in_linear_time():
+    import time
+
+    for piece in HOSTILE:
+        for lead in ("password ", "password = ", "password = \""):
+            # Four times the text takes about four times as long, not sixteen.
+            took = []
+            for size in (20_000, 80_000):
+                start = time.process_time()
+                scan_text(lead + piece * (size // len(piece)))
+                took.append(time.process_time() - start)
+            assert took[1] < 8 * max(took[0], 0.05), (lead, piece, took)
+
+
+def brute_lex(text):
+    """Start and end of every quoted literal and comment, character by character."""
+    out, i = [], 0
+    while i < len(text):
+        opened = next((o for o in ("/*", "<!--", '"""', "'''", '"', "'", "`") if text.startswith(o, i)), None)
+        if opened in ("/*", "<!--"):
+            end = text.find({"/*": "*/", "<!--": "-->"}[opened], i + len(opened))
+            i = i + 1 if end < 0 else end + (2 if opened == "/*" else 3)
+            continue
+        if opened and len(opened) == 3:
+            end = text.find(opened, i + 3)
+            if end >= 0:
+                out.append((i + 3, end))
+                i = end + 3
+                continue
+            opened = opened[0]
+        if opened:
+            j = i + 1
+            while j < len(text) and text[j] != opened and (text[j] != "\n" or opened == "`"):
+                j += 2 if text[j] == "\\" else 1
+            if j < len(text) and text[j] == opened:
+                out.append((i + 1, j))
+                i = j
+        i += 1
+    return out
+
+
+def test_literals_against_a_character_scan():
+    import random
+
+    from postlake.llm.secrets import Lexer
+
+    rng = random.Random(12)
+    for _ in range(3000):
+        text = "".join(rng.choice(['"', "'", "`", "\\", "\n", "1", " ", "/*", "*/", '"""', "'''", "=", "<!--", "-->"]) for _ in range(rng.randrange(40)))
+        got = [t.inner for t in Lexer(text).tokens() if t.kind == "string"]
+        assert got == brute_lex(text), repr(text)
