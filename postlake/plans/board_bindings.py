@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+import uuid
+from functools import reduce
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from postlake.operators.references import resolve_references
 from postlake.plans import derived
-from postlake.plans.bindings import ISO_SQL, binding, table
+from postlake.plans.bindings import ISO_SQL, SQL, binding, table
 from postlake.plans.run import run, run_all
 from postlake.plans.staging import shared_folder
-from postlake.sources.captures import read_captures, write_captures
+from postlake.sources.captures import read_captures, save_captures, write_captures
 from postlake.sources.schema import JOB_COLS
 from postlake.sources.snapshot import read_snapshot, write_snapshot
 from postlake.streaming.bounded import first_postings, item_stream, land, read_landed, read_postings, write_postings
@@ -218,6 +222,72 @@ def run_all_first_pages(spark, sf):
     return jobs.groupBy("source").agg(F.count(F.lit(1)).alias("jobs"))
 
 
+@binding(" UNION ALL ".join(f"SELECT '{name}' AS source, * FROM ({SQL[f'{name}_run']})" for name in ("karirhub", "kitalulus", "dealls", "glints", "lokerid")))
+def run_all_boards(spark, sf):
+    """Captures of all boards in one table, every board run to its end, whole postings compared."""
+    parts = [derived.karirhub, derived.kitalulus, derived.dealls, derived.glints, derived.lokerid]
+    captures = reduce(DataFrame.unionByName, [part(spark, sf) for part in parts])
+    jobs = run_all(captures, fetch_details=True, **ALL)
+    return shown(jobs.withColumn("run_id", F.struct("source", "run_id"))).select("run_id.*", *[c for c in JOB_COLS if c != "scraped_at"])
+
+
+@binding(LOKERID_SQL)
+def lokerid_wrapped_run(spark, sf):
+    """A third of the records lie inside a wrapper that is no posting itself: it names an organisation without a name."""
+    return shown(run(derived.lokerid(spark, sf, wrapped=True), "lokerid", **ALL).jobs)
+
+
+@binding(f"""
+WITH {KARIRHUB_ITEMS}
+SELECT 'r' || run AS run_id, CASE WHEN k % 50 = 0 THEN 'missing company' ELSE 'missing scraped_at' END AS reject, count(*) AS n
+FROM i WHERE run % 3 < 2 OR k % 50 = 0 GROUP BY ALL
+""")
+def clock_rejects(spark, sf):
+    """Runs whose clock is missing or no instant: every item is told, none is dated by another run's clock."""
+    run_no = F.regexp_extract("run_id", "[0-9]+", 0).cast("int")
+    clock = F.when(run_no % 3 == 0, F.lit(None).cast("string")).when(run_no % 3 == 1, "2026-02-30T12:00:00Z").otherwise(derived.CLOCK)
+    bad = run(derived.karirhub(spark, sf).withColumn("clock", clock), "karirhub", scraped_at=F.col("clock"), max_pages=None).rejects
+    return bad.filter("reject <> 'not an object'").groupBy("run_id", "reject").agg(F.count(F.lit(1)).alias("n"))
+
+
+@binding("""
+SELECT 'r' || (c_custkey // 300) AS page, 'Job:' || c_custkey AS key, leaf.path AS path, leaf.v AS value FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey,
+LATERAL (SELECT unnest([{'path': 'id', 'v': CAST(c_custkey AS VARCHAR)}, {'path': 'place|name', 'v': '"' || n_name || '"'}, {'path': 'place|parents|0|name', 'v': '"' || r_name || '"'},
+  {'path': 'place|parents|0|code', 'v': CAST(r_regionkey AS VARCHAR)}, {'path': 'place|parents|1', 'v': NULL}, {'path': 'tags', 'v': '[]'}]) AS leaf)
+""")
+def apollo_refs(spark, sf):
+    """Postings link to nations, these in a list to regions, these to their codes, and to an object that is not there."""
+    page = derived.text("r", F.expr("c_custkey div 300"))
+    rows = table(spark, sf, "customer").select("c_custkey", "c_nationkey", page.alias("page"))
+    rows = rows.join(table(spark, sf, "nation"), F.col("c_nationkey") == F.col("n_nationkey")).join(table(spark, sf, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
+    ref = lambda *parts: F.struct(derived.text(*parts).alias("__ref"))
+    kind = lambda n: F.lit(n).alias("__typename")
+    docs = [
+        (derived.text("Job:", F.col("c_custkey")), F.to_json(F.struct(
+            kind("Job"), F.col("c_custkey").alias("id"), ref("Nation:", F.col("n_nationkey")).alias("place"), F.array().cast("array<string>").alias("tags")))),
+        (derived.text("Nation:", F.col("n_nationkey")), F.to_json(F.struct(
+            kind("Nation"), F.col("n_name").alias("name"), F.array(ref("Region:", F.col("r_regionkey")), ref("Region:none")).alias("parents")))),
+        (derived.text("Region:", F.col("r_regionkey")), F.to_json(F.struct(F.col("r_name").alias("name"), ref("Code:", F.col("r_regionkey")).alias("code")))),
+        (derived.text("Code:", F.col("r_regionkey")), F.col("r_regionkey").cast("string")),
+    ]
+    # Every page has a cache of its own, with each object once.
+    entries = rows.select("page", F.inline(F.array(*[F.struct(key.alias("key"), doc.alias("doc")) for key, doc in docs]))).distinct()
+    objects = entries.select("page", "key", F.parse_json("doc").alias("value"))
+    found = resolve_references(objects, ["page"], F.col("key").startswith("Job:"))
+    return found.select("page", "key", F.array_join("path", "|").alias("path"), "value")
+
+
+@binding("""
+SELECT 'r' || (p_partkey // 400) AS run_id, 'K' || p_partkey AS job_id FROM part
+WHERE p_partkey % 60 <> 0 AND p_partkey % 37 BETWEEN 1 AND 30 AND p_partkey % 400 // 20 + 1 <= 17
+""")
+def capture_buckets_run(spark, sf):
+    """The capture table laid out by posting, and a run on it."""
+    name = f"captures_{uuid.uuid4().hex}"
+    save_captures(derived.kitalulus(spark, sf), name, 8)
+    return run(spark.table(name), "kitalulus", **ALL).jobs.select("run_id", "job_id")
+
+
 # Sinks and streams -------------------------------------------------------------------------------
 
 
@@ -344,6 +414,4 @@ def stream_rejects(spark, sf):
 
 
 def _new_folder(spark, name: str) -> str:
-    import uuid
-
     return f"{shared_folder(spark)}/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"

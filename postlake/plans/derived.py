@@ -229,7 +229,8 @@ def lokerid_details(spark: SparkSession, sf: str) -> DataFrame:
     return captures(pages, source=F.lit("lokerid"), run_id=run_id(F.col("run")), kind=F.lit("detail_html"), job_id=job_id, fetched_at=F.timestamp_seconds(F.lit(1)), body=body)
 
 
-def lokerid(spark: SparkSession, sf: str) -> DataFrame:
+def lokerid(spark: SparkSession, sf: str, wrapped: bool = False) -> DataFrame:
+    """``wrapped`` puts every third record of a page inside an object that names an organisation without a name."""
     key, nation, segment = F.col("c_custkey"), F.col("c_nationkey"), F.col("c_mktsegment")
     number = days_ago(key, 37)
     pay = F.floor("c_acctbal")
@@ -245,7 +246,11 @@ def lokerid(spark: SparkSession, sf: str) -> DataFrame:
     )
     rows = table(spark, sf, "customer")
     pages = pack(rows, "c_custkey", 15, 20, record)
-    items = F.from_json(json_list(), "array<struct<id:string,jobid:string,title:string,key:bigint>>")
+    pages = pages.withColumn("parts", F.from_json(json_list(), "array<struct<id:string,jobid:string,title:string,key:bigint>>"))
+    items = F.col("parts")
+    if wrapped:
+        inside = lambda i, at: F.when(at % 3 == 1, text('{"organization":{"kode":7},"job":', i, "}")).otherwise(i)
+        pages = pages.withColumn("items", F.transform("items", inside))
     context = text(
         '<script>\nwindow.__remixContext = {"state":{"loaderData":{"root":{"a":1},"routes/list":{"jobs":', json_list(), ',"meta":{"current_page":',
         F.col("page_no"), ',"last_page":"18","links":[]}}}}};\n</script>',

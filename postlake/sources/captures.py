@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from postlake.functions.dates import parse_iso
-from postlake.sources.schema import CAPTURE_DDL, DETAIL_KINDS, LISTING_COLS, LISTING_KINDS
+from postlake.sources.schema import CAPTURE_DDL, DETAIL_KINDS, JOB_KEYS, LISTING_COLS, LISTING_KINDS
 
 
 def read_captures(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
@@ -18,6 +18,14 @@ def write_captures(captures: DataFrame, path: str) -> None:
     captures.write.mode("append").partitionBy("source", "run_id").parquet(path)
 
 
+def save_captures(captures: DataFrame, name: str, buckets: int) -> None:
+    """Write a catalog table dealt into buckets by posting and sorted in them.
+
+    What looks for the detail captures of some postings shuffles these to the buckets; the bodies stay where they are.
+    """
+    captures.write.format("parquet").bucketBy(buckets, *JOB_KEYS).sortBy(*JOB_KEYS).saveAsTable(name)
+
+
 def with_clock(captures: DataFrame, scraped_at: str | Column) -> DataFrame:
     """Add the run's clock (one ISO text for all, or a column the crawler wrote per run) and what tells attempts at a page apart."""
     text = F.lit(scraped_at) if isinstance(scraped_at, str) else scraped_at
