@@ -142,6 +142,34 @@ def glints_run(spark, sf):
     return shown(run(derived.glints(spark, sf), "glints", **ALL).jobs)
 
 
+@binding(GLINTS_SQL.replace("page <= 43", "page <= 43 AND (run % 2 = 0 OR page < 20) AND run % 4 <> 2"))
+def glints_gated_run(spark, sf):
+    """Page 20 of odd runs asks for a login, which ends them; page 30 of every fourth run is lost, which fails it."""
+    page, number = F.col("page_no"), F.regexp_extract("run_id", "[0-9]+", 0).cast("int")
+    gated, lost = (page == 20) & (number % 2 == 1), (page == 30) & (number % 4 == 2)
+    captures = derived.glints(spark, sf).withColumns({
+        "body": F.when(gated, "<!DOCTYPE html><html><body>Masuk</body></html>").when(~lost, F.col("body")),
+        "body_text": F.when(gated, "Halo. Login untuk lihat loker lebih banyak!"), "error": F.when(lost, "timeout"),
+    })
+    return shown(run(captures, "glints", **ALL).jobs)
+
+
+@binding("""
+WITH i AS (SELECT p_partkey // 400 AS run, p_partkey % 400 // 20 + 1 AS page, count(*) AS n FROM part GROUP BY ALL)
+SELECT 'r' || run AS run_id, page AS page_no, ['ok', 'bad_status', 'bad_json', 'api_errors', 'no_list', 'failed'][page % 6 + 1] AS outcome, CASE WHEN page % 6 = 0 THEN n ELSE 0 END AS items FROM i
+""")
+def kitalulus_outcomes(spark, sf):
+    """The four answers that are no list, and no answer at all."""
+    kind = F.col("page_no") % 6
+    answers = {2: "{half an answer", 3: '{"errors":[{"message":"no"}],"data":{"vacanciesV3":{"list":[]}}}', 4: '{"data":{}}'}
+    body = F.when(kind == 5, F.lit(None).cast("string"))
+    for k, text in answers.items():
+        body = body.when(kind == k, text)
+    captures = derived.kitalulus(spark, sf).withColumns({"body": body.otherwise(F.col("body")), "status_code": F.when(kind == 1, 503).otherwise(200), "error": F.when(kind == 5, "timeout")})
+    pages = run(captures, "kitalulus", **ALL).pages
+    return pages.select("run_id", F.col("page_no").cast("bigint").alias("page_no"), "outcome", "items")
+
+
 LOKERID_SQL = f"""
 WITH i AS (SELECT c_custkey AS k, c_custkey // 300 AS run, c_custkey % 300 // 15 + 1 AS page, c_name AS name, c_mktsegment AS seg, c_nationkey AS n,
   format('{{:,}}', CAST(floor(c_acctbal) AS BIGINT)) AS pay, CASE WHEN c_custkey % 6 = 0 THEN 'USD ' ELSE 'Rp ' END AS cur FROM customer WHERE c_custkey % 300 // 15 + 1 <= 18)

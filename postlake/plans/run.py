@@ -48,12 +48,14 @@ def run(
     max_pages: int | None = 1,
     fetch_details: bool = False,
     work_folder: str | None = None,
+    detail_options: dict | None = None,
 ) -> RunResult:
     """Postings of a board's runs: recent, on the pages the crawl reached, first seen, enriched.
 
     ``scraped_at`` is the runs' clock: an ISO text, or a column the crawler wrote per run; items without one go to
     ``rejects``, as do those of captures without page number. Of several captures of one page the earliest readable one counts.
-    Intermediate tables go to ``work_folder`` (default: ``staging.shared_folder``), for the caller to remove.
+    Intermediate tables go to ``work_folder`` (default: ``staging.shared_folder``), for the caller to remove. ``detail_options`` goes to
+    the board's reader of detail pages, such as ``stops``, the lines that end a section at ``karirhub``.
     """
     if max_pages is not None and max_pages < 1:
         raise ValueError("max_pages must be at least 1")
@@ -72,7 +74,7 @@ def run(
     # table would otherwise also serve the first-seen step, with a hot run in one task.
     first = first_seen(usable, JOB_KEYS, ["page_no", "pos"]) if b.dedupes else usable
     kept = read_markup(keep_reached(first, cuts, RUN_KEYS), b)
-    jobs, worklist = enrich(kept, clocked, b, fetch_details, work_folder)
+    jobs, worklist = enrich(kept, clocked, b, fetch_details, work_folder, detail_options)
     return RunResult(
         jobs=jobs,
         pages=pages.join(cuts, RUN_KEYS).withColumn("kept", F.col("failed_on").isNull() & (F.col("page_no") <= F.col("last_kept"))),
@@ -96,7 +98,7 @@ def page_facts(staged: DataFrame, usable: DataFrame, b: Board) -> DataFrame:
     return pages.join(new, PAGE_KEYS, "left").withColumn("new_jobs", F.coalesce("new_jobs", F.lit(0)))
 
 
-def enrich(jobs: DataFrame, captures: DataFrame, b: Board, with_text: bool, work_folder: str | None = None) -> tuple[DataFrame, DataFrame]:
+def enrich(jobs: DataFrame, captures: DataFrame, b: Board, with_text: bool, work_folder: str | None = None, options: dict | None = None) -> tuple[DataFrame, DataFrame]:
     """Postings with what their detail pages add, and those whose detail page is still to be taken."""
     order = [*RUN_KEYS, "page_no", "pos"]
     needs = b.needs(with_text)
@@ -106,7 +108,7 @@ def enrich(jobs: DataFrame, captures: DataFrame, b: Board, with_text: bool, work
     # Only pages of postings that need them are parsed, and once for both uses below; the flag is read back, as a
     # filter here would parse twice.
     wanted = captures.join(jobs.filter(needs).select(*JOB_KEYS).distinct(), JOB_KEYS, "left_semi")
-    details = stage(b.details(wanted), f"{b.name}-details", work_folder).filter("usable")
+    details = stage(b.details(wanted, **(options or {})), f"{b.name}-details", work_folder).filter("usable")
     worklist = detail_worklist(jobs, details, JOB_KEYS, needs).select(*JOB_KEYS, "url")
     joined = with_details(jobs, details, JOB_KEYS, DETAIL_FIELDS)
     apply = needs & F.col("detail").isNotNull()

@@ -99,6 +99,14 @@ def test_karirhub_details(spark):
     assert run(b.frame(spark, rows), "karirhub", scraped_at=b.CLOCK).jobs.filter("description is not null").count() == 0
 
 
+def test_karirhub_stop_lines_of_an_employer(spark):
+    """Who reads another employer's pages gives the line that follows the skills there."""
+    html = "<div>Lowongan dalam negeri</div><div>Role</div><div>Keterampilan</div><div>Las</div><div>PT Lain Jaya</div><div>Alamat</div>"
+    rows = [b.capture("karirhub", "listing_api", {"data": [b.karirhub_item("d")]}, page=1), b.capture("karirhub", "detail_html", html, job_id="d")]
+    tags = lambda **more: run(b.frame(spark, rows), "karirhub", scraped_at=b.CLOCK, fetch_details=True, **more).jobs.first().tags
+    assert tags() == ["Las", "PT Lain Jaya", "Alamat"] and tags(detail_options={"stops": ("PT Lain Jaya",)}) == ["Las"]
+
+
 def test_karirhub_detail_without_sections_uses_meta(spark):
     html = "<head><meta name=description content=' M '></head><div>Lowongan dalam negeri</div><div>Role</div><div>Solo</div><div>Rentang gaji</div><div>Dirahasiakan</div>"
     rows = [b.capture("karirhub", "listing_api", {"data": [b.karirhub_item("d")]}, page=1), b.capture("karirhub", "detail_html", html, job_id="d")]
