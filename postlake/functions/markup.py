@@ -8,9 +8,9 @@ from html import unescape
 from html.parser import HTMLParser
 
 # Elements without content, and elements whose text is not shown.
-VOID_TAGS = frozenset(
-    "area base basefont bgsound br col command embed frame hr image img input isindex "
-    "keygen link menuitem meta nextid param source spacer track wbr".split()
+VOID_TAGS = (
+    "area", "base", "basefont", "bgsound", "br", "col", "command", "embed", "frame", "hr", "image", "img", "input",
+    "isindex", "keygen", "link", "menuitem", "meta", "nextid", "param", "source", "spacer", "track", "wbr",
 )
 HIDDEN_TAGS = frozenset(["script", "style", "template"])
 # Words that mark a description block, and its least length.
@@ -249,14 +249,40 @@ def described(root: Element) -> str | None:
     main = first(root, tag("main"), tag("article"))
     if main is None:
         return None
-    for block in main.walk():
+    pieces: list[str] = []
+    blocks: list[tuple[int, int]] = []
+    # A keyword lies inside one piece, and a block is a stretch of the pieces: none is put together before one is found.
+    for block, start, end in _stretches(main, pieces):
         if block.tag in ("div", "section"):
-            text = block.text("\n") or ""
-            if len(text) > DESCRIPTION_MIN_CHARS and any(word in text for word in DESCRIPTION_WORDS):
-                return plain_text(text)
+            blocks.append((start, end))
+    sizes, marked = [0], [0]
+    for piece in pieces:
+        sizes.append(sizes[-1] + len(piece))
+        marked.append(marked[-1] + any(word in piece for word in DESCRIPTION_WORDS))
+    # Blocks end in another order than they begin in; of those that begin together the outer one comes first.
+    for start, end in sorted(blocks, key=lambda b: (b[0], -b[1])):
+        if sizes[end] - sizes[start] + end - start - 1 > DESCRIPTION_MIN_CHARS and marked[end] > marked[start]:
+            return plain_text("\n".join(pieces[start:end]))
     return None
 
 
+def _stretches(root: Element, pieces: list[str]) -> Iterator[tuple[Element, int, int]]:
+    """Every visible element below with its stretch of ``pieces``, the visible texts in order, which are gathered on the way."""
+    pending = [(root, iter(root.children), 0)]
+    while pending:
+        element, children, start = pending[-1]
+        node = next(children, None)
+        if node is None:
+            pending.pop()
+            if element is not root:
+                yield element, start, len(pieces)
+        elif isinstance(node, str):
+            if text := node.strip():
+                pieces.append(text)
+        elif node.tag not in HIDDEN_TAGS:
+            pending.append((node, iter(node.children), len(pieces)))
+
+
 def meta_description(html: str) -> str | None:
     if "<meta" not in html.lower():
         return None

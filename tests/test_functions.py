@@ -201,3 +201,36 @@ def test_inner_record_used_when_outer_is_no_job():
     outer = {"company": 5, "job": {"id": "i", "title": "T", "company": "C", "posted_at": "2026-03-16"}}
     first, second = records.listing_records({"jobs": [outer]})
     assert first["company"] is None and (second["company"], second["alt"]) == ("C", True)
+
+
+def test_description_block_of_nested_pages():
+    """The first block in the page's order that is long enough and holds a keyword, found without reading nested text again."""
+    import random
+    import time
+
+    def by_block(html):
+        root = markup.parse(html)
+        main = markup.first(root, markup.tag("main"), markup.tag("article"))
+        for block in main.walk() if main else ():
+            if block.tag in ("div", "section"):
+                found = block.text("\n") or ""
+                if len(found) > markup.DESCRIPTION_MIN_CHARS and any(w in found for w in markup.DESCRIPTION_WORDS):
+                    return markup.plain_text(found)
+        return None
+
+    rng = random.Random(5)
+    for _ in range(400):
+        html, open_ = "<main>", []
+        for _ in range(rng.randrange(40)):
+            pick = rng.random()
+            if pick < 0.35:
+                open_.append(rng.choice(["div", "section", "p", "span"]))
+                html += f"<{open_[-1]}>"
+            elif pick < 0.6 and open_:
+                html += f"</{open_.pop()}>"
+            else:
+                html += rng.choice([" Kualifikasi ", "teks " * 12, "Tanggung Jawab", " ", "<script>Kualifikasi " + "x" * 120 + "</script>", "&amp; <br>"])
+        assert markup.described(markup.parse(html)) == by_block(html), html
+    start = time.monotonic()
+    deep = "<main>" + "<div>kata " * 3000 + "Kualifikasi" + "</div>" * 3000
+    assert markup.described(markup.parse(deep)).endswith("Kualifikasi") and time.monotonic() - start < 5
