@@ -35,6 +35,12 @@ def index_by(keys: Column) -> Column:
     return bound(F.array_sort(F.filter(placed, lambda p: p["key"].isNotNull())), grouped)
 
 
+def map_by(keys: Column, values: Column, *, last: bool = False) -> Column:
+    """Map from each key to its value, the first of equal keys or the last; NULL keys are left out."""
+    pick = -1 if last else 1
+    return F.transform_values(index_by(keys), lambda key, at: F.get(values, F.element_at(at, pick)))
+
+
 def distinct_join(glue: str, *texts: Column) -> Column:
     """Join the non-NULL texts, each once; NULL when none is left."""
     joined = F.concat_ws(glue, F.array_distinct(F.array_compact(F.array(*texts))))

@@ -398,6 +398,18 @@ def url_map_join(spark, sf):
     return table(spark, sf, "pages").select("page_id").join(firsts, "page_id", "left")
 
 
+@binding(r"""
+WITH l AS (SELECT page_id, unnest(hrefs) AS href, generate_subscripts(hrefs, 1) AS pos FROM (SELECT page_id, regexp_extract_all(html, 'href="([^"?#]*)', 1) AS hrefs FROM pages))
+SELECT page_id, regexp_extract(href, '/([^/]*)$', 1) AS key, arg_min(href, pos) AS first_link, arg_max(href, pos) AS last_link FROM l GROUP BY ALL
+""")
+def page_link_maps(spark, sf):
+    """The maps that pages of two boards look links up in: the first of equal keys counts on one, the last on the other."""
+    pages = table(spark, sf, "pages").select("page_id", F.regexp_extract_all("html", F.lit('href="([^"?#]*)'), F.lit(1)).alias("hrefs"))
+    keys = F.transform("hrefs", lambda h: F.regexp_extract(h, "/([^/]*)$", 1))
+    maps = pages.select("page_id", lists.map_by(keys, F.col("hrefs")).alias("firsts"), lists.map_by(keys, F.col("hrefs"), last=True).alias("lasts"))
+    return maps.select("page_id", F.explode("firsts").alias("key", "first_link"), "lasts").select("page_id", "key", "first_link", F.col("lasts")[F.col("key")].alias("last_link"))
+
+
 @binding("""
 SELECT page_id, len(regexp_extract_all(html, '<a href="', 0)) AS n_links FROM pages
 """)

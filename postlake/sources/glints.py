@@ -49,17 +49,22 @@ def _links(html: str) -> Iterator[tuple[str, str]]:
                 yield match.group(1), anchor.attr("href")
 
 
-@F.pandas_udf(T.MapType(T.StringType(), T.StringType()))
-def card_links(html: pd.Series) -> pd.Series:
+@F.pandas_udf(T.ArrayType(T.StructType([T.StructField("key", T.StringType()), T.StructField("href", T.StringType())])))
+def card_pairs(html: pd.Series) -> pd.Series:
+    """(posting id, link) of a page's cards, in page order."""
+    return html.map(lambda page: list(_links(page)), na_action="ignore")
+
+
+def card_links(pairs: Column) -> Column:
     """Posting id -> link of a page; the first link of an id wins."""
-    # Reversed, so that the first pair of a key is the one that stays.
-    return html.map(lambda page: dict(reversed(list(_links(page)))), na_action="ignore")
+    return lists.map_by(F.transform(pairs, lambda p: p["key"]), F.transform(pairs, lambda p: p["href"]))
 
 
 def listing(captures: DataFrame) -> DataFrame:
     doc = F.col("doc")
     pages = listing_pages(captures, NAME).withColumn("payload", next_data(F.col("body")))
-    pages = pages.withColumns({"doc": F.try_parse_json("payload"), "links": card_links("body")})
+    pages = pages.withColumns({"doc": F.try_parse_json("payload"), "pairs": card_pairs("body")})
+    pages = pages.withColumn("links", card_links(F.col("pairs"))).drop("pairs")
     cache = at(doc, "$.props.apolloCache", "map<string,variant>")
     pages = pages.withColumns({"initial": at(doc, "$.props.pageProps.initialJobs"), "cache": cache})
     # Only a page without the first shape resolves references.

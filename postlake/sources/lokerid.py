@@ -218,12 +218,7 @@ def slug_links(links: Column) -> Column:
     """Map from the last path segment without ``.html`` to the link, of the page's posting links; the last of equal ones counts."""
     posting = F.filter(links, lambda h: h.contains(".html") & ~h.contains(LISTING_PATH))
     segment = lambda h: F.replace(F.substring_index(h, "/", -1), F.lit(".html"), F.lit(""))
-
-    def last_wins(hrefs: Column) -> Column:
-        places = lists.index_by(F.transform(hrefs, segment))
-        return F.transform_values(places, lambda slug, at: F.get(hrefs, F.element_at(at, -1)))
-
-    return bound(posting, last_wins)
+    return bound(posting, lambda hrefs: lists.map_by(F.transform(hrefs, segment), hrefs, last=True))
 
 
 def fill(job: Column, others: Column) -> Column:
