@@ -36,6 +36,8 @@ TYPO_RATE = 97
 #: Distinct words a task counts before it sends them on, code points of a block, and searches that go on together.
 HELD_WORDS, BLOCK_POINTS, BATCH = 500_000, 1 << 19, 8_192
 STEP = 32
+#: Where so many code points of an exact half are still to come and so few words are left, these are compared whole.
+AHEAD, FEW = 32, 4
 
 
 def runs_of(doc_id: int | None, text: str) -> Iterator[tuple[str, int]]:
@@ -78,6 +80,16 @@ def vocabulary(docs: DataFrame, min_length: int = MIN_LENGTH, min_count: int = M
     return rows.groupBy("word").agg(F.sum("n").alias("n")).filter(F.col("n") >= min_count)
 
 
+def one_edit(a: str, b: str) -> bool:
+    """Whether exactly one inserted, deleted or replaced code point tells the words apart."""
+    if len(a) > len(b):
+        a, b = b, a
+    if len(b) - len(a) > 1 or a == b:
+        return False
+    same = next((i for i, (x, y) in enumerate(zip(a, b)) if x != y), len(a))
+    return a[same + (len(a) == len(b)) :] == b[same + 1 :]
+
+
 class Ranks:
     """Last column of a cyclic text's sorted rotations, with the ranks of its symbols."""
 
@@ -134,6 +146,15 @@ class Index:
     def backward(self) -> Ranks:
         return Ranks(self.text[::-1], self.symbols)
 
+    @cached_property
+    def by_end(self) -> list[int]:
+        """Numbers of the words in the order of the delimiter's rows of the reverse text."""
+        return sorted(range(len(self.words)), key=lambda i: self.words[i][::-1])
+
+    def candidates(self, low: int, size: int, from_left: bool) -> list[int]:
+        """Words of an interval of the text opposite to the search: what has been met begins, or ends, with the delimiter."""
+        return list(range(low, low + size)) if from_left else self.by_end[low : low + size]
+
     def extend(self, ranks: Ranks, own: np.ndarray, other: np.ndarray, size: np.ndarray, c: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Intervals after one more symbol on the side of ``ranks``; ``other`` follows in the opposite text."""
         known = np.where(c < self.symbols, c, 0)
@@ -153,6 +174,11 @@ class Index:
         seen = seen[seen % self.symbols > 0]
         return np.concatenate([state, seen // self.symbols]), np.concatenate([symbol, seen % self.symbols])
 
+    @staticmethod
+    def shares_half(word: str, other: str, from_left: bool) -> bool:
+        half = len(word) // 2
+        return other.startswith(word[:half]) if from_left else other.endswith(word[half:])
+
     def near(self, words: list[str], from_left: bool) -> tuple[np.ndarray, np.ndarray]:
         """(number in ``words``, number of the index's word) of pairs one edit apart that one search finds, each once.
 
@@ -186,6 +212,15 @@ class Index:
                 bad = [bq[live], bi[live] + 1, bown[live], bother[live], bsize[live]]
             if not len(q):
                 continue
+            # Long words with few left to be: compared here, not symbol by symbol.
+            few = (size <= FEW) & (exact[q] - i >= AHEAD)
+            if few.any():
+                pairs = [(a, b) for a, low, n in zip(q[few].tolist(), other[few].tolist(), size[few].tolist()) for b in self.candidates(low, n, from_left)]
+                found = [(a, b) for a, b in pairs if self.shares_half(words[a], self.words[b], from_left) and one_edit(words[a], self.words[b])]
+                hits.append(tuple(np.array(x, np.int64) for x in zip(*found)) if found else (np.empty(0, np.int64),) * 2)
+                q, i, own, other, size = (x[~few] for x in (q, i, own, other, size))
+                if not len(q):
+                    continue
             # Where the exact half is behind, the error may come now.
             at = np.flatnonzero(i >= exact[q])
             c, following = flat[start[q[at]] + i[at]], flat[start[q[at]] + i[at] + 1]
@@ -228,7 +263,7 @@ def searched(rows: pa.Table) -> pa.RecordBatch:
     keep = own_salt[w] % np.array(salts, np.int64)[q] == np.array(salt, np.int64)[q]
     if not from_left:
         # The other search finds those whose first half is equal as well.
-        keep &= np.array([not index.words[b].startswith(words[a][: len(words[a]) // 2]) for a, b in zip(q.tolist(), w.tolist())], bool)
+        keep &= np.array([not index.shares_half(words[a], index.words[b], True) for a, b in zip(q.tolist(), w.tolist())], bool)
     q, w = q[keep], w[keep]
     order = np.lexsort((w, -n[w], q))
     q, w = q[order], w[order]

@@ -8,7 +8,7 @@ from collections import Counter
 import pytest
 
 import __spark_entry__ as entry
-from postlake.llm.spelling import Index, group_variants, vocabulary
+from postlake.llm.spelling import Index, group_variants, one_edit, vocabulary
 from tests.llm.rows import documents, odd
 
 
@@ -74,6 +74,26 @@ def test_index_finds_all_pairs_once():
             assert set(pairs) == want
 
 
+def test_long_words_are_compared_whole():
+    rng = random.Random(8)
+    base = "".join(rng.choice("abcé") for _ in range(150))
+    words = {base}
+    for _ in range(150):
+        w = list(rng.choice(sorted(words)))
+        i = rng.randrange(len(w))
+        w[i : i + 1] = rng.choice([[], [rng.choice("abz")], [w[i], "c"]])
+        words.add("".join(w))
+    words = sorted(words | {base[::-1], "ab" * 80, "ab" * 80 + "a", "b" + "ab" * 80, "a" * 140, "a" * 141})
+    index = Index(words)
+    for from_left in (True, False):
+        pairs = list(zip(*(x.tolist() for x in index.near(words, from_left))))
+        want = {(i, j) for i, a in enumerate(words) for j, b in enumerate(words) if near(a, b) and Index.shares_half(a, b, from_left)}
+        assert len(pairs) == len(set(pairs)) and set(pairs) == want and want
+    for a in words[:40]:
+        for b in words:
+            assert one_edit(a, b) == near(a, b)
+
+
 def texts_of(rng, k):
     stems = ["".join(rng.choice("abcdeéß") for _ in range(rng.randrange(4, 11))) for _ in range(60)]
     out = []
@@ -111,7 +131,7 @@ def test_empty_tables(spark):
 
 
 def test_long_runs(spark):
-    for n in (700, 10_000):
+    for n in (700, 200_000):
         a, b = "ab" * n, "ab" * n + "c"
         ids = [d for d in range(99) if all(zlib.crc32(f"{d}:{w}".encode()) % 97 for w in (a, b))][:3]
         docs = documents(spark, [], more=[(d, f"{a} {b}", None, None, None) for d in ids])
