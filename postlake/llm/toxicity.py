@@ -24,7 +24,7 @@ from postlake.llm.quality import labelled_sample
 from postlake.plans.staging import stage
 
 #: Bounds of what is learnt: labelled rows, terms, and examples used to calibrate. Scores cover all rows and whole texts.
-FIT_ROWS, TERMS, CALIBRATED = 8_000, 4_096, 3_000
+FIT_ROWS, TERMS, CALIBRATED = 20_000, 4_096, 8_000
 NEIGHBOURS, BLOCK = 15, 64
 #: A term must be in so many examples, in at most this share of them, and tell the classes apart this well.
 LEAST_EXAMPLES, MOST_SHARE, LEAST_CHI2 = 5, 0.2, 15.0
