@@ -57,3 +57,11 @@ def test_lines_of_a_snapshot_are_numbered_by_block(spark, tmp_path, partitions):
     plan = out._jdf.queryExecution().optimizedPlan().toString().splitlines()
     windows = [i for i, line in enumerate(plan) if "Window [" in line]
     assert len(windows) == 1 and "Aggregate [" in plan[windows[0] + 1]
+
+
+def test_files_of_an_age_are_parsed_side_by_side(spark, tmp_path, partitions):
+    rows = board_bindings.stream_bounded_state(spark, parts(spark, tmp_path)).collect()
+    want = [(f"K{k}", k // 400 % 3 != 0) for k in range(1300) if k % 60 and 1 <= k % 37 <= 30]
+    assert sorted(map(tuple, rows)) == sorted(want)
+    files = [*Path(staged(spark, "bounded"), "captures").glob("*.parquet")]
+    assert len(files) > 3
