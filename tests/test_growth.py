@@ -65,3 +65,12 @@ def test_files_of_an_age_are_parsed_side_by_side(spark, tmp_path, partitions):
     assert sorted(map(tuple, rows)) == sorted(want)
     files = [*Path(staged(spark, "bounded"), "captures").glob("*.parquet")]
     assert len(files) > 3
+
+
+def test_a_run_is_written_in_one_piece(spark, tmp_path):
+    rows = [b.capture("karirhub", "listing_api", {"data": []}, page=page, run=run) for run in ("r1", "r2") for page in range(1, 9)]
+    captures = b.frame(spark, rows).repartition(8)
+    write_captures(captures, str(tmp_path / "captures"))
+    assert read_captures(spark, str(tmp_path / "captures")).select(captures.columns).exceptAll(captures).count() == 0
+    for run in ("r1", "r2"):
+        assert len([*Path(tmp_path, "captures", "source=karirhub", f"run_id={run}").glob("*.parquet")]) == 1
