@@ -74,3 +74,13 @@ def test_a_run_is_written_in_one_piece(spark, tmp_path):
     assert read_captures(spark, str(tmp_path / "captures")).select(captures.columns).exceptAll(captures).count() == 0
     for run in ("r1", "r2"):
         assert len([*Path(tmp_path, "captures", "source=karirhub", f"run_id={run}").glob("*.parquet")]) == 1
+
+
+def test_batches_do_not_grow_with_the_files(spark, tmp_path, partitions):
+    rows = board_bindings.stream_rejects(spark, orders(spark, tmp_path)).collect()
+    assert {(r.page_no, r.reject): r.n for r in rows} == {
+        **{(page, "not an object"): 1 for page in range(1, 31)}, **{(k % 2000 // 20 + 1, "missing company"): 1 for k in range(0, 600, 50)},
+    }
+    folder = staged(spark, "rejects")
+    assert len([*Path(folder, "captures").glob("*.parquet")]) > 8
+    assert 1 < len([*Path(folder, "out", "items").glob("batch=*")]) <= 4
