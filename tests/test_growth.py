@@ -84,3 +84,12 @@ def test_batches_do_not_grow_with_the_files(spark, tmp_path, partitions):
     folder = staged(spark, "rejects")
     assert len([*Path(folder, "captures").glob("*.parquet")]) > 8
     assert 1 < len([*Path(folder, "out", "items").glob("batch=*")]) <= 4
+
+
+@pytest.mark.parametrize(("read", "table"), [(derived.glints_details, "part"), (derived.kitalulus, "part"), (derived.karirhub, "orders")])
+def test_captures_are_written_by_many_tasks(spark, tmp_path, partitions, read, table):
+    """The texts of pages are put together after the rows are dealt, not by the few tasks that read a small table."""
+    made = read(spark, (orders if table == "orders" else parts)(spark, tmp_path))
+    plan = made._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    dealt = [i for i, line in enumerate(plan) if "RepartitionByExpression" in line]
+    assert dealt and not any("to_json" in line or "apolloCache" in line or "<main>" in line for line in plan[dealt[-1]:])
