@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from postlake import read_captures, write_captures
+from postlake.functions import aliases
 from postlake.plans import board_bindings, derived
 from tests import builders as b
 
@@ -93,3 +94,14 @@ def test_captures_are_written_by_many_tasks(spark, tmp_path, partitions, read, t
     plan = made._jdf.queryExecution().optimizedPlan().toString().splitlines()
     dealt = [i for i, line in enumerate(plan) if "RepartitionByExpression" in line]
     assert dealt and not any("to_json" in line or "apolloCache" in line or "<main>" in line for line in plan[dealt[-1]:])
+
+
+def test_only_what_names_a_fact_is_searched_for_facts(spark):
+    """Deep parts without pagination facts are not opened; those with a fact, or with an escape that may hide one, are."""
+    nest = lambda inner, n: '{"a":' * n + inner + "}" * n
+    facts = '{"current_page":2,"last_page":"9"}'
+    plain, hidden = nest('{"b":1}', 12), nest('{"tot\\\\u0061l":1}', 12)
+    texts = [f'{{"x":{plain},"meta2":{facts}}}', f'{{"x":{nest(facts, 12)},"meta2":{facts}}}', f'{{"x":[{plain},{facts}],"y":{facts[:-1]},"z":1}}}}', f'{{"x":{hidden}}}']
+    rows = spark.createDataFrame(list(enumerate(texts)), "n int, _context string")
+    found = {r.n: (r._meta, r._met) for r in aliases.with_page_meta(rows).select("n", "_meta", "_met").collect()}
+    assert found[0] == (facts, True) and found[1][1] is False and found[2] == (facts, True) and found[3][0] is None
